@@ -23,7 +23,10 @@ DEAD = r"<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 DECLARATION = r"<[!?][^>]*>"
 TAG = rf"</?[a-z]{ATTRS}>"
 MARKUP = rf"(?is){COMMENT}|{DEAD}|{DECLARATION}|{TAG}"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]"
+# Blanks that do not end a line, and those that do.
+INLINE_BLANK = r"[[\s\x1c-\x1f]&&[^\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]]"
+ANY_BLANK = r"[\s\x1c-\x1f]"
+LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]"
 
 # A listing page ends in its numeric id.
 POST_PAGE = r"/(\d+)\.html?$"
@@ -92,9 +95,13 @@ def post_id_from_path(path: Column | str) -> Column:
     return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
 
 
-def adjacent_distinct(items: Column) -> Column:
+def adjacent_distinct(items: Column | str) -> Column:
     """Collapse runs of equal neighbours of an array."""
-    return F.filter(items, lambda x, i: (i == 0) | (x != F.get(items, i - 1)))
+    items = _col(items)
+    before = F.concat(F.array(F.lit(None)), F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))))
+    pairs = F.arrays_zip(items.alias("x"), before.alias("before"))
+    kept = F.filter(pairs, lambda p, i: (i == 0) | ~p["x"].eqNullSafe(p["before"]))
+    return F.transform(kept, lambda p: p["x"])
 
 
 def markup_to_breaks(page: Column | str) -> Column:
@@ -102,16 +109,20 @@ def markup_to_breaks(page: Column | str) -> Column:
     return F.regexp_replace(_col(page), MARKUP, "\n")
 
 
-def visible_lines(text: Column | str) -> Column:
-    """Trimmed non-blank lines of a decoded text, neighbours deduplicated."""
-    lines = F.transform(F.split(_col(text), LINE_BREAK), strip)
-    return adjacent_distinct(F.filter(lines, lambda x: x != ""))
+def tidy_lines(text: Column | str) -> Column:
+    """Lines trimmed, blank ones dropped, equal neighbours collapsed.
+
+    Done on the whole string: a run of blanks holding a line break is one break,
+    then a line is dropped when the next one equals it.
+    """
+    one_break = rf"(?U)(?<!{INLINE_BLANK}){INLINE_BLANK}*+{LINE_BREAK}{ANY_BLANK}*+"
+    lines = strip(F.regexp_replace(_col(text), one_break, "\n"))
+    return F.regexp_replace(lines, r"(?md)^(.*+)\n(?=\1$)", "")
 
 
 def visible_text(page: Column | str) -> Column:
     """Text a reader sees, one text node per line, with a closing newline."""
-    decoded = unescape_entities(markup_to_breaks(page))
-    return F.concat(F.concat_ws("\n", visible_lines(decoded)), F.lit("\n"))
+    return F.concat(tidy_lines(unescape_entities(markup_to_breaks(page))), F.lit("\n"))
 
 
 def first_image_url(page: Column | str, host: str = DEFAULT_IMAGE_HOST) -> Column:

@@ -13,6 +13,12 @@ from ..operators.joins import skip_existing
 from ..schemas import table_schema
 
 
+def by_run(df: DataFrame, run: str) -> DataFrame:
+    """Gather each run's rows into few files. Adaptive execution splits a run that is
+    too big for one task and joins runs that are small."""
+    return df.hint("rebalance", run)
+
+
 def write_jsonl(df: DataFrame, path: str, sparse: bool = True, mode: str = "append",
                 run: str = "run_id") -> None:
     """Compact JSON, one record per line, in ``run_id=<run>`` folders.
@@ -21,7 +27,7 @@ def write_jsonl(df: DataFrame, path: str, sparse: bool = True, mode: str = "appe
     records write them.
     """
     lines = df.select(F.col(run).alias("run_id"), to_json_record(df.columns, not sparse).alias("value"))
-    lines.write.mode(mode).partitionBy("run_id").text(path)
+    by_run(lines, "run_id").write.mode(mode).partitionBy("run_id").text(path)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -52,9 +58,9 @@ def write_if_absent(df: DataFrame, path: str, keys: Sequence[str] = ("run_id", "
     if existing is not None and overwrite:
         touched = existing.join(df.select(part).distinct(), part, "left_semi")
         merged = skip_existing(touched, df, keys).unionByName(df, allowMissingColumns=True)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+        by_run(merged, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     else:
-        new.write.mode("append").partitionBy(part).parquet(path)
+        by_run(new, part).write.mode("append").partitionBy(part).parquet(path)
     return new
 
 

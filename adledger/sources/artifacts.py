@@ -1,50 +1,60 @@
-"""Run artifacts: metrics and importance files named ``<YYYYMMDDHH>-<kind>``.
+"""Run artifacts: metrics and importance of one run per file.
 
-The folder is read with a name filter, not with a glob path: a glob would start
-one listing task per file.
+Two layouts are read: files named ``<YYYYMMDDHH>-<kind>.json`` in one folder, and
+folders per run hour and kind as this package writes them. A folder is read with
+a name filter, not with a glob path: a glob would start one listing task per file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.times import parse_run_hour
 from ..schemas import IMPORTANCE_SCHEMA, RUN_METRICS_SCHEMA
 from .texts import list_files
 
-METRICS_GLOB = "*-metrics.json"
-IMPORTANCE_GLOB = "*-permutation_importance.json"
+# Where the run hour and the kind stand in a path.
+RUN_HOUR = r"/(?:run_hour=)?(\d{10})[-/]"
+KIND = r"/(?:run_hour=)?\d{10}[-/](?:kind=)?([A-Za-z0-9_]+)"
+METRICS, IMPORTANCE = "metrics", "permutation_importance"
 
 
-def run_prefix(name: Column) -> Column:
-    return F.regexp_extract(name, r"([^/]*?)-[^/]*$", 1)
+def artifact_run(path: Column) -> Column:
+    return F.regexp_extract(path, RUN_HOUR, 1)
 
 
-def with_run(df: DataFrame) -> DataFrame:
-    """Run id and time from the file name."""
-    run_id = F.split(F.col("_metadata.file_name"), "-")[0]
-    tagged = df.select("*", run_id.alias("run_id"))
-    return tagged.withColumn("run_dt", parse_run_hour("run_id"))
+def artifact_kind(path: Column) -> Column:
+    return F.regexp_extract(path, KIND, 1)
+
+
+def with_run(df: DataFrame, kind: str) -> DataFrame:
+    """Rows of one kind of artifact, with run id and time from the path."""
+    path = F.col("_metadata.file_path")
+    tagged = df.select("*", artifact_run(path).alias("run_id"), artifact_kind(path).alias("_kind"))
+    return tagged.where(F.col("_kind") == kind).drop("_kind").withColumn("run_dt", parse_run_hour("run_id"))
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, kind: str) -> DataFrame:
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    # A file is one (possibly indented) document, or one document per line.
+    return with_run(files.json(path, multiLine=True, pathGlobFilter="*.json"), kind)
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
     """One row per run."""
-    return with_run(spark.read.schema(RUN_METRICS_SCHEMA).json(
-        path, multiLine=True, pathGlobFilter=METRICS_GLOB))
+    return _read(spark, path, RUN_METRICS_SCHEMA, METRICS)
 
 
 def read_importance(spark: SparkSession, path: str) -> DataFrame:
-    """One row per run and feature."""
-    rows = with_run(spark.read.schema(IMPORTANCE_SCHEMA).json(
-        path, multiLine=True, pathGlobFilter=IMPORTANCE_GLOB))
-    return rows.withColumnRenamed("importance_mean", "importance")
+    """One row per run and feature. A file holds an array of records."""
+    return _read(spark, path, IMPORTANCE_SCHEMA, IMPORTANCE).withColumnRenamed("importance_mean", "importance")
 
 
 def artifact_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files, first and last run per kind of artifact. No file is opened."""
-    name = F.regexp_extract("path", r"([^/]*)$", 1)
-    files = list_files(spark, path).select(
-        run_prefix(name).alias("run_id"), F.regexp_extract(name, r"^[^-]*-(.*)$", 1).alias("kind"))
+    file = F.col("path")
+    files = list_files(spark, path).select(artifact_run(file).alias("run_id"), artifact_kind(file).alias("kind"))
     return files.where("run_id <> ''").groupBy("kind").agg(
         F.count(F.lit(1)).alias("files"), F.min("run_id").alias("first_run"),
         F.max("run_id").alias("last_run")).orderBy("kind")

@@ -18,7 +18,7 @@ from ..operators.dedup import latest_by_key
 from ..operators.extraction import parse_listing
 from ..schemas import RUN_METRICS_SCHEMA
 from ..sinks import read_if_exists
-from ..sources.artifacts import METRICS_GLOB, with_run
+from ..sources.artifacts import METRICS, with_run
 from ..sources.texts import folder_run_id
 
 
@@ -65,7 +65,7 @@ def stream_latest(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        latest_by_key(batch, key, run, path=tie, invalid_run="oldest").write.mode("overwrite").parquet(
+        latest_by_key(batch, key, run, path=tie).write.mode("overwrite").parquet(
             f"{_deltas(path)}/batch_id={batch_id}")
 
     return records.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint) \
@@ -88,7 +88,7 @@ def current_latest(spark: SparkSession, path: str, key: str = "post_id", run: st
                    tie: str = "source_txt") -> DataFrame:
     """The table `stream_latest` keeps: one row per key."""
     rows = _all_versions(spark, path)
-    return latest_by_key(rows, key, run, path=tie, invalid_run="oldest").drop("batch_id")
+    return latest_by_key(rows, key, run, path=tie).drop("batch_id")
 
 
 def compact_latest(spark: SparkSession, path: str, key: str = "post_id", run: str = "run_id",
@@ -109,8 +109,8 @@ def compact_latest(spark: SparkSession, path: str, key: str = "post_id", run: st
 def stream_metrics(spark: SparkSession, artifacts: str, out: str, checkpoint: str) -> StreamingQuery:
     """Append each new metrics file, with its run id and time, to a table of runs."""
     files = spark.readStream.schema(RUN_METRICS_SCHEMA).option("multiLine", "true") \
-        .option("pathGlobFilter", METRICS_GLOB).json(artifacts)
-    return _start(with_run(files), out, checkpoint)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(artifacts)
+    return _start(with_run(files, METRICS), out, checkpoint)
 
 
 def run_to_end(query: StreamingQuery, names: Sequence[str] = ()) -> None:
