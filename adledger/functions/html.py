@@ -62,10 +62,18 @@ def _absolute(url: Column, base: str) -> Column:
     )
 
 
-def extract_links(page: Column | str, base: str) -> Column:
-    """Distinct absolute listing URLs of a search page, in order of discovery."""
+def live_markup(page: Column | str) -> Column:
+    """The page without comments and dead blocks, whose anchors do not count."""
+    return F.regexp_replace(_col(page), rf"(?is){COMMENT}|{DEAD}", " ")
+
+
+def extract_links(page: Column | str, base: str, live: Column | str | None = None) -> Column:
+    """Distinct absolute listing URLs of a search page, in order of discovery.
+
+    ``live`` may name a column already holding `live_markup` of the page.
+    """
     page = _col(page)
-    live = F.regexp_replace(page, rf"(?is){COMMENT}|{DEAD}", " ")
+    live = live_markup(page) if live is None else _col(live)
     anchors = F.regexp_extract_all(live, F.lit(ANCHOR), F.lit(0))
     items = F.concat_ws(" ", F.regexp_extract_all(live, F.lit(RESULT_ITEM), F.lit(0)))
     result_anchors = F.concat(

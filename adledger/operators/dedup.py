@@ -39,14 +39,16 @@ def latest_by_order(df: DataFrame, key: str, newest: str, tie: Sequence[str]) ->
     return _first_per_key(drop_missing_key(df, key), [key], [F.desc(newest), *[F.asc(t) for t in tie]])
 
 
-def first_by_key_capped(df: DataFrame, key: str, position: Sequence[str], n: int) -> DataFrame:
-    """First row per key in discovery order, then the first ``n`` of those."""
+def first_by_key_capped(df: DataFrame, key: str, position: Sequence[str], n: int | None) -> DataFrame:
+    """First row per key in discovery order, then the first ``n`` of those (None: all)."""
     order = [F.asc(p) for p in position]
     return cap_items(_first_per_key(drop_missing_key(df, key), [key], order), position, n)
 
 
-def cap_items(df: DataFrame, position: Sequence[str], n: int) -> DataFrame:
+def cap_items(df: DataFrame, position: Sequence[str], n: int | None) -> DataFrame:
     """First ``n`` rows in the given order (a per-task top-n, merged)."""
+    if n is None:
+        return df
     return df.orderBy(*[F.asc(p) for p in position]).limit(n)
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.html import extract_links, post_id_from_url
+from ..functions.html import extract_links, live_markup, post_id_from_url
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -22,6 +22,6 @@ def append_results(*frames: DataFrame) -> DataFrame:
 
 def union_links(pages: DataFrame, base: str, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """One row per distinct listing link of each page, numbered in order of discovery."""
-    return pages.select(
-        page_id, F.posexplode(extract_links(html, base)).alias("position", "url")
+    return pages.withColumn("_live", live_markup(html)).select(
+        page_id, F.posexplode(extract_links(html, base, "_live")).alias("position", "url")
     ).withColumn("post_id", post_id_from_url("url"))

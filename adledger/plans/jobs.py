@@ -27,7 +27,7 @@ from ..sinks import write_run_outputs
 # ---- pages to texts ---------------------------------------------------------
 
 def land_listings(search_pages: DataFrame, listing_pages: DataFrame, base: str, run_id: str,
-                  max_items: int = 50, host: str = DEFAULT_IMAGE_HOST) -> DataFrame:
+                  max_items: int | None = 50, host: str = DEFAULT_IMAGE_HOST) -> DataFrame:
     """Links of the search pages, first URL per post, capped; each with its visible
     text and image URL. A post without a landed page gets an error instead."""
     links = sets.union_links(search_pages, base)

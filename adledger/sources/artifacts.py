@@ -35,20 +35,21 @@ def with_run(df: DataFrame, kind: str) -> DataFrame:
     return tagged.where(F.col("_kind") == kind).drop("_kind").withColumn("run_dt", parse_run_hour("run_id"))
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, kind: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: StructType, kind: str, suffix: str) -> DataFrame:
     files = spark.read.schema(schema).option("recursiveFileLookup", "true")
     # A file is one (possibly indented) document, or one document per line.
-    return with_run(files.json(path, multiLine=True, pathGlobFilter="*.json"), kind)
+    return with_run(files.json(path, multiLine=True, pathGlobFilter=f"*{suffix}"), kind)
 
 
-def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
+def read_run_metrics(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
     """One row per run."""
-    return _read(spark, path, RUN_METRICS_SCHEMA, METRICS)
+    return _read(spark, path, RUN_METRICS_SCHEMA, METRICS, suffix)
 
 
-def read_importance(spark: SparkSession, path: str) -> DataFrame:
+def read_importance(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
     """One row per run and feature. A file holds an array of records."""
-    return _read(spark, path, IMPORTANCE_SCHEMA, IMPORTANCE).withColumnRenamed("importance_mean", "importance")
+    rows = _read(spark, path, IMPORTANCE_SCHEMA, IMPORTANCE, suffix)
+    return rows.withColumnRenamed("importance_mean", "importance")
 
 
 def artifact_inventory(spark: SparkSession, path: str) -> DataFrame:
