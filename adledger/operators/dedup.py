@@ -56,7 +56,10 @@ def rank_per_group(
     df: DataFrame, group: str = "run_id", value: str = "importance", tie: str = "feature",
     out: str = "rank",
 ) -> DataFrame:
-    """Rank 1..n without gaps, largest value first, ties by name."""
+    """Rank 1..n without gaps, largest value first, ties by ``tie``.
+
+    A group is one run's features, so it is small.
+    """
     w = Window.partitionBy(group).orderBy(F.desc(value), F.asc(tie))
     return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 

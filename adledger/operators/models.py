@@ -106,7 +106,12 @@ def _fit(train: DataFrame, target: str, stages: list, text: str | None) -> TierC
     ready = encoder.transform(train)
     if text:
         ready = ready.withColumn("_tokens", split_tokens(text))
-    return TierClassifier(Pipeline(stages=stages).fit(ready), encoder.labels, text)
+    # Fitting passes over the rows many times; what does not fit in memory goes to disk.
+    ready = ready.persist()
+    try:
+        return TierClassifier(Pipeline(stages=stages).fit(ready), encoder.labels, text)
+    finally:
+        ready.unpersist()
 
 
 def _text_stages() -> list:

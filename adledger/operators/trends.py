@@ -88,12 +88,14 @@ def top_features(df: DataFrame, n: int = 8, run: str = "run_dt", feature: str =
 
 
 def rank_stability(df: DataFrame, run: str = "run_id", feature: str = "feature",
-                   value: str = "importance") -> DataFrame:
+                   value: str = "importance", tie: str = "feature") -> DataFrame:
     """Mean rank and its sample deviation over the runs a feature is in, with a label.
 
+    Pass ``tie="position"`` to rank equal values as the run's file lists them.
+
     The deviation is rounded before it is labelled; one run only is Volatile.
     """
-    ranks = rank_per_group(df, run, value, feature)
+    ranks = rank_per_group(df, run, value, tie)
     stats = ranks.groupBy(feature).agg(
         round1(F.avg("rank")).alias("avg_rank"), round2(F.stddev_samp("rank")).alias("rank_std"))
     label = F.when(F.col("rank_std") < 1.0, "Stable").when(F.col("rank_std") < 2.0, "Moderate") \

@@ -180,7 +180,7 @@ def _read_run_metrics(spark, folder):
 
 
 def _read_importance(spark, folder):
-    out = read_importance(spark, artifact_landing(spark, folder) + "-text", suffix=".txt")
+    out = read_importance(spark, artifact_landing(spark, folder) + "-text")
     return out.select("run_id", "feature", "importance")
 
 

@@ -222,7 +222,8 @@ def trend_report(runs: DataFrame, importance: DataFrame) -> dict[str, DataFrame]
         "params": trends.param_usage(runs),
         "cv_vs_holdout": trends.cv_vs_holdout(runs),
         "top_features": trends.top_features(importance),
-        "stability": trends.rank_stability(importance),
+        "stability": trends.rank_stability(
+            importance, tie="position" if "position" in importance.columns else "feature"),
     }
 
 

@@ -84,5 +84,11 @@ def write_run_outputs(path: str, run_hour: str, predictions: DataFrame, metrics:
         predictions.write.mode("overwrite").csv(f"{folder}/preds", header=True, escape='"')
         metrics.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/metrics")
         if importance is not None:
-            importance.write.mode("overwrite").json(f"{folder}/permutation_importance")
+            # One array of records, largest first: as many as there are features.
+            item = F.struct((-F.col("importance_mean")).alias("order"), "feature", "importance_mean")
+            ordered = F.transform(F.sort_array(F.collect_list(item)),
+                                  lambda x: F.struct(x["feature"].alias("feature"),
+                                                     x["importance_mean"].alias("importance_mean")))
+            importance.agg(F.to_json(ordered).alias("value")).write.mode("overwrite").text(
+                f"{folder}/permutation_importance")
     return folder

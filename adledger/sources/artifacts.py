@@ -7,8 +7,7 @@ a name filter, not with a glob path: a glob would start one listing task per fil
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import parse_run_hour
 from ..schemas import IMPORTANCE_SCHEMA, RUN_METRICS_SCHEMA
@@ -18,6 +17,7 @@ from .texts import list_files
 RUN_HOUR = r"/(?:run_hour=)?(\d{10})[-/]"
 KIND = r"/(?:run_hour=)?\d{10}[-/](?:kind=)?([A-Za-z0-9_]+)"
 METRICS, IMPORTANCE = "metrics", "permutation_importance"
+ARTIFACTS = "*.{json,txt}"
 
 
 def artifact_run(path: Column) -> Column:
@@ -35,21 +35,24 @@ def with_run(df: DataFrame, kind: str) -> DataFrame:
     return tagged.where(F.col("_kind") == kind).drop("_kind").withColumn("run_dt", parse_run_hour("run_id"))
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, kind: str, suffix: str) -> DataFrame:
-    files = spark.read.schema(schema).option("recursiveFileLookup", "true")
+def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run."""
+    files = spark.read.schema(RUN_METRICS_SCHEMA).option("recursiveFileLookup", "true")
     # A file is one (possibly indented) document, or one document per line.
-    return with_run(files.json(path, multiLine=True, pathGlobFilter=f"*{suffix}"), kind)
-
+    return with_run(files.json(path, multiLine=True, pathGlobFilter=ARTIFACTS), METRICS)
 
-def read_run_metrics(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """One row per run."""
-    return _read(spark, path, RUN_METRICS_SCHEMA, METRICS, suffix)
 
+def read_importance(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run and feature, with its 0-based place in the run's file.
 
-def read_importance(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """One row per run and feature. A file holds an array of records."""
-    rows = _read(spark, path, IMPORTANCE_SCHEMA, IMPORTANCE, suffix)
-    return rows.withColumnRenamed("importance_mean", "importance")
+    A file holds one JSON array of records, as many as there are features.
+    """
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=ARTIFACTS)
+    arrays = with_run(files, IMPORTANCE)
+    records = F.from_json("value", T.ArrayType(IMPORTANCE_SCHEMA))
+    return arrays.select("run_id", "run_dt", F.posexplode(records).alias("position", "_rec")).select(
+        F.col("_rec.feature").alias("feature"), F.col("_rec.importance_mean").alias("importance"),
+        "position", "run_id", "run_dt")
 
 
 def artifact_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -18,7 +18,7 @@ from ..operators.dedup import latest_by_key
 from ..operators.extraction import parse_listing
 from ..schemas import RUN_METRICS_SCHEMA
 from ..sinks import read_if_exists
-from ..sources.artifacts import METRICS, with_run
+from ..sources.artifacts import ARTIFACTS, METRICS, with_run
 from ..sources.texts import folder_run_id
 
 
@@ -109,7 +109,7 @@ def compact_latest(spark: SparkSession, path: str, key: str = "post_id", run: st
 def stream_metrics(spark: SparkSession, artifacts: str, out: str, checkpoint: str) -> StreamingQuery:
     """Append each new metrics file, with its run id and time, to a table of runs."""
     files = spark.readStream.schema(RUN_METRICS_SCHEMA).option("multiLine", "true") \
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(artifacts)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", ARTIFACTS).json(artifacts)
     return _start(with_run(files, METRICS), out, checkpoint)
 
 
