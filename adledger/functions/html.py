@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from .listing import DEFAULT_IMAGE_HOST, image_pattern
 from .numbers import _col
-from .text import strip
+from .text import BLANK, strip
 
 # One attribute list, quoted values may hold '>'.
 ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -24,8 +24,7 @@ DECLARATION = r"<[!?][^>]*>"
 TAG = rf"</?[a-z]{ATTRS}>"
 MARKUP = rf"(?is){COMMENT}|{DEAD}|{DECLARATION}|{TAG}"
 # Blanks that do not end a line, and those that do.
-INLINE_BLANK = r"[[\s\x1c-\x1f]&&[^\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]]"
-ANY_BLANK = r"[\s\x1c-\x1f]"
+INLINE_BLANK = r"[\t\x1f \u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]"
 
 # A listing page ends in its numeric id.
@@ -123,7 +122,7 @@ def tidy_lines(text: Column | str) -> Column:
     Done on the whole string: a run of blanks holding a line break is one break,
     then a line is dropped when the next one equals it.
     """
-    one_break = rf"(?U)(?<!{INLINE_BLANK}){INLINE_BLANK}*+{LINE_BREAK}{ANY_BLANK}*+"
+    one_break = rf"(?U)(?<!{INLINE_BLANK}){INLINE_BLANK}*+{LINE_BREAK}{BLANK}*+"
     lines = strip(F.regexp_replace(_col(text), one_break, "\n"))
     return F.regexp_replace(lines, r"(?md)^(.*+)\n(?=\1$)", "")
 

@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .numbers import _col
-
-# The patterns that define each field (first match counts).
-PRICE = r"(?U)\$\s?([0-9,]+)"
-YEAR = r"(?U)\b(19|20)\d{2}\b"
-MAKE_MODEL = r"(?U)\b([A-Z][a-z]+)\s+([A-Z][A-Za-z0-9]+)"
-ODOMETER = r"(?Ui)(?:mileage|odometer)\s*[:\-]?\s*([\d,]+)"
-THOUSAND_MILES = r"(?Ui)(\d+(?:\.\d+)?)\s*k\s*(?:mi|mile|miles)\b"
-PLAIN_MILES = r"(?Ui)(\d{1,3}(?:[,\d]{3})*)\s*(?:mi|mile|miles)\b"
-TRANSMISSION = r"(?Ui)\b(automatic|auto|manual|cvt|stick\s?shift)\b"
-FUEL = r"(?Ui)\b(gas|gasoline|diesel|electric|ev|hybrid)\b"
+from .text import BLANK
+
+# The patterns that define each field (first match counts). Those from
+# ODOMETER on are matched against the lower-cased text. A look-ahead at the first
+# character spares the costly Unicode word-border test nearly everywhere.
+PRICE = rf"(?U)\${BLANK}?([0-9,]+)"
+YEAR = r"(?U)(?=[12])\b(19|20)\d{2}\b"
+MAKE_MODEL = rf"(?U)(?=[A-Z])\b([A-Z][a-z]+){BLANK}+([A-Z][A-Za-z0-9]+)"
+ODOMETER = rf"(?U)(?:mileage|odometer){BLANK}*[:\-]?{BLANK}*([\d,]+)"
+THOUSAND_MILES = rf"(?U)(?<!\d)(\d++(?:\.\d++)?){BLANK}*+k{BLANK}*+(?:mi|mile|miles)\b"
+PLAIN_MILES = rf"(?U)(\d{{1,3}}(?:[,\d]{{3}})*){BLANK}*(?:mi|mile|miles)\b"
+TRANSMISSION = rf"(?U)(?=[acms])\b(automatic|auto|manual|cvt|stick{BLANK}?shift)\b"
+FUEL = r"(?U)(?=[degh])\b(gas|gasoline|diesel|electric|ev|hybrid)\b"
 DRIVETRAIN = (
-    r"(?Ui)\b(4wd|awd|fwd|rwd|four\s?wheel\s?drive|rear\s?wheel\s?drive"
-    r"|front\s?wheel\s?drive|all\s?wheel\s?drive)\b"
+    rf"(?U)(?=[4afr])\b(4wd|awd|fwd|rwd|four{BLANK}?wheel{BLANK}?drive|rear{BLANK}?wheel{BLANK}?drive"
+    rf"|front{BLANK}?wheel{BLANK}?drive|all{BLANK}?wheel{BLANK}?drive)\b"
 )
 
 # Spelling found -> value stored. Other spellings store nothing.
+TRANSMISSION_VALUES = {
+    "automatic": "automatic", "auto": "automatic", "cvt": "automatic", "manual": "manual",
+    "stick shift": "manual", "stickshift": "manual",
+}
 FUEL_VALUES = {
     "gas": "gas", "gasoline": "gas", "diesel": "diesel", "electric": "electric",
     "ev": "electric", "hybrid": "hybrid",
@@ -29,7 +36,6 @@ DRIVETRAIN_VALUES = {
     "awd": "AWD", "all wheel drive": "AWD", "4wd": "4WD", "four wheel drive": "4WD",
     "fwd": "FWD", "front wheel drive": "FWD", "rwd": "RWD", "rear wheel drive": "RWD",
 }
-AUTOMATIC_WORDS = ["automatic", "auto", "cvt"]
 
 DEFAULT_IMAGE_HOST = "images.example.org"
 
@@ -43,14 +49,14 @@ def _first(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def _lookup(word: Column, values: dict[str, str]) -> Column:
-    out = None
-    for spelling, value in values.items():
-        out = (F if out is None else out).when(word == spelling, value)
-    return out
+    """Value of a word, NULL if not listed. A map and not a CASE: the word, a regular
+    expression match, is then evaluated once and not once per branch."""
+    pairs = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.try_element_at(pairs, word)
 
 
 def extract_price(c: Column | str) -> Column:
-    return F.regexp_replace(_first(c, PRICE), ",", "").try_cast("bigint")
+    return F.replace(_first(c, PRICE), F.lit(","), F.lit("")).try_cast("bigint")
 
 
 def extract_year(c: Column | str) -> Column:
@@ -68,25 +74,31 @@ def extract_model(c: Column | str) -> Column:
 def extract_mileage(c: Column | str) -> Column:
     """Odometer figure, else ``NNk miles`` times 1000, else ``N,NNN mi``; each step
     falls through when its first match does not parse."""
-    thousands = (_first(c, THOUSAND_MILES).try_cast("double") * 1000).try_cast("bigint")
+    body = F.lower(_col(c))
+
+    def later(pattern: str, value) -> Column:
+        """Tried only when needed; a failing cast throws inside, which is slow, so it is guarded."""
+        return F.when(body.rlike(pattern), value(F.regexp_extract(body, pattern, 1)))
+
     return F.coalesce(
-        F.regexp_replace(_first(c, ODOMETER), ",", "").try_cast("bigint"),
-        thousands,
-        F.regexp_replace(_first(c, PLAIN_MILES), r"(?U)[^\d]", "").try_cast("bigint"),
+        F.replace(_first(body, ODOMETER), F.lit(","), F.lit("")).try_cast("bigint"),
+        later(THOUSAND_MILES, lambda x: (x.try_cast("double") * 1000).try_cast("bigint")),
+        later(PLAIN_MILES, lambda x: F.regexp_replace(x, r"(?U)[^\d]", "").try_cast("bigint")),
     )
 
 
 def extract_transmission(c: Column | str) -> Column:
-    word = F.lower(_first(c, TRANSMISSION))
-    return F.when(word.isin(AUTOMATIC_WORDS), "automatic").when(word.isNotNull(), "manual")
+    """Gear words; a stick shift is manual whatever blank it is written with."""
+    word = F.regexp_replace(F.regexp_extract(F.lower(_col(c)), TRANSMISSION, 1), f"(?U){BLANK}", " ")
+    return _lookup(word, TRANSMISSION_VALUES)
 
 
 def extract_fuel(c: Column | str) -> Column:
-    return _lookup(F.lower(_first(c, FUEL)), FUEL_VALUES)
+    return _lookup(F.regexp_extract(F.lower(_col(c)), FUEL, 1), FUEL_VALUES)
 
 
 def extract_drivetrain(c: Column | str) -> Column:
-    return _lookup(F.lower(_first(c, DRIVETRAIN)), DRIVETRAIN_VALUES)
+    return _lookup(F.regexp_extract(F.lower(_col(c)), DRIVETRAIN, 1), DRIVETRAIN_VALUES)
 
 
 def extract_image_url(c: Column | str, host: str = DEFAULT_IMAGE_HOST) -> Column:

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+# The Unicode blanks.
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -14,7 +21,9 @@ def clean_numeric(c: Column | str) -> Column:
 
     The sign is dropped and two dots make the value NULL.
     """
-    return F.regexp_replace(_col(c), r"(?U)[^\d.]+", "").try_cast("double")
+    kept = F.regexp_replace(_col(c), r"(?U)[^\d.]+", "")
+    # Guarded: a failing text-to-double cast throws inside, which is slow.
+    return F.when(kept.rlike(r"^(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"), kept.try_cast("double"))
 
 
 def clean_numeric_column(df: DataFrame, name: str) -> Column:
@@ -27,8 +36,9 @@ def clean_numeric_column(df: DataFrame, name: str) -> Column:
 
 def safe_int(c: Column | str) -> Column:
     """Whole number after removing commas and outer blanks, else NULL (``12.5`` is NULL)."""
-    text = F.regexp_replace(_col(c).cast("string"), ",", "")
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "").try_cast("bigint")
+    text = F.replace(_col(c).cast("string"), F.lit(","), F.lit(""))
+    bare = F.btrim(text, F.lit(BLANK_CHARACTERS))
+    return F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("bigint"))
 
 
 def to_numeric_coerce(c: Column | str) -> Column:

@@ -7,26 +7,26 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from .numbers import _col
+from .numbers import BLANK_CHARACTERS, _col
 
-# Blanks beyond the Unicode White_Space property: the four ASCII separators.
+# Any blank, for patterns with (?U): the White_Space property and four ASCII separators.
 BLANK = r"[\s\x1c-\x1f]"
 
 # What the modeling text drops, in this order. The thousands form
 # of a dollar amount goes before the plain form.
 REMOVED_FROM_LISTING_TEXT = [
-    r"(?Uidm)^\s*image_url\s*:\s*.*$",
-    r"(?U)https?://\S+",
-    r"(?Uidm)^\s*(price|asking price|listed price)\s*[:\-]\s*.*$",
-    r"(?U)\$\s*\d{1,3}(?:,\d{3})+(?:\.\d+)?",
-    r"(?U)\$\s*\d+(?:\.\d+)?",
+    rf"(?Uidm)^{BLANK}*image_url{BLANK}*:{BLANK}*.*$",
+    r"(?U)https?://[^\s\x1c-\x1f]+",
+    rf"(?Uidm)^{BLANK}*(price|asking price|listed price){BLANK}*[:\-]{BLANK}*.*$",
+    rf"(?U)\${BLANK}*\d{{1,3}}(?:,\d{{3}})+(?:\.\d+)?",
+    rf"(?U)\${BLANK}*\d+(?:\.\d+)?",
 ]
 # Marks of a file path inside a text.
 PATH_MARKS = r"scrapes/|gs://|\.txt"
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"(?U)^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(_col(c), F.lit(BLANK_CHARACTERS))
 
 
 def collapse(c: Column | str) -> Column:
@@ -90,7 +90,19 @@ def price_in_text(price: Column | str, text: Column | str) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def split_tokens(c: Column | str) -> Column:
-    """Lower case, ASCII punctuation removed, split on blanks."""
-    bare = F.regexp_replace(F.lower(F.coalesce(_col(c), F.lit(""))), r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']""", "")
-    return F.filter(F.split(bare, f"(?U){BLANK}+"), lambda t: t != "")
+# The punctuation a token loses.
+PUNCTUATION = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']"""
+
+
+def split_tokens(c: Column | str, at_most: int | None = None) -> Column:
+    """Lower case, ASCII punctuation removed, split on blanks.
+
+    ``at_most`` gives the first tokens only, without splitting the rest of the text.
+    """
+    lower = F.lower(F.coalesce(_col(c), F.lit("")))
+    bare = strip(F.regexp_replace(lower, PUNCTUATION, ""))
+    if at_most is None:
+        tokens = F.split(bare, f"(?U){BLANK}+")
+    else:
+        tokens = F.slice(F.split(bare, f"(?U){BLANK}+", at_most + 1), 1, at_most)
+    return F.filter(tokens, lambda t: t != "")

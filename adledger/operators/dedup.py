@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.times import parse_run_id
 from .filters import drop_missing_key
 
+BLOCK_ROWS = 4096
+
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -64,18 +66,24 @@ def rank_per_group(
     return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
-def adjacent_dedup(df: DataFrame, group: str, position: str, value: str) -> DataFrame:
+def adjacent_dedup(df: DataFrame, group: str, position: str, value: str,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Drop a row whose value equals the row just before it in its group.
 
-    Positions must be gapless whole numbers. The neighbour is found by an
-    equi-join on (group, position), so even one huge group spreads over all tasks.
+    Positions must be gapless whole numbers from 0 or 1 on. A group is cut into
+    blocks of positions, so even one huge group spreads over all tasks; the last
+    row of a block also goes to the next one, to be compared with and then dropped.
     """
-    before = df.select(
-        F.col(group), (F.col(position) + 1).cast(df.schema[position].dataType).alias(position),
-        F.col(value).alias("_before"), F.lit(True).alias("_has"))
-    marked = df.join(before, [group, position], "left")
-    keep = F.col("_has").isNull() | ~F.col(value).eqNullSafe(F.col("_before"))
-    return marked.where(keep).select(*df.columns)
+    block = F.floor(F.col(position) / block_rows)
+    here = F.struct(block.alias("block"), F.lit(False).alias("carried"))
+    there = F.struct((block + 1).alias("block"), F.lit(True).alias("carried"))
+    last = F.col(position) % block_rows == block_rows - 1
+    placed = df.withColumn("_at", F.explode(F.when(last, F.array(here, there)).otherwise(F.array(here))))
+    w = Window.partitionBy(group, "_at.block").orderBy(position)
+    marked = placed.withColumns({
+        "_first": F.row_number().over(w) == 1, "_before": F.lag(value).over(w)})
+    keep = F.col("_first") | ~F.col(value).eqNullSafe(F.col("_before"))
+    return marked.where(~F.col("_at.carried") & keep).select(*df.columns)
 
 
 def best_run_row(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -197,7 +197,7 @@ def text_sequence(df: DataFrame, vocab: DataFrame, key: str, text: str,
     and may be broadcast at any data size. ``key`` identifies a row. Each
     row's ids are gathered in the task that split it before they are shuffled.
     """
-    tokens = df.select(key, F.posexplode_outer(F.slice(split_tokens(text), 1, length)).alias("pos", "token"))
+    tokens = df.select(key, F.posexplode_outer(split_tokens(text, length)).alias("pos", "token"))
     ids = tokens.join(F.broadcast(vocab.select("token", "id")), "token", "left")
     item = F.when(F.col("pos").isNotNull(),
                   F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")))
