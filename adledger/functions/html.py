@@ -105,7 +105,7 @@ def post_id_from_path(path: Column | str) -> Column:
 def adjacent_distinct(items: Column | str) -> Column:
     """Collapse runs of equal neighbours of an array."""
     items = _col(items)
-    before = F.concat(F.array(F.lit(None)), F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))))
+    before = F.slice(F.concat(F.array(F.lit(None)), items), 1, F.size(items))
     pairs = F.arrays_zip(items.alias("x"), before.alias("before"))
     kept = F.filter(pairs, lambda p, i: (i == 0) | ~p["x"].eqNullSafe(p["before"]))
     return F.transform(kept, lambda p: p["x"])

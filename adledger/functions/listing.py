@@ -15,7 +15,7 @@ YEAR = r"(?U)(?=[12])\b(19|20)\d{2}\b"
 MAKE_MODEL = rf"(?U)(?=[A-Z])\b([A-Z][a-z]+){BLANK}+([A-Z][A-Za-z0-9]+)"
 ODOMETER = rf"(?U)(?:mileage|odometer){BLANK}*[:\-]?{BLANK}*([\d,]+)"
 THOUSAND_MILES = rf"(?U)(?<!\d)(\d++(?:\.\d++)?){BLANK}*+k{BLANK}*+(?:mi|mile|miles)\b"
-PLAIN_MILES = rf"(?U)(\d{{1,3}}(?:[,\d]{{3}})*){BLANK}*(?:mi|mile|miles)\b"
+PLAIN_MILES = rf"(?U)(?<!\d)(\d{{1,3}}(?:[,\d]{{3}})*){BLANK}*(?:mi|mile|miles)\b"
 TRANSMISSION = rf"(?U)(?=[acms])\b(automatic|auto|manual|cvt|stick{BLANK}?shift)\b"
 FUEL = r"(?U)(?=[degh])\b(gas|gasoline|diesel|electric|ev|hybrid)\b"
 DRIVETRAIN = (

@@ -3,11 +3,12 @@ column); what is applied is a projection, so applying never shuffles."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import split_tokens
 from .quantiles import quantiles_of
@@ -189,19 +190,28 @@ def text_vocab(df: DataFrame, text: str, max_tokens: int = MAX_TOKENS) -> DataFr
     return top.withColumn("id", (place + FIRST_TOKEN_ID - 1).cast("int"))
 
 
-def text_sequence(df: DataFrame, vocab: DataFrame, key: str, text: str,
-                  length: int = SEQUENCE_LENGTH) -> DataFrame:
-    """(key, token_ids): the first ``length`` tokens as ids, padded to ``length``.
+def vocab_lookup(vocab: DataFrame, buckets: int = 1024) -> Column:
+    """Constant array of small maps token -> id, a token being in the map its hash names.
 
-    ``vocab`` comes from `text_vocab`, so it has fewer rows than ``max_tokens``
-    and may be broadcast at any data size. ``key`` identifies a row. Each
-    row's ids are gathered in the task that split it before they are shuffled.
+    Spark searches a map entry by entry; split up like this a lookup looks at a few
+    entries only. ``vocab`` comes from `text_vocab`, so it has fewer rows than
+    ``max_tokens`` whatever the size of the data.
     """
-    tokens = df.select(key, F.posexplode_outer(split_tokens(text, length)).alias("pos", "token"))
-    ids = tokens.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    item = F.when(F.col("pos").isNotNull(),
-                  F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")))
-    grouped = ids.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    found = F.transform("items", lambda x: x["id"])
-    return grouped.select(
-        key, F.concat(found, F.array_repeat(F.lit(PAD_ID), F.lit(length) - F.size(found))).alias("token_ids"))
+    table: list[dict[str, int]] = [{} for _ in range(buckets)]
+    for r in vocab.select("token", "id", _bucket(F.col("token"), buckets).alias("b")).collect():
+        table[r["b"]][r["token"]] = r["id"]
+    return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
+
+
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(token), F.lit(buckets))
+
+
+def text_sequence(df: DataFrame, vocab: DataFrame, text: str, out: str = "token_ids",
+                  length: int = SEQUENCE_LENGTH, buckets: int = 1024) -> DataFrame:
+    """The first ``length`` tokens of each text as ids, padded to ``length``. One projection."""
+    lookup = vocab_lookup(vocab, buckets)
+    ids = F.transform(split_tokens(text, length), lambda t: F.coalesce(
+        F.try_element_at(F.get(lookup, _bucket(t, buckets)), t), F.lit(UNKNOWN_ID)))
+    padded = F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(length)))
+    return df.withColumn(out, F.slice(padded, 1, length))

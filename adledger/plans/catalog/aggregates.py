@@ -30,9 +30,10 @@ def _tier_summary(spark, folder):
 
 
 def tiered_listings(spark, folder):
-    parsed = extraction.parse_listing(listings(spark, folder).withColumnRenamed("path", "source_txt"))
-    latest = dedup.latest_by_key(parsed)
-    priced = filters.price_band_filter(latest.withColumn("price_num", F.col("price").cast("double")))
+    """Newest text per post, parsed only then (older texts never meet a pattern), tiered."""
+    latest = dedup.latest_by_key(listings(spark, folder).withColumnRenamed("path", "source_txt"))
+    parsed = extraction.parse_listing(latest)
+    priced = filters.price_band_filter(parsed.withColumn("price_num", F.col("price").cast("double")))
     return splits.price_tier(priced)
 
 

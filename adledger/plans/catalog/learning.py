@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ...operators import explain, features, models, quantiles, splits
 from .aggregates import BAND_CTE, events_by_day, tier_sql, tiered_listings
-from .common import derive, table
+from .common import derive, landed, table
 
 # ---- tiers and splits -------------------------------------------------------
 
@@ -161,7 +161,9 @@ def _text_classifier(spark, folder):
 
 
 def _structured_classifier(spark, folder):
-    tiers = tiered_listings(spark, folder).withColumns({
+    # The modeling table is a written table, as in a deployment; models read it many times.
+    path = landed(spark, folder, "modeling-table", lambda p: tiered_listings(spark, folder).write.parquet(p))
+    tiers = spark.read.parquet(path).withColumns({
         "year_num": F.col("year").cast("double"), "mileage_num": F.col("mileage").cast("double")})
     split = splits.stratified_split(tiers, "price_tier", "post_id")
     model = models.structured_classifier(

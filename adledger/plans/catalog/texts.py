@@ -139,7 +139,7 @@ def _text_vocab(spark, folder):
 
 def _text_sequence(spark, folder):
     docs = table(spark, folder, "documents")
-    out = features.text_sequence(docs, features.text_vocab(docs, "text"), "doc_id", "text")
+    out = features.text_sequence(docs, features.text_vocab(docs, "text"), "text")
     return out.select("doc_id", F.concat_ws(",", F.col("token_ids").cast("array<string>")).alias("token_ids"))
 
 
