@@ -76,9 +76,9 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 RUNS = """
 SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS STRING) || '00' AS run_id,
   CAST(count(*) AS BIGINT) AS train_rows, CAST(count(DISTINCT user_id) AS BIGINT) AS holdout_rows,
-  round(avg(value), 4) AS mae_today, round(max(value), 4) AS rmse_today,
-  round(avg(value * value), 4) AS mape_today, round(avg(value) - 20, 4) AS bias_today,
-  round(stddev_samp(value), 4) AS best_cv_mae,
+  round(avg(value), 9) AS mae_today, round(max(value), 9) AS rmse_today,
+  round(avg(value * value), 9) AS mape_today, round(avg(value) - 20, 9) AS bias_today,
+  round(stddev_samp(value), 9) AS best_cv_mae,
   CAST(count(*) % 3 AS BIGINT) AS max_depth, CAST(count(DISTINCT user_id) % 4 AS BIGINT) AS n_estimators
 FROM {events} GROUP BY 1
 """
@@ -87,7 +87,7 @@ RUNS_CTE = f"runs AS ({RUNS.format(events='events')})"
 #: Importance: mean event value per day and event type.
 IMPORTANCE = """
 SELECT CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS STRING) || '00' AS run_id,
-  event_type AS feature, round(avg(value), 6) AS importance
+  event_type AS feature, round(avg(value), 9) AS importance
 FROM {events} WHERE NOT (event_type = 'error' AND day(ts) % 5 = 0) GROUP BY 1, 2
 """
 IMPORTANCE_CTE = f"imp AS ({IMPORTANCE.format(events='events')})"
