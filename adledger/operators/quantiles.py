@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SMALL_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
@@ -47,8 +48,8 @@ def exact_quantiles(
 
 def _interpolate(values: DataFrame, n: int, probs: Sequence[float], small_rows: int) -> list[float]:
     ranks = [(n - 1) * p for p in probs]
-    wanted = sorted({math.floor(r) for r in ranks} | {math.ceil(r) for r in ranks})
-    at = {r: _order_statistic(values, n, r, small_rows) for r in wanted}
+    at = _order_statistics(
+        values, n, {math.floor(r) for r in ranks} | {math.ceil(r) for r in ranks}, small_rows)
     result = []
     for r in ranks:
         lo, hi = math.floor(r), math.ceil(r)
@@ -56,32 +57,76 @@ def _interpolate(values: DataFrame, n: int, probs: Sequence[float], small_rows:
     return result
 
 
-def _order_statistic(values: DataFrame, n: int, rank: int, small_rows: int) -> float:
-    """Value at a 0-based rank of the sorted column."""
-    inside, below = n, 0
-    scope = values
-    slack = 2.0 / SKETCH_ACCURACY
-    while inside > small_rows:
-        p = (rank - below) / max(inside - 1, 1)
-        bounds = [max(0.0, p - slack), min(1.0, p + slack)]
-        low, high = scope.agg(F.percentile_approx("v", bounds, SKETCH_ACCURACY)).first()[0]
-        v = F.col("v")
-        under, at_low, between, at_high = scope.agg(
-            F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high)),
-            F.count_if(v == high),
-        ).first()
-        if rank < below + under or rank >= below + under + at_low + between + (at_high if high > low else 0):
-            slack *= 4  # the sketch missed; widen the bracket
-            continue
-        if rank < below + under + at_low:
-            return low
-        if rank >= below + under + at_low + between:
-            return high
-        scope = scope.where((v > low) & (v < high))
-        below += under + at_low
-        inside = between
-    # At most `small_rows` rows are left: one sorted running count is safe.
-    counted = scope.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    hit = counted.withColumn("upto", upto).where(F.col("upto") > rank - below)
-    return hit.agg(F.min("v")).first()[0]
+@dataclass
+class _Scope:
+    """An open interval known to hold a rank: rows below it and inside it."""
+
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+    slack: float = 2.0 / SKETCH_ACCURACY
+
+    def holds(self, v: Column) -> Column:
+        return F.lit(True) if self.low is None else (v > self.low) & (v < self.high)
+
+
+def _order_statistics(values: DataFrame, n: int, ranks: set[int], small_rows: int) -> dict[int, float]:
+    """Values at 0-based ranks of the sorted column, all ranks narrowed in the same passes."""
+    v = F.col("v")
+    found: dict[int, float] = {}
+    scopes = {r: _Scope(None, None, 0, n) for r in ranks}
+    while wide := {r: s for r, s in scopes.items() if r not in found and s.inside > small_rows}:
+        bounds = _bracket(values, wide)
+        tests = []
+        for r, s in wide.items():
+            low, high = bounds[r]
+            inside = s.holds(v)
+            tests += [F.count_if(inside & c).alias(f"{name}{r}") for name, c in (
+                ("under", v < low), ("low", v == low), ("between", (v > low) & (v < high)), ("high", v == high))]
+        counts = values.agg(*tests).first()
+        for r, s in wide.items():
+            low, high = bounds[r]
+            start = s.below + counts[f"under{r}"]
+            first = start + counts[f"low{r}"]
+            last = first + counts[f"between{r}"]
+            if start <= r < first:
+                found[r] = low
+            elif first <= r < last:
+                scopes[r] = _Scope(low, high, first, counts[f"between{r}"])
+            elif last <= r < last + counts[f"high{r}"] and high > low:
+                found[r] = high
+            else:
+                s.slack *= 4  # the sketch missed; widen the bracket
+    return found | _by_sorting(values, {r: s for r, s in scopes.items() if r not in found})
+
+
+def _bracket(values: DataFrame, wide: dict[int, _Scope]) -> dict[int, tuple[float, float]]:
+    """Approximate values just below and above each rank: one sketch per distinct scope."""
+    places: dict[int, tuple[str, int]] = {}
+    groups: dict[tuple, list] = {}
+    for r, s in wide.items():
+        p = (r - s.below) / max(s.inside - 1, 1)
+        probs = groups.setdefault((s.low, s.high), [s, []])[1]
+        places[r] = (s.low, s.high), len(probs)
+        probs += [max(0.0, p - s.slack), min(1.0, p + s.slack)]
+    keys = list(groups)
+    row = values.agg(*[
+        F.percentile_approx(F.when(groups[k][0].holds(F.col("v")), F.col("v")), groups[k][1], SKETCH_ACCURACY)
+        .alias(f"g{i}") for i, k in enumerate(keys)]).first()
+    return {r: tuple(row[f"g{keys.index(k)}"][at:at + 2]) for r, (k, at) in places.items()}
+
+
+def _by_sorting(values: DataFrame, scopes: dict[int, _Scope]) -> dict[int, float]:
+    """Finish narrow scopes: at most ``small_rows`` rows per rank are sorted."""
+    if not scopes:
+        return {}
+    v = F.col("v")
+    tags = F.array_compact(F.array(*[F.when(s.holds(v), F.lit(r)) for r, s in scopes.items()]))
+    counted = values.select(v, F.explode(tags).alias("rank")).groupBy("rank", "v").agg(
+        F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(
+        Window.partitionBy("rank").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    below = F.create_map(*[F.lit(x) for r, s in scopes.items() for x in (r, s.below)])
+    hit = counted.withColumn("upto", upto).where(F.col("upto") > F.col("rank") - below[F.col("rank")])
+    return {row["rank"]: row["v"] for row in hit.groupBy("rank").agg(F.min("v").alias("v")).collect()}

@@ -160,11 +160,19 @@ def global_position(df: DataFrame, order: Sequence[str], out: str = "position")
 
 
 def contiguous_folds(df: DataFrame, order: Sequence[str], folds: int = 3, out: str = "fold") -> DataFrame:
-    """Unshuffled folds over the table order; the first ``n % folds`` folds get one row more."""
-    placed = global_position(df, order, "_pos")
-    n = placed.agg(F.count(F.lit(1))).scalar()
-    base, extra = F.expr("_n div {}".format(folds)), F.col("_n") % folds
-    wide = extra * (base + 1)
-    fold = F.when(F.col("_pos") < wide, F.floor(F.col("_pos") / (base + 1))).otherwise(
-        extra + F.floor((F.col("_pos") - wide) / F.greatest(base, F.lit(1))))
-    return placed.withColumn("_n", n).withColumn(out, fold.cast("int")).drop("_pos", "_n")
+    """Unshuffled folds over the table order; the first ``n % folds`` folds get one row more.
+
+    ``order`` must identify a row. Only the order columns are sorted, to find the
+    first key of each fold; the rows themselves are never shuffled.
+    """
+    placed = global_position(df.select(*order), order, "_pos")
+    n = placed.count()
+    starts = [j * (n // folds) + min(j, n % folds) for j in range(1, folds)]
+    firsts = placed.where(F.col("_pos").isin([p for p in starts if p < n])).select(*order).collect()
+    key = F.struct(*order)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    past = [key >= F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in order]) for r in firsts]
+    fold = F.lit(0)
+    for p in past:
+        fold = fold + p.cast("int")
+    return df.withColumn(out, fold)

@@ -91,10 +91,12 @@ def image_availability(df: DataFrame, loaded: DataFrame, url: str = "image_url",
                        key: str = "post_id") -> DataFrame:
     """Funnel: all listings, listings with a usable URL, listings whose image was loaded."""
     usable = F.coalesce(F.trim(F.col(url)).startswith("http"), F.lit(False))
+    per_id = df.groupBy(F.col(key).cast("string").alias("_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(usable).alias("with_url"))
     ids = loaded.select(F.col(key).cast("string").alias("_id")).distinct().withColumn("_hit", F.lit(True))
-    joined = df.withColumn("_id", F.col(key).cast("string")).join(ids, "_id", "left")
+    joined = per_id.join(ids, "_id", "left")
     return joined.agg(
-        F.count(F.lit(1)).alias("total_listings"),
-        F.count_if(usable).alias("listings_with_image_urls"),
-        F.count_if(usable & F.col("_hit")).alias("images_successfully_loaded"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_listings"),
+        F.coalesce(F.sum("with_url"), F.lit(0)).alias("listings_with_image_urls"),
+        F.coalesce(F.sum(F.when(F.col("_hit"), F.col("with_url"))), F.lit(0)).alias("images_successfully_loaded"),
     )
