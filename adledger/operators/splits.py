@@ -16,6 +16,8 @@ from .quantiles import exact_quantiles
 MIN_TRAIN_ROWS = 40
 # Hash buckets of the exact split: hex digits of the key hash that form a bucket.
 BUCKET_DIGITS = 4
+# Tables with one row per stratum are broadcast up to this many rows, joined beyond.
+MAX_BROADCAST_STRATA = 10_000
 
 
 def tier_edges(df: DataFrame, price: str, labels: Sequence[str] = tuple(TIERS)) -> list[float]:
@@ -97,34 +99,15 @@ def stratified_split(
 
     The test set has ``ceil(test_size * n)`` rows, shared out over the strata by
     largest remainder. Within a stratum the rows with the smallest seeded key hash
-    are taken. No stratum is ever sorted as a whole: counts per hash bucket locate
-    the one bucket holding the cut, only its rows are ranked, and the cut point
-    (one row per stratum) is joined back. Rows with equal keys stay together.
+    are taken. No stratum is ever sorted or shuffled as a whole: counts per hash
+    bucket locate the one bucket holding the cut, only its rows are ranked, and
+    the cut points (one small row per stratum) are then compared with each row where
+    it lies. Rows with equal keys stay together; rows without a stratum are train.
     """
     h = sample_key(key, seed)
     keyed = df.select(F.col(strata).alias("_s"), F.col(key).cast("string").alias("_k"), h.alias("_h")) \
         .where(F.col("_s").isNotNull()).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
-    buckets = keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n"))
-
-    # One row per stratum: how many rows it gives to the test set.
-    sizes = buckets.groupBy("_s").agg(F.sum("n").alias("size"))
-    everything = Window.partitionBy()
-    exact = sizes.withColumn("total", F.sum("size").over(everything)).withColumn(
-        "n_test", F.ceil(F.lit(test_size) * F.col("total")))
-    product = F.expr("cast(n_test as decimal(38,0)) * size")
-    share = exact.withColumn("_p", product).withColumns({
-        "base": F.expr("_p div total").cast("bigint"), "rest": F.expr("_p % total")})
-    left_over = F.first("n_test").over(everything) - F.sum("base").over(everything)
-    order = Window.orderBy(F.desc("rest"), F.asc("_s"))
-    take = share.withColumn("take", F.col("base") + (F.row_number().over(order) <= left_over).cast("bigint")) \
-        .select("_s", "take")
-
-    running = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        buckets.withColumn("upto", F.sum("n").over(running)).join(take, "_s")
-        .where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
-        .select("_s", "_b", (F.col("take") - F.col("upto") + F.col("n")).alias("need"))
-    )
+    edge = _small(_edge_buckets(keyed, test_size))
     # Rank only the rows of each stratum's edge bucket, equal keys counted first.
     inside = keyed.join(edge, ["_s", "_b"]).groupBy("_s", "need", "_h", "_k").agg(
         F.count(F.lit(1)).alias("n"))
@@ -132,8 +115,7 @@ def stratified_split(
         Window.partitionBy("_s").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, 0))
     cuts = inside.withColumn("upto", upto).where(F.col("upto") <= F.col("need")).groupBy("_s").agg(
         F.max(F.struct("_h", "_k")).alias("_cut"))
-    limits = edge.join(cuts, "_s", "left").select(
-        F.col("_s"), F.col("_b").alias("_edge"), F.col("_cut"))
+    limits = _small(edge.join(cuts, "_s", "left").select("_s", F.col("_b").alias("_edge"), "_cut"))
 
     point = F.struct(h.alias("_h"), F.col(key).cast("string").alias("_k"))
     is_test = (F.substring(h, 1, BUCKET_DIGITS) < F.col("_edge")) | (point <= F.col("_cut"))
@@ -143,6 +125,39 @@ def stratified_split(
     ).select(*df.columns, out)
 
 
+def _small(per_stratum: DataFrame) -> DataFrame:
+    """A table of one row per stratum, made broadcastable when it is checked to be small."""
+    rows = per_stratum.limit(MAX_BROADCAST_STRATA + 1).collect()
+    if len(rows) > MAX_BROADCAST_STRATA:
+        return per_stratum
+    return F.broadcast(per_stratum.sparkSession.createDataFrame(rows, per_stratum.schema))
+
+
+def _edge_buckets(keyed: DataFrame, test_size: float) -> DataFrame:
+    """Per stratum the hash bucket its share ends in, and how many rows it needs from it.
+
+    Works on counts: at most one row per stratum and bucket.
+    """
+    buckets = keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n"))
+    sizes = buckets.groupBy("_s").agg(F.sum("n").alias("size"))
+    everything = Window.partitionBy()
+    exact = sizes.withColumn("total", F.sum("size").over(everything)).withColumn(
+        "n_test", F.ceil(F.lit(test_size) * F.col("total")))
+    # Largest remainder, in whole numbers.
+    share = exact.withColumn("_p", F.expr("cast(n_test as decimal(38,0)) * size")).withColumns({
+        "base": F.expr("_p div total").cast("bigint"), "rest": F.expr("_p % total")})
+    left_over = F.first("n_test").over(everything) - F.sum("base").over(everything)
+    order = Window.orderBy(F.desc("rest"), F.asc("_s"))
+    extra = (F.row_number().over(order) <= left_over).cast("bigint")
+    take = share.withColumn("take", F.col("base") + extra).select("_s", "take")
+    running = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        buckets.withColumn("upto", F.sum("n").over(running)).join(take, "_s")
+        .where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
+        .select("_s", "_b", (F.col("take") - F.col("upto") + F.col("n")).alias("need"))
+    )
+
+
 def global_position(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """0-based position of every row in a total order, without a one-task sort.
 
