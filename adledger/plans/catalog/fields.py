@@ -100,10 +100,10 @@ def _fmt_number(spark, folder):
     return o.select("o_orderkey", numbers.fmt_number(whole, 0).alias("label"), whole.cast("bigint").alias("amount"))
 
 
-def _rounding(digits):
+def _rounding(digits, parts=8):
     def query(spark, folder):
         # Halves of the last digit are exact in binary, so both engines round the same number.
-        value = F.col("o_orderkey") / 8
+        value = F.col("o_orderkey") / parts
         return table(spark, folder, "orders").select(
             "o_orderkey", numbers.round_half_even(value, digits).alias("rounded"))
     return query
@@ -185,6 +185,10 @@ def _canonical(spark, folder):
     return records.canonical_record(derive(spark, folder, VOCAB_INPUT, "orders"))
 
 
+def _canonical_make(spark, folder):
+    return derive(spark, folder, VOCAB_INPUT, "orders").select("id", records.canonical_make("make").alias("make"))
+
+
 def _post_id_from_path(spark, folder):
     return listings(spark, folder).select("listing_id", html.post_id_from_path("path").alias("name"))
 
@@ -215,6 +219,7 @@ QUERIES = {
     "fmt_number": _fmt_number,
     "round1": _rounding(1),
     "round2": _rounding(2),
+    "round4": _rounding(4, 32),
     "parse_run_id": _parse_run_id,
     "iso_z": _iso_z,
     "run_hour": _run_hour,
@@ -223,6 +228,7 @@ QUERIES = {
     "to_json_record": _to_json_record,
     "norm_source_key": _norm_source_key,
     "canonical_vocabularies": _canonical,
+    "canonical_make": _canonical_make,
     "post_id_from_path": _post_id_from_path,
     "post_id_from_url": _post_id_from_url,
     "conform": _conform,
@@ -250,6 +256,7 @@ SELECT id, CASE WHEN regexp_full_match(s, '[+-]?\\d+') THEN CAST(s AS BIGINT) EN
     "fmt_number": "SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS label, CAST(floor(o_totalprice) AS BIGINT) AS amount FROM orders",
     "round1": "SELECT o_orderkey, round_even(o_orderkey / 8.0::DOUBLE, 1) AS rounded FROM orders",
     "round2": "SELECT o_orderkey, round_even(o_orderkey / 8.0::DOUBLE, 2) AS rounded FROM orders",
+    "round4": "SELECT o_orderkey, round_even(o_orderkey / 32.0::DOUBLE, 4) AS rounded FROM orders",
     "parse_run_id": f"""WITH {E_CTE} SELECT event_id, CASE WHEN run_id = 'zz' THEN '1970-01-01T00:00:00Z'
   ELSE strftime({PLAIN_TS}, '%Y-%m-%dT%H:%M:%SZ') END AS scraped_at FROM e""",
     "iso_z": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM events",
@@ -261,6 +268,8 @@ SELECT id, CASE WHEN regexp_full_match(s, '[+-]?\\d+') THEN CAST(s AS BIGINT) EN
     "norm_source_key": f"""WITH s AS ({SOURCE_KEYS.format(orders='orders')})
 SELECT id, CASE WHEN id % 6 = 0 THEN split_part(source_txt, '/', 3) ELSE 'main' END AS bucket,
   CASE WHEN id % 6 IN (0, 1, 5) THEN 'a/' || id || '.txt' END AS key FROM s""",
+    "canonical_make": """SELECT o_orderkey AS id,
+  CASE o_orderkey % 4 WHEN 0 THEN 'Volkswagen' WHEN 1 THEN 'Chevrolet' WHEN 2 THEN 'Land Rover' END AS make FROM orders""",
     "canonical_vocabularies": """
 SELECT o_orderkey AS id,
   CASE o_orderkey % 4 WHEN 0 THEN 'Volkswagen' WHEN 1 THEN 'Chevrolet' WHEN 2 THEN 'Land Rover' END AS make,

@@ -73,7 +73,7 @@ def extract_with_model(records: DataFrame, raw: DataFrame, fn: Callable, provide
     stamped = with_model_text(answered).withColumns({
         "scraped_at": F.coalesce("scraped_at", iso_z(parse_run_id("run_id"))),
         "llm_provider": F.lit(provider), "llm_model": F.lit(model),
-        "llm_ts": iso_z(F.current_timestamp()),
+        "llm_ts": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
     })
     return stamped.select(*[c for c in RECORD_COLUMNS if c in stamped.columns], "error")
 
@@ -119,7 +119,7 @@ class TrainResult:
 
 def training_rows(df: DataFrame, tz: str = "America/New_York") -> DataFrame:
     """Local day and cleaned numbers; rows without a readable day are dropped."""
-    filters.require_columns(df, TRAIN_REQUIRED_COLUMNS)
+    filters.require_columns(df, [*TRAIN_REQUIRED_COLUMNS, *CATEGORICAL_FEATURES])
     dated = filters.drop_bad_date(df.withColumn("date_local", local_day("scraped_at", tz)))
     return dated.withColumns({
         "price_num": clean_numeric_column(df, "price"),
@@ -146,7 +146,7 @@ def train_and_score(
     predictions = models.predict(model, split.holdout)
     scores = metrics.regression_metrics(predictions, predicted="prediction")
     row = scores.select(
-        iso_z(F.current_timestamp()).alias("run_ts"), F.lit(str(split.last_day)).alias("today_local"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("run_ts"), F.lit(str(split.last_day)).alias("today_local"),
         F.lit(split.stats["train_rows"]).alias("train_rows"),
         F.lit(split.stats["holdout_rows"]).alias("holdout_rows"),
         F.col("mae").alias("mae_today"), F.col("rmse").alias("rmse_today"),

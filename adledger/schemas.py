@@ -46,7 +46,7 @@ PREDICTION_COLUMNS = [
     "title_status", "image_url",
 ]
 TRAIN_REQUIRED_COLUMNS = [
-    "scraped_at", "price", "make", "model", "year", "mileage", "engine_cylinders",
+    "post_id", "scraped_at", "price", "make", "model", "year", "mileage", "engine_cylinders",
 ]
 TIERS = ["low", "medium", "high"]
 

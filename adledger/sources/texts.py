@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.html import post_id_from_path
@@ -38,8 +40,15 @@ def layout_rank(path: Column) -> Column:
     )
 
 
+def source_key(path: Column, root: str) -> Column:
+    """Path from the landing root's own folder on (``scrapes/<run>/<post>.txt``), as
+    records name their source. The same wherever the root is mounted."""
+    name = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
+    return F.regexp_replace(path, rf"^.*/(?={name}/(?:run_id=)?(?:{RUN_ID})/)", "")
+
+
 def read_run_texts(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """(run_id, post_id, path, text) of every listing text.
+    """(run_id, post_id, path, text) of every listing text, the path as `source_key`.
 
     A run may have landed in several layouts; only its first non-empty one counts.
     Which one that is, is decided from the file listing alone.
@@ -53,4 +62,4 @@ def read_run_texts(spark: SparkSession, path: str, run_id: str | None = None) ->
 
     best = tagged(list_files(spark, path, "*.txt")).groupBy("run_id").agg(F.min("_rank").alias("_rank"))
     return tagged(texts).join(best, ["run_id", "_rank"], "left_semi").select(
-        "run_id", post_id_from_path("path").alias("post_id"), "path", "text")
+        "run_id", post_id_from_path("path").alias("post_id"), source_key(F.col("path"), path).alias("path"), "text")

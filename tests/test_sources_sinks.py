@@ -6,7 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from adledger.plans.jobs import extract_run, extract_with_model, materialize, materialize_listings, trend_report
+from adledger.plans.jobs import (
+    crawl_index, extract_run, extract_with_model, land_listings, materialize, materialize_listings, trend_report,
+)
 from adledger.schemas import LISTING_COLUMNS, MASTER_COLUMNS, RECORD_COLUMNS
 from adledger.sinks import write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
 from adledger.sources import (
@@ -40,7 +42,9 @@ def test_layouts(spark, tmp_path):
     assert got == {(A, "1"): "one\ntwo", (B, "4"): "four", (C, "5"): "five", (D, "7"): "seven"}
     assert [r.run_id for r in list_runs(spark, str(root)).collect()] == sorted([A, B, C, D])
     assert [r.run_id for r in list_runs(spark, str(root), tagged_only=True).collect()] == sorted([A, B])
-    assert [r.post_id for r in read_run_texts(spark, str(root), D).collect()] == ["7"]
+    row = read_run_texts(spark, str(root), D).first()
+    assert (row.post_id, row.path) == ("7", f"scrapes/{D}/7.txt")
+    assert read_run_texts(spark, str(root), A).first().path == f"scrapes/run_id={A}/txt/1.txt"
 
 
 def test_jsonl(spark, tmp_path):
@@ -161,6 +165,20 @@ def test_index(spark, frame, tmp_path):
     assert spark.read.csv(str(tmp_path / "i"), header=True).columns == ["error", "post_id", "url"]
 
 
+def test_land_listings(spark, frame, tmp_path):
+    search = frame("page_id long, html string", [
+        (1, '<a href="/cars/9.html">a</a><a href="/cars/9b/9.html">same post</a><a href="/cars/5.html">b</a>'),
+        (2, '<a href="/cars/5.html">again</a><a href="/cars/7.html">c</a>')])
+    pages = frame("url string, html string", [
+        ("https://s/cars/9.html", '<h1>Nine</h1><img src="https://images.example.org/9.jpg">'), ("https://s/cars/5.html", "<p>five</p>")])
+    got = {r.post_id: r for r in land_listings(search, pages, "https://s", A, 3).collect()}
+    assert got["9"].text == "Nine\n\nimage_url: https://images.example.org/9.jpg\n" and got["9"].object == f"scrapes/{A}/9.txt"
+    assert got["5"].text == "five\n" and got["5"].error is None and got["5"].image_url == ""
+    assert (got["7"].error, got["7"].object, got["7"].text) == ("page not landed", "", None)
+    assert set(land_listings(search, pages, "https://s", A, 2).toPandas().post_id) == {"9", "5"}
+    assert crawl_index(land_listings(search, pages, "https://s", A)).columns == ["error", "image_url", "object", "post_id", "url"]
+
+
 def test_texts_to_table(spark, tmp_path):
     root = tmp_path / "scrapes"
     put(root, f"{A}/1.txt", "Honda Civic $5,000 2010")
