@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot does not compile longer methods: a projection of many patterns generated
+    # into one would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
