@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -105,12 +106,12 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
     base = holdout.fillna("unknown", [c for c in categorical if c in holdout.columns])
     if feature not in categorical:
         grid = numeric_grid(holdout, feature, points)
-        return _mean_prediction(model, base, feature, grid).orderBy("value").select(
+        return _mean_prediction(model, base, feature, grid, "double").orderBy("value").select(
             F.lit(feature).alias("feature"), F.col("value").cast("string").alias("value"),
             "avg_prediction")
     known = transform.vocabulary(feature)
     unseen = "\u0000unseen"
-    curve = _mean_prediction(model, base, feature, [*known, unseen])
+    curve = _mean_prediction(model, base, feature, [*known, unseen], "string")
     fallback = curve.where(F.col("value") == unseen).select("avg_prediction")
     present = base.select(F.col(feature).alias("value")).distinct()
     return present.join(curve, "value", "left").select(
@@ -119,8 +120,9 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
     ).orderBy("value")
 
 
-def _mean_prediction(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence) -> DataFrame:
-    values = F.array(*[F.lit(v) for v in grid])
+def _mean_prediction(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence, kind: str) -> DataFrame:
+    # One constant, however many categories the model knows.
+    values = F.from_json(F.lit(json.dumps(list(grid))), f"array<{kind}>")
     spread = df.drop(feature).withColumn(feature, F.explode(values))
     return model.transform(spread).groupBy(F.col(feature).alias("value")).agg(
         F.avg("prediction").alias("avg_prediction"))

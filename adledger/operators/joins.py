@@ -1,7 +1,8 @@
 """Equi-joins and lookups.
 
-No side is broadcast by hint: Spark broadcasts by measured size, and adaptive
-execution splits a skewed partition. Rows that need no lookup never enter a join.
+Spark broadcasts by measured size, and adaptive execution splits a skewed
+partition; a broadcast is asked for only after counting. Rows that need no lookup
+never enter a join.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.records import norm_source_key
 from ..functions.text import clean_listing_text, has_text, text_len
 
+# Keys are broadcast up to this many, checked by counting.
+MAX_BROADCAST_KEYS = 200_000
+
 
 def align_by_id(df: DataFrame, lookup: DataFrame, key: str = "post_id") -> DataFrame:
     """Inner join on the key read as text on both sides."""
@@ -36,6 +40,19 @@ def skip_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
     return df.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def wanted_only(lookup: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The lookup rows somebody asks for, if those who ask are checked to be few.
+
+    A left join cannot broadcast its left side, so a big lookup would be shuffled
+    whole to answer a few keys. Up to ``MAX_BROADCAST_KEYS`` distinct keys are
+    broadcast to filter the lookup where it lies; beyond, the lookup stays as it is.
+    """
+    keys = wanted.select(key).distinct()
+    if keys.limit(MAX_BROADCAST_KEYS + 1).count() > MAX_BROADCAST_KEYS:
+        return lookup
+    return lookup.join(F.broadcast(keys), key, "left_semi")
+
+
 def backfill_text(
     df: DataFrame, raw: DataFrame, default_bucket: str, text: str = "combined_text",
     source: str = "source_txt", raw_key: str = "path", raw_text: str = "text",
@@ -49,9 +66,9 @@ def backfill_text(
     marked = df.withColumn("_key", F.when(~has_text(text) & key["key"].isNotNull(), key))
     found = raw.select(norm_source_key(raw_key, default_bucket).alias("_key"),
                        F.col(raw_text).alias("_raw"))
+    empty = marked.where(F.col("_key").isNotNull())
     filled = (
-        marked.where(F.col("_key").isNotNull())
-        .join(found, "_key", "left")
+        empty.join(wanted_only(found, empty, "_key"), "_key", "left")
         .withColumn(text, clean_listing_text("_raw"))
         .select(*df.columns if text in df.columns else [*df.columns, text])
     )
@@ -67,7 +84,7 @@ def record_to_source(
     raw_key: str = "path", raw_text: str = "text",
 ) -> DataFrame:
     """Each record beside its raw text; what is missing is named in ``error``."""
-    lookup = raw.select(F.col(raw_key).alias("_path"), F.col(raw_text).alias("raw_text"))
+    lookup = raw.select(F.col(raw_key).alias(source), F.col(raw_text).alias("raw_text"))
     blank_key = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
     blank_source = F.coalesce(F.col(source), F.lit("")) == ""
     joinable = records.where(~blank_key & ~blank_source)
@@ -75,6 +92,6 @@ def record_to_source(
         "raw_text": F.lit(None).cast("string"),
         "error": F.when(blank_key, F.lit("missing post_id")).otherwise(F.lit("missing source_txt")),
     })
-    joined = joinable.join(lookup, F.col(source) == F.col("_path"), "left").drop("_path").withColumn(
+    joined = joinable.join(wanted_only(lookup, joinable, source), source, "left").withColumn(
         "error", F.when(F.col("raw_text").isNull(), F.lit("source text not found")))
-    return joined.unionByName(broken)
+    return joined.select(*broken.columns).unionByName(broken)

@@ -31,9 +31,13 @@ def land_listings(search_pages: DataFrame, listing_pages: DataFrame, base: str,
     """Links of the search pages, first URL per post, capped; each with its visible
     text and image URL. A post without a landed page gets an error instead."""
     links = sets.union_links(search_pages, base)
-    chosen = dedup.first_by_key_capped(links, "post_id", ["page_id", "position"], max_items)
-    pages = listing_pages.select("url", "html")
-    found = chosen.select("post_id", "url").join(pages, "url", "left")
+    chosen = dedup.first_by_key_capped(links, "post_id", ["page_id", "position"], max_items).select(
+        "post_id", "url")
+    if max_items is not None and max_items <= joins.MAX_BROADCAST_KEYS:
+        # A capped crawl is a short list: make it one, so the links are extracted once.
+        chosen = chosen.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+    pages = joins.wanted_only(listing_pages.select("url", "html"), chosen, "url")
+    found = chosen.join(pages, "url", "left")
     ok = F.col("html").isNotNull()
     image = F.when(ok, first_image_url("html", host)).otherwise(F.lit(""))
     return found.withColumn("image_url", image).select(
