@@ -12,6 +12,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -68,10 +69,15 @@ def compare(spark, con, folder, name, query, sql):
 def main():
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--plain", action="store_true", help="a session with Spark's defaults")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = get_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-                                              "spark.ui.showConsoleProgress": "false"})
+    if args.plain:
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session("compare", "local[8]", **{
+            "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(args.sf), all_oracles(), 0
     for name, query in all_queries().items():
