@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash
-from .common import id_hash, stored, table
+from . import langid, shards, simhash, topk
+from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,12 +17,38 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def op1_norm_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors.select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
+"""
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "lang")
     return langid.train_and_identify(docs).select(
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select(
+        "doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return shards.shard(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     prints = stored(simhash.fingerprint(docs).select("doc_id", "fingerprint"), "fingerprints")
@@ -31,7 +57,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_norm_topk": op1_norm_topk,
     "op4_language_id": op4_language_id,
+    "op7_histogram_shards": op7_histogram_shards,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL}
