@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, shards, simhash, topk
+from ..session import scratch_path
+from . import langid, shards, simhash, topk, warc
 from .common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,24 @@ SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
 """
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+    return warc.read_archives(spark, path).filter("quarantined IS NULL").select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+), r AS (SELECT *, strlen(html) >= 100 AND page_id > first AS again FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+FROM r
+"""
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "lang")
     return langid.train_and_identify(docs).select(
@@ -58,8 +77,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
+    "op2_warc": op2_warc,
     "op4_language_id": op4_language_id,
     "op7_histogram_shards": op7_histogram_shards,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL}
