@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, shards, simhash, topk, warc
-from .common import stored, table
+from . import langid, lmscore, shards, simhash, topk, warc
+from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,12 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(id_hash("doc_id") % 5 == 1, F.lit(False))
+    scored = lmscore.score(documents(spark, folder).select("doc_id", "text"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select(
         "doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
     "op2_warc": op2_warc,
     "op4_language_id": op4_language_id,
+    "op6_ppm_score": op6_ppm_score,
     "op7_histogram_shards": op7_histogram_shards,
     "op10_simhash": op10_simhash,
 }
