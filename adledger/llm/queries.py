@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, lmscore, shards, simhash, topk, warc
+from . import bpe, langid, lmscore, shards, simhash, topk, warc
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,17 @@ def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def tokenizer_path() -> str:
+    """Place of the public tokenizer file; the library ships none."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode(documents(spark, folder).select("doc_id", "text"), tokenizer_path()).drop("text")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     prints = stored(simhash.fingerprint(docs).select("doc_id", "fingerprint"), "fingerprints")
@@ -87,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op6_ppm_score": op6_ppm_score,
     "op7_histogram_shards": op7_histogram_shards,
+    "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL}
