@@ -119,11 +119,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", order: st
     if share < 1:
         rows = rows.filter(F.col("h") < int(share * 2**64) - 2**63)
     sums = (rows.select("text", "lang").mapInArrow(count_grams(bins, "text", "lang"), "lang string, bin long, n long")
-            .groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas())
+            .groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(priors)
     counts = np.zeros((bins, len(languages)))
     column = {language: j for j, language in enumerate(languages)}
-    counts[sums["bin"].to_numpy(int), sums["lang"].map(column).to_numpy(int)] = sums["n"].to_numpy(float)
+    counts[sums["bin"].to_numpy(), [column[x] for x in sums["lang"].to_pylist()]] = sums["n"].to_numpy()
     prior = np.array([priors[x] for x in languages], float)
     return LanguageModel(languages, np.log(prior / prior.sum()), np.log((counts + 1) / (counts.sum(0) + bins)))
 

@@ -2,9 +2,9 @@
 
 Training gathers the counts of every byte with the five bytes before it, over all training
 texts; shorter contexts follow by adding up. A byte is predicted in its longest context that
-training has seen; when it never followed that context, an escape (estimated by the number of
-different bytes seen there) leads to the next shorter one, in which bytes already offered
-by the longer contexts are excluded; at last all bytes that were never seen share the rest.
+training has seen. Of n sightings there, each different byte gives up one half to the escape;
+a byte that never followed the context escapes to the next shorter one, in which bytes already
+offered by the longer contexts are excluded; at last all bytes never seen share the rest.
 
 The counts grow with the corpus, so they are never broadcast whole: contexts are dealt by
 their last two bytes into slices of bounded size, each slice is broadcast once, and texts
@@ -129,8 +129,8 @@ class Contexts:
             free, fresh = total - excluded, seen - kinds
             hit = n > 0
             with np.errstate(divide="ignore", invalid="ignore"):
-                out[left[hit]] += np.log10(n[hit] / (free + fresh)[hit])
-                escape = np.where(known & (fresh > 0), np.log10(fresh / (free + fresh)), 0.0)
+                out[left[hit]] += np.log10((n - 0.5)[hit] / free[hit])
+                escape = np.where(known & (fresh > 0), np.log10(0.5 * fresh / free), 0.0)
             out[left[~hit]] += escape[~hit]
             excluded, kinds = (np.where(known, now, before)[~hit] for now, before in ((below, excluded * 0), (seen, kinds * 0)))
             left = left[~hit]
@@ -170,7 +170,7 @@ def slices(weights: np.ndarray, most: int) -> list[np.ndarray]:
     return [out == i for i in range(number + 1)]
 
 
-def ppm_parts(rows: DataFrame, learns: Column, slice_grams: int = 4_000_000) -> DataFrame:
+def ppm_parts(rows: DataFrame, learns: Column, slice_grams: int = 3_000_000) -> DataFrame:
     """rows(id, row, text) -> (id, row, slice, part): the parts of a text's log10 probability."""
     spark = rows.sparkSession
     counted = stored(rows.filter(learns).select("text").mapInArrow(count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
@@ -185,8 +185,8 @@ def ppm_parts(rows: DataFrame, learns: Column, slice_grams: int = 4_000_000) ->
     parts = None
     for number, mine in enumerate(slices(weights, slice_grams)):
         own = np.flatnonzero(mine)
-        table = counted.filter(ends.between(int(own[0]), int(own[-1]))).toPandas()
-        shared = spark.sparkContext.broadcast((mine.tobytes(), table["gram"].to_numpy(np.uint64).tobytes(), table["n"].to_numpy(np.int64).tobytes(), low.tobytes()))
+        table = counted.filter(ends.between(int(own[0]), int(own[-1]))).toArrow()
+        shared = spark.sparkContext.broadcast((mine.tobytes(), table["gram"].to_numpy().tobytes(), table["n"].to_numpy().tobytes(), low.tobytes()))
         part = rows.select("id", "row", "text").mapInArrow(predict_slice(shared, number), "id long, row long, slice int, part double")
         parts = part if parts is None else parts.unionByName(part)
     return parts
