@@ -29,7 +29,8 @@ from .rolling import Substrings
 
 ORDER = 5
 START, END = b"\xfe" * ORDER, b"\xff"
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 19
+HELD_GRAMS = 2_000_000
 BATCH_TEXTS = 32_768
 SIXTEEN = np.uint64(16)
 
@@ -53,21 +54,37 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For every byte (and end) of the texts: its six bytes as a number, and its text's number."""
     data = np.frombuffer(b"".join([START + t + END for t in texts]), np.uint8)
     lengths = np.array([len(t) + 1 for t in texts])
-    starts = np.cumsum(lengths + ORDER) - lengths
-    at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    mine = np.ones(len(data), bool)
+    mine[(np.cumsum(lengths + ORDER) - lengths - ORDER)[:, None] + np.arange(ORDER)] = False
     code = np.zeros(len(data), np.uint64)
-    wide = data.astype(np.uint64)
     for back in range(ORDER, -1, -1):
-        code = (code << np.uint64(8))
-        code[back:] |= wide[:len(data) - back] if back else wide
-    return code[at], np.repeat(np.arange(len(texts)), lengths)
+        code <<= np.uint64(8)
+        code[back:] |= data[:len(data) - back]
+    return code[mine], np.repeat(np.arange(len(texts), dtype=np.uint64), lengths)
+
+
+def added_up(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[first], np.add.reduceat(n, first)
 
 
 def count_grams(batches):
+    """Counts of a partition, sent on whenever there are many."""
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+    held, size = [], 0
     for _, texts in joined_texts(batches):
-        code, n = np.unique(grams(texts)[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], schema=schema)
+        held.append(np.unique(grams(texts)[0], return_counts=True))
+        size += len(held[-1][0])
+        if size > HELD_GRAMS:
+            held = [added_up(*map(np.concatenate, zip(*held)))]
+            size = len(held[0][0])
+            if 2 * size > HELD_GRAMS:
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in held[0]], schema=schema)
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in added_up(*map(np.concatenate, zip(*held)))], schema=schema)
 
 
 class Contexts:
@@ -147,7 +164,7 @@ def predict_slice(shared, number: int):
         for columns, texts in joined_texts(batches, "id", "row"):
             code, owner = grams(texts)
             inside = mine[(code >> np.uint64(8)).astype(np.int64) & 65_535]
-            keyed = np.sort(code[inside] << SIXTEEN | owner[inside].astype(np.uint64))
+            keyed = np.sort(code[inside] << SIXTEEN | owner[inside])
             code = keyed >> SIXTEEN
             first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
             value = np.repeat(model.log10(code[first]), np.diff(np.append(first, len(code))))
