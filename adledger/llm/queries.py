@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, lmscore, shards, simhash, topk, warc
+from . import bpe, decontaminate, langid, lmscore, shards, simhash, topk, warc
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, folder), table(spark, folder, "benchmark")).select(
+        "doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "distance")
+
+
 def op6_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(id_hash("doc_id") % 5 == 1, F.lit(False))
     scored = lmscore.score(documents(spark, folder).select("doc_id", "text"), ~held_out)
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
     "op2_warc": op2_warc,
     "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
     "op6_ppm_score": op6_ppm_score,
     "op7_histogram_shards": op7_histogram_shards,
     "op9_bpe": op9_bpe,
