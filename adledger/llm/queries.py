@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, langid, lmscore, shards, simhash, topk, warc
+from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, topk, warc
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ FROM r
 """
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "lang")
     return langid.train_and_identify(docs).select(
@@ -100,6 +105,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
     "op2_warc": op2_warc,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_ppm_score": op6_ppm_score,
