@@ -268,8 +268,8 @@ def send_words(shards: int):
 def answer_shard(sent: pa.Table) -> pa.Table:
     """Count the training words of a shard and send every text its sums."""
     words = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in sent.column("words")])
-    counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in sent.column("counts")]).astype(np.int64)
-    owners = [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in sent.column("owners")]
+    counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in sent.column("counts")])
+    owners = [np.frombuffer(x.as_py(), "<u2") for x in sent.column("owners")]
     learns = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8))[o] for x, o in zip(sent.column("learns"), owners)]).astype(bool)
     taught, back = np.unique(words[learns], return_inverse=True)
     total = np.bincount(back, weights=counts[learns], minlength=len(taught)).astype(np.int64)
@@ -301,7 +301,7 @@ def sum_batch(parts: pa.Table) -> pa.Table:
     return pa.table({"id": ids, "row": rows, "logs": logs, "known": known, "tokens": tokens})
 
 
-def word_sums(rows: DataFrame, words_per_shard: int = 8_000_000, least_shards: int = 24) -> tuple[DataFrame, int, int]:
+def word_sums(rows: DataFrame, words_per_shard: int = 4_000_000, least_shards: int = 48) -> tuple[DataFrame, int, int]:
     """rows(id, row, text, learns) -> (id, row, logs, known, tokens), and the training corpus'
     tokens and distinct words. A shard holds its words once, so its size is bounded by
     the number of shards, which grows with the bytes of the texts."""
