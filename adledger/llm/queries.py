@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, topk, warc
+from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, suffix, topk, warc
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,12 @@ def op7_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix.remove_repeats(documents(spark, folder).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_path() -> str:
     """Place of the public tokenizer file; the library ships none."""
     import public_tokenizers
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_ppm_score": op6_ppm_score,
     "op7_histogram_shards": op7_histogram_shards,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
 }
