@@ -160,16 +160,19 @@ def _pairs(live: DataFrame) -> DataFrame:
 PLACE = ("d0", "d1", "d2", "line_no")
 
 
+def _identity(text: str, order: str) -> dict[str, Column]:
+    return {"d0": F.col(order).isNull(), "d1": F.coalesce(F.col(order).cast("long"), F.lit(0)), "d2": F.xxhash64(F.coalesce(text, F.lit("")))}
+
+
 def identified(docs: DataFrame, text: str, order: str) -> DataFrame:
-    """Add d0, d1, d2: whether the id is null, the id, and a hash of the text. In this order
+    """(d0, d1, d2, text): whether the id is null, the id, and a hash of the text. In this order
     documents come first or later; rows equal in both are one document."""
-    return docs.withColumns({"d0": F.col(order).isNull(), "d1": F.coalesce(F.col(order).cast("long"), F.lit(0)),
-                             "d2": F.xxhash64(F.coalesce(text, F.lit("")))})
+    return docs.select(*[c.alias(n) for n, c in _identity(text, order).items()], F.col(text).alias("text"))
 
 
-def lines_of(docs: DataFrame, text: str, least: int) -> DataFrame:
-    """(d0, d1, d2, line_no, line, h, h2) of lines that are long enough."""
-    split = docs.select("d0", "d1", "d2", F.posexplode_outer(F.split(F.coalesce(text, F.lit("")), "\n", -1)).alias("line_no", "line"))
+def lines_of(docs: DataFrame, least: int) -> DataFrame:
+    """(d0, d1, d2, line_no, line, h, h2) of the lines of identified documents that are long enough."""
+    split = docs.select("d0", "d1", "d2", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line_no", "line"))
     return split.filter(F.length("line") >= least).withColumns({"h": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
 
@@ -182,7 +185,7 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
                most_pairs: int = MOST_PAIRS) -> tuple[DataFrame, DataFrame]:
     """Repeated lines (h, h2, first) with the place of their first copy, and links between
     different lines (h, h2, first of the later one, early: place of the earlier one)."""
-    lines = lines_of(identified(docs, text, order), text, least)
+    lines = lines_of(identified(docs, text, order), least)
     repeated = stored(lines.groupBy("h", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
                       .filter("n > 1").drop("n"), "repeated-lines")
     first = lines.join(sent(repeated), ["h", "h2"], "left").withColumn("place", F.struct(*PLACE)).filter(
@@ -215,19 +218,20 @@ def dedup_lines(docs: DataFrame, text: str = "text", order: str = "doc_id", k: i
     """
     repeated, links = line_links(docs, text, order, k, least, most_pairs)
     near = stored(links.select("h", "h2").distinct().withColumn("near", F.lit(True)), "near-lines")
-    docs = identified(docs.drop("n_lines", "n_removed", "n_links"), text, order)
     again = F.col("first").isNotNull() & (F.col("first") != F.struct(*PLACE))
-    marked = lines_of(docs, text, 0).drop("line").join(sent(repeated), ["h", "h2"], "left").join(sent(near), ["h", "h2"], "left").select(
+    marked = lines_of(identified(docs, text, order), 0).drop("line").join(sent(repeated), ["h", "h2"], "left").join(sent(near), ["h", "h2"], "left").select(
         "d0", "d1", "d2", F.struct("line_no", (again | F.coalesce("near", F.lit(False))).alias("goes")).alias("line"))
     flags = marked.groupBy("d0", "d1", "d2").agg(F.collect_set("line").alias("lines"), F.max("line.goes").alias("any")).filter("any").drop("any")
     linked = links.select(F.explode(F.array_distinct(F.array(*[F.struct(f"{c}.d0", f"{c}.d1", f"{c}.d2") for c in ("first", "early")]))).alias("d")).groupBy(
         "d.d0", "d.d1", "d.d2").agg(F.count("*").alias("n_links"))
-    found = flags.join(linked, ["d0", "d1", "d2"], "full").withColumnRenamed("n_links", "__links")
+    own = {f"__{d}": F.col(d) for d in ("d0", "d1", "d2")}
+    found = flags.join(linked, ["d0", "d1", "d2"], "full").select(*[c.alias(n) for n, c in own.items()], F.col("lines").alias("__lines"), F.col("n_links").alias("__links"))
+    keys = dict(zip(own, _identity(text, order).values()))
     split = F.split(F.col(text), "\n", -1)
-    stay = let(F.array_sort("lines"), lambda f: F.filter(split, lambda x, i: ~F.get(f, i)["goes"]))
-    gone = F.coalesce(F.size(F.filter("lines", lambda x: x["goes"])), F.lit(0))
+    stay = let(F.array_sort("__lines"), lambda f: F.filter(split, lambda x, i: ~F.get(f, i)["goes"]))
+    gone = F.coalesce(F.size(F.filter("__lines", lambda x: x["goes"])), F.lit(0))
     counts = {"n_lines": F.when(F.length(text) > 0, F.size(split)).otherwise(0).cast("long"), "n_removed": F.when(
-        F.col("lines").isNull(), 0).otherwise(gone).cast("long"), "n_links": F.coalesce("__links", F.lit(0)).cast("long")}
-    kept = F.when(F.col("lines").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
-    return docs.join(found, ["d0", "d1", "d2"], "left").withColumns({**counts, "__kept": kept}).drop(
-        "d0", "d1", "d2", "lines", "__links").withColumn(text, F.col("__kept")).drop("__kept")
+        F.col("__lines").isNull(), 0).otherwise(gone).cast("long"), "n_links": F.coalesce("__links", F.lit(0)).cast("long")}
+    kept = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
+    return docs.drop(*counts).withColumns(keys).join(found, [*keys], "left").withColumns({**counts, "__kept": kept}).withColumn(
+        text, F.col("__kept")).drop(*keys, "__lines", "__links", "__kept")

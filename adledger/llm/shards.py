@@ -95,9 +95,9 @@ def _within(bits: int, prefixes: list[int]) -> Column:
                       for p in prefixes])
 
 
-def _shard_of(bounds: list[int]) -> Column:
+def _shard_of(bounds: list[int], k1: str, k2: str) -> Column:
     """Number of splitters at or below the key of a row."""
-    k1, k2 = (F.col(c).bitwiseXOR(F.lit(LOW)) for c in ("k1", "k2"))  # unsigned order
+    k1, k2 = (F.col(c).bitwiseXOR(F.lit(LOW)) for c in (k1, k2))  # unsigned order
 
     def reached(bound: int) -> Column:
         if bound >= 2**WIDTH:
@@ -118,19 +118,19 @@ def shard(df: DataFrame, shards: int = 24, text: str = "text", order: str = "doc
     null texts count as one text, null ids sort by their hash like others, and repeated
     rows have slots of their own. Columns named shard or slot are replaced.
     """
-    df = df.drop("shard", "slot").withColumns({"k1": F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull()),
-                                               "k2": F.xxhash64(order)})
-    narrow = stored(df.select("k1", "k2", F.col(size).alias("size")), "shard-keys")
+    df = df.drop("shard", "slot")
+    keys = {"k1": F.xxhash64(F.coalesce(text, F.lit("")), F.col(text).isNull()), "k2": F.xxhash64(order)}
+    narrow = stored(df.select(*[c.alias(n) for n, c in keys.items()], F.col(size).cast("long").alias("size")), "shard-keys")
     bounds = splitter_keys(narrow, shards, tolerance)
     # A shard is sorted in runs, so that no task sorts a whole one; runs are numbered through.
     runs = 1 + narrow.count() // (shards * rows_per_run)
-    placed = {"shard": _shard_of(bounds), "run": F.pmod(F.xxhash64("k2", F.lit(7)), F.lit(runs)).cast("int")}
-    counts = narrow.withColumns(placed).groupBy("shard", "run").agg(F.count("*").alias("n"))
-    before = counts.select("shard", "run", (F.sum("n").over(Window.partitionBy("shard").orderBy("run")) - F.col("n")).alias("before"))
-    in_run = F.row_number().over(Window.partitionBy("shard", "run").orderBy(
-        F.col("k1").bitwiseXOR(F.lit(LOW)), F.col("k2").bitwiseXOR(F.lit(LOW))))
-    return (df.withColumns(placed).withColumn("row_in_run", in_run).join(F.broadcast(before), ["shard", "run"])
-            .withColumn("slot", F.col("before") + F.col("row_in_run") - 1).drop("k1", "k2", "run", "row_in_run", "before"))
+    place = lambda k1, k2: {"__shard": _shard_of(bounds, k1, k2), "__run": F.pmod(F.xxhash64(k2, F.lit(7)), F.lit(runs)).cast("int")}
+    counts = narrow.withColumns(place("k1", "k2")).groupBy("__shard", "__run").agg(F.count("*").alias("n"))
+    before = counts.select("__shard", "__run", (F.sum("n").over(Window.partitionBy("__shard").orderBy("__run")) - F.col("n")).alias("__before"))
+    in_run = F.row_number().over(Window.partitionBy("__shard", "__run").orderBy(*[F.col(k).bitwiseXOR(F.lit(LOW)) for k in ("__k1", "__k2")]))
+    placed = df.withColumns({f"__{n}": c for n, c in keys.items()}).withColumns(place("__k1", "__k2")).withColumn("__in_run", in_run)
+    return placed.join(F.broadcast(before), ["__shard", "__run"]).withColumns({
+        "shard": F.col("__shard"), "slot": F.col("__before") + F.col("__in_run") - 1}).drop("__shard", "__run", "__k1", "__k2", "__in_run", "__before")
 
 
 def write_shards(df: DataFrame, path: str) -> None:
