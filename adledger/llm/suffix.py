@@ -194,6 +194,16 @@ def common(a: bytes, b: bytes, start: int = 0) -> int:
     return start
 
 
+def united(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals in order of their starts, with those that touch made one."""
+    if not len(first):
+        return first, last
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(last[order])
+    new = np.flatnonzero(np.append(True, first[1:] > reach[:-1]))
+    return first[new], reach[np.append(new[1:], len(first)) - 1]
+
+
 def front_code(strings: list[bytes]) -> tuple[bytes, bytes, bytes]:
     """Sorted strings as lengths shared with the string before, full lengths, and tails."""
     shared = [0, *(common(a, b) for a, b in zip(strings, strings[1:]))][:len(strings)]
@@ -238,8 +248,8 @@ def make_runs(parts: int):
             lefts = [data[first[i]:at[i]] for i in order]
             rows.append((key[0].as_py(), p, shared, lengths, tails, b"".join(lefts), bytes(map(len, lefts)), bytes(at[i] - last[i] for i in order),
                          classes.least[mine][order].astype("<i8").tobytes(), mine[order].astype("<u4").tobytes(), *[None] * 8))
-        rows.append((key[0].as_py(), -1, *[None] * 8, packed, ends, marks, docs.astype("<i8").tobytes(), found.first[covered].astype("<u4").tobytes(),
-                     (found.last[covered] + WINDOW).astype("<u4").tobytes(), classes.of[again].astype("<u4").tobytes(), found.at[again].astype("<u4").tobytes()))
+        gone = united(found.first[covered], found.last[covered] + WINDOW)
+        rows.append((key[0].as_py(), -1, *[None] * 8, packed, ends, marks, docs.astype("<i8").tobytes(), *(x.astype("<u4").tobytes() for x in gone), classes.of[again].astype("<u4").tobytes(), found.at[again].astype("<u4").tobytes()))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), RUN)], schema=RUN)
 
     return run
