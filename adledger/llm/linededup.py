@@ -66,6 +66,27 @@ def banded_distance(a: Column, b: Column, k: int = THRESHOLD) -> Column:
     return let(characters(a), lambda p: let(characters(b), lambda t: steps(p, t)))
 
 
+def letter_pairs(text: Column) -> Column:
+    """64 parities of the pairs of neighbouring characters. An edit changes at most four pairs,
+    so texts within k edits differ in at most 4 k of these bits."""
+    bit = lambda a, b: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(a, b), F.lit(64)).cast("int"))
+    return let(characters(text), lambda c: F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(
+        bit(F.get(c, i), F.get(c, i + 1)))))
+
+
+def broken_pieces(a: Column, b: Column, k: int, most: int = 32) -> Column:
+    """How many of up to ``most`` short pieces of a stand nowhere within k characters of their
+    place in b. An edit breaks one piece at most."""
+    def count(n: Column) -> Column:
+        pieces = F.greatest(F.lit(1), F.least(F.lit(most), F.call_function("div", n, F.lit(5)).cast("int")))
+        edge = lambda i: F.call_function("div", n.cast("long") * i, pieces).cast("int")
+        broken = lambda i: let(F.substring(a, edge(i) + 1, edge(i + 1) - edge(i)), lambda piece: ~_fold(lambda x, y: x | y, [
+            (edge(i) + 1 + d > 0) & (F.substring(b, edge(i) + 1 + d, edge(i + 1) - edge(i)) == piece) for d in sorted(range(-k, k + 1), key=abs)]))
+        return F.size(F.filter(F.sequence(F.lit(0), pieces - 1), broken))
+
+    return let(F.length(a), count)
+
+
 def _fold(join, columns) -> Column:
     out = columns[0]
     for c in columns[1:]:
@@ -77,7 +98,8 @@ def _fold(join, columns) -> Column:
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """Start (from 1) and size of the i-th of ``parts`` nearly equal segments, longer ones last."""
-    base, spare = F.floor(length / parts).cast("int"), (length % parts).cast("int")
+    spare = length % parts
+    base = F.call_function("div", length - spare, F.lit(parts)).cast("int")
     return F.lit(1) + base * i + F.greatest(F.lit(0), F.lit(i - parts) + spare), base + (spare >= parts - i).cast("int")
 
 
@@ -86,24 +108,27 @@ def shifts(i: int, longer: int, k: int) -> range:
     return range(max(-i, longer - (k - i)), min(i, longer + (k - i)) + 1)
 
 
-def entries(path: Column, rest: Column, target: Column, role: int, longer: int, k: int) -> list[Column]:
+def entries(path: Column, rest: Column, target: Column, role: int, longer: int, k: int, places: bool = True) -> list[Column]:
     """Keys of a text: as one of length ``target`` that others look up (role 0, with the shifted
-    places of its own length), or as one that looks up those of length ``target`` (role 1)."""
+    places of its own length), or as one that looks up those of length ``target`` (role 1).
+    ``places`` adds where the segment stands."""
     out = []
     for i in range(k + 1):
         start, size = segment(target, i, k + 1)
         for shift in shifts(i, longer, k):
             part = F.substring(rest, start + shift, size)
-            out.append(F.struct(F.xxhash64(path, target, F.lit(i), part).alias("key"),
-                                F.lit(0 if role == 0 and shift == 0 else 1).alias("role"), F.lit(longer).alias("longer"),
-                                (start + shift).alias("start"), size.alias("size")))
+            fields = [F.xxhash64(path, target, F.lit(i), part).alias("key"), F.lit(0 if role == 0 and shift == 0 else 1).alias("role")]
+            if places:
+                fields += [F.lit(longer).alias("longer"), (start + shift).alias("start"), size.alias("size")]
+            out.append(F.struct(*fields))
     return out
 
 
-def line_entries(path: Column, line: Column, k: int) -> Column:
+def line_entries(line: str, length: str, k: int, places: bool = True) -> Column:
     """All entries of a whole line, as itself and against lines up to k characters shorter."""
-    length = F.length(line)
-    return F.array(*entries(path, line, length, 0, 0, k), *[e for d in range(1, k + 1) for e in entries(path, line, length - d, 1, d, k)])
+    path, line, length = F.lit(0), F.col(line), F.col(length)
+    return F.array(*entries(path, line, length, 0, 0, k, places),
+                   *[e for d in range(1, k + 1) for e in entries(path, line, length - d, 1, d, k, places)])
 
 
 def meeting(keyed: DataFrame) -> DataFrame:
@@ -133,8 +158,7 @@ def candidate_pairs(texts: DataFrame, live: DataFrame, k: int = THRESHOLD, most_
             break
         found.append(_pairs(live.join(large, "key", "left_anti")))
         if level is None:  # the first keys were made without keeping the texts
-            level = texts.select("id", F.col("line").alias("rest"), F.explode_outer(
-                line_entries(F.lit(0), F.col("line"), k)).alias("e")).select("id", "rest", "e.*")
+            level = texts.select("id", F.col("line").alias("rest"), F.explode_outer(line_entries("line", "size", k)).alias("e")).select("id", "rest", "e.*")
         left = F.concat(F.expr("substring(rest, 1, start - 1)"), F.expr("substring(rest, start + size)"))
         shared = stored(level.join(large, "key", "left_semi").select(
             "id", "role", "longer", F.col("key").alias("path"), left.alias("rest")), "shared-segments")
@@ -171,9 +195,9 @@ def identified(docs: DataFrame, text: str, order: str) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, least: int) -> DataFrame:
-    """(d0, d1, d2, line_no, line, h, h2) of the lines of identified documents that are long enough."""
+    """(d0, d1, d2, line_no, line, size, h, h2) of the lines of identified documents that are long enough."""
     split = docs.select("d0", "d1", "d2", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line_no", "line"))
-    return split.filter(F.length("line") >= least).withColumns({"h": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
+    return split.withColumn("size", F.length("line")).filter(F.col("size") >= least).withColumns({"h": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
 
 def sent(df: DataFrame) -> DataFrame:
@@ -190,15 +214,20 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
                       .filter("n > 1").drop("n"), "repeated-lines")
     first = lines.join(sent(repeated), ["h", "h2"], "left").withColumn("place", F.struct(*PLACE)).filter(
         "first IS NULL OR first = place").withColumn("id", F.col("h"))
-    keyed = first.select("id", F.explode_outer(F.transform(line_entries(F.lit(0), F.col("line"), k), lambda e: F.struct(
-        e["key"].alias("key"), e["role"].cast("byte").alias("role")))).alias("e")).select("e.key", "id", "e.role")
+    keyed = first.select("id", F.explode_outer(line_entries("line", "size", k, places=False)).alias("e")).select("e.key", "id", "e.role")
     live = stored(meeting(keyed), "live-segments")
     met = stored(live.select("id").distinct(), "live-lines")
-    texts = stored(first.join(sent(met), "id", "left_semi").select("id", "h", "h2", "place", "line").distinct(), "live-texts")
+    texts = first.join(sent(met), "id", "left_semi").select("id", "h", "h2", "place", "line", "size")
+    texts = stored(texts.withColumn("parity", letter_pairs(F.col("line"))), "live-texts")
+    # Pairs are first judged by two numbers each; only what may still be near gets its texts.
     pairs = candidate_pairs(texts, live, k, most_pairs)
-    side = lambda n: texts.select(*[F.col(c).alias(f"{c}_{n}") for c in texts.columns])
-    close = pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b")).filter(
-        F.abs(F.length("line_a") - F.length("line_b")) <= k).filter(banded_distance(F.col("line_a"), F.col("line_b"), k) <= k)
+    brief = lambda n: texts.select(F.col("id").alias(n), F.col("size").alias(f"size_{n}"), F.col("parity").alias(f"parity_{n}"))
+    likely = pairs.join(brief("a"), "a").join(brief("b"), "b").filter(
+        (F.abs(F.col("size_a") - F.col("size_b")) <= k) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * k))
+    likely = stored(likely.select("a", "b").distinct(), "likely-pairs")
+    side = lambda n: texts.drop("parity", "size").withColumnsRenamed({c: n if c == "id" else f"{c}_{n}" for c in texts.columns})
+    close = likely.join(side("a"), "a").join(side("b"), "b").filter(
+        F.when(broken_pieces(F.col("line_a"), F.col("line_b"), k) <= k, banded_distance(F.col("line_a"), F.col("line_b"), k) <= k).otherwise(False))
     late = F.col("place_a") > F.col("place_b")
     pick = lambda c, other=False: F.when(late != other, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))
     links = close.select(pick("h").alias("h"), pick("h2").alias("h2"), pick("place").alias("first"), pick("place", True).alias("early"))
