@@ -160,8 +160,9 @@ RECORD_SCHEMA = pa.schema([
     ("payload", pa.binary()), ("quarantined", pa.string())])
 
 
-def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 100) -> DataFrame:
-    """page_id, url, html, digest, refers_to: which page carries a payload and which refers.
+def plan_records(pages: DataFrame, archives: int, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 100) -> DataFrame:
+    """page_id, url, html, digest, refers_to: which page carries a payload and which refers,
+    dealt into so many parts.
 
     Among pages with equal payloads of at least ``least`` bytes, the smallest id responds
     (every row of it, if it is repeated) and the others refer to it. A null html is an
@@ -170,10 +171,12 @@ def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("html"))
     rows = rows.withColumn("digest", F.sha2("html", 256))
-    shared = (rows.filter(F.octet_length("html") >= least).select("digest", "page_id").groupBy("digest")
-              .agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first < last"))
-    return rows.join(shared.select("digest", "first"), "digest", "left").select(
-        "page_id", "url", "html", "digest", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("refers_to"))
+    known = rows.filter(F.octet_length("html") >= least).select("digest", "page_id")
+    shared = known.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first < last")
+    # Who refers to whom is settled without payloads, which then travel once, dealt by page.
+    refers = known.join(shared, "digest").filter("page_id > first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
+    return rows.repartition(archives, "page_id", "digest").join(refers, ["page_id", "digest"], "left").select(
+        "page_id", "url", "html", "digest", "refers_to")
 
 
 def name_of(page) -> str:
@@ -193,9 +196,8 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = 8 << 20, **
 
     An archive is read in one piece later, so its size is what bounds a task's memory.
     """
-    planned = plan_records(pages, **names)
     total = pages.agg(F.sum(F.octet_length(names.get("html", "html")))).first()[0] or 0
-    (planned.repartition(1 + total // archive_bytes, F.xxhash64("page_id", "digest")).mapInArrow(to_members, "member binary")
+    (plan_records(pages, 1 + total // archive_bytes, **names).mapInArrow(to_members, "member binary")
      .select(F.col("member").cast("string")).write.option("encoding", "ISO-8859-1")
      .option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path))
 
