@@ -31,11 +31,12 @@ LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]"
 POST_PAGE = r"/(\d+)\.html?$"
 RAW_POST_LINK = r'href="([^"]+?/\d+\.html)"'
 ANCHOR = rf"(?is)<a\s{ATTRS}>"
-#: Anchors that count in any spelling: result titles, and all inside a result item.
+#: Anchors that count in any spelling: result titles, and all inside a result item,
+#: whatever element that is.
 TITLE_CLASS = r"""(?is)\bclass\s*=\s*["']?[^"'>]*(?<![\w-])result-title(?![\w-])"""
-RESULT_ITEM = (
-    r"""(?is)<li\b[^>]*\bclass\s*=\s*["']?[^"'>]*(?<![\w-])(?:cl-search-result|result-row)(?![\w-])[^>]*>.*?</li\s*>"""
-)
+ITEM_CLASS = r"""(?is)\bclass\s*=\s*["']?[^"'>]*(?<![\w-])(?:cl-search-result|result-row)(?![\w-])"""
+# Elements without an end tag.
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
 
 @F.pandas_udf(T.StringType())
@@ -49,10 +50,42 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
+def unescaped(text: Column) -> Column:
+    """Text with its entities decoded; only text that holds any goes to Python."""
+    return F.coalesce(unescape_entities(F.when(text.contains("&"), text)), text)
+
+
 def _ampersands(url: Column) -> Column:
     return F.regexp_replace(url, "&amp;", "&")
 
 
+def _decoded(urls: Column) -> Column:
+    """An array of URLs with all entities decoded, in one call per page."""
+    return F.when(F.size(urls) > 0, F.split(unescaped(F.array_join(urls, "\n")), "\n")).otherwise(urls)
+
+
+def anchors_in_items(live: Column) -> Column:
+    """Anchors inside result items. One walk over the tags: an item of any element lasts
+    until its own end tag, elements of the same name inside it counted."""
+    tags = F.regexp_extract_all(live, F.lit(rf"(?is){TAG}"), F.lit(0))
+
+    def walk(state: Column, tag: Column) -> Column:
+        name = F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1))
+        closing, open_ = tag.startswith("</"), state["item"] != ""
+        lasting = ~closing & ~name.isin(VOID) & ~tag.endswith("/>")
+        same = name == state["item"]
+        depth = F.when(open_ & same & closing, state["depth"] - 1).when(open_ & same & lasting, state["depth"] + 1).otherwise(state["depth"])
+        starts = ~open_ & lasting & tag.rlike(ITEM_CLASS)
+        return F.struct(
+            F.when(starts, name).when(open_ & (depth == 0), F.lit("")).otherwise(state["item"]).alias("item"),
+            F.when(starts, F.lit(1)).otherwise(depth).alias("depth"),
+            F.when(open_ & (name == "a") & ~closing, F.concat(state["found"], F.array(tag))).otherwise(state["found"]).alias("found"))
+
+    start = F.struct(F.lit("").alias("item"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("found"))
+    found = F.aggregate(tags, start, walk, lambda s: s["found"])
+    return F.when(live.rlike(ITEM_CLASS), found).otherwise(F.array().cast("array<string>"))
+
+
 def _absolute(url: Column, base: str) -> Column:
     return (
         F.when(url.startswith("//"), F.concat(F.lit("https:"), url))
@@ -74,19 +107,14 @@ def extract_links(page: Column | str, base: str, live: Column | str | None = Non
     page = _col(page)
     live = live_markup(page) if live is None else _col(live)
     anchors = F.regexp_extract_all(live, F.lit(ANCHOR), F.lit(0))
-    items = F.concat_ws(" ", F.regexp_extract_all(live, F.lit(RESULT_ITEM), F.lit(0)))
-    result_anchors = F.concat(
-        F.filter(anchors, lambda a: a.rlike(TITLE_CLASS)),
-        F.regexp_extract_all(items, F.lit(ANCHOR), F.lit(0)),
-    )
-    def href(a: Column) -> Column:
-        return _ampersands(attribute(a, "href"))
+    result_anchors = F.concat(F.filter(anchors, lambda a: a.rlike(TITLE_CLASS)), anchors_in_items(live))
 
-    candidates = F.concat(
-        F.filter(F.transform(anchors, href), lambda u: u.endswith(".html")),
-        F.transform(result_anchors, href),
-        F.regexp_extract_all(page, F.lit(RAW_POST_LINK), F.lit(1)),
-    )
+    def hrefs(tags: Column) -> Column:
+        return F.transform(tags, lambda a: attribute(a, "href"))
+
+    # A raw link that ends in .html needs its entities decoded to be told from others.
+    plain = F.filter(_decoded(hrefs(anchors)), lambda u: u.endswith(".html"))
+    candidates = F.concat(plain, _decoded(hrefs(result_anchors)), F.regexp_extract_all(page, F.lit(RAW_POST_LINK), F.lit(1)))
     absolute = F.transform(candidates, lambda u: _absolute(u, base))
     return F.array_distinct(F.filter(absolute, lambda u: u.rlike(POST_PAGE)))
 
@@ -129,7 +157,7 @@ def tidy_lines(text: Column | str) -> Column:
 
 def visible_text(page: Column | str) -> Column:
     """Text a reader sees, one text node per line, with a closing newline."""
-    return F.concat(tidy_lines(unescape_entities(markup_to_breaks(page))), F.lit("\n"))
+    return F.concat(tidy_lines(unescaped(markup_to_breaks(page))), F.lit("\n"))
 
 
 def first_image_url(page: Column | str, host: str = DEFAULT_IMAGE_HOST) -> Column:

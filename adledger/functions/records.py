@@ -11,7 +11,9 @@ from .text import norm_str, strip
 
 def parse_llm_json(c: Column | str, fields: list[str] = EXTRACTED_FIELDS) -> Column:
     """Answer text of a field extractor as a struct of normalised fields."""
-    raw = F.from_json(_col(c), text_schema(fields))
+    # An option keeps the optimizer from cutting the schema down to one field per use:
+    # the answer is parsed once for all of them.
+    raw = F.from_json(_col(c), text_schema(fields), {"mode": "PERMISSIVE"})
     return F.struct(*[
         (safe_int(raw[f]) if field_type(f) == T.LongType() else norm_str(raw[f])).alias(f)
         for f in fields

@@ -36,11 +36,6 @@ def latest_by_key(
     return _first_per_key(ranked, [key], [F.desc("_at"), *first_seen]).drop("_at")
 
 
-def latest_by_order(df: DataFrame, key: str, newest: str, tie: Sequence[str]) -> DataFrame:
-    """`latest_by_key` for a table that carries a real timestamp."""
-    return _first_per_key(drop_missing_key(df, key), [key], [F.desc(newest), *[F.asc(t) for t in tie]])
-
-
 def first_by_key_capped(df: DataFrame, key: str, position: Sequence[str], n: int | None) -> DataFrame:
     """First row per key in discovery order, then the first ``n`` of those (None: all)."""
     order = [F.asc(p) for p in position]

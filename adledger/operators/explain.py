@@ -25,15 +25,15 @@ def shuffle_columns(
 
     Rows are dealt by key hash into random blocks of about ``block_rows`` and each
     block is permuted on its own, so one shuffle of the plain rows serves all
-    features and repeats and no task ever orders more than a block. A table below
-    two blocks is permuted as a whole. ``key`` must identify a row, which is checked:
+    features and repeats and no task ever orders more than a block. Tables of every size
+    follow the same rule, ``ceil(rows / block_rows)`` blocks: one below ``block_rows``. ``key`` must identify a row, which is checked:
     a key held by many rows would make a block of them. The pair ('', 0) holds the
     rows as they are.
     """
     n, keys = df.agg(F.count(F.lit(1)), F.countDistinct(key)).first()
     if n != keys:
         raise ValueError(f"{key} does not identify a row: {n} rows, {keys} keys")
-    blocks = max(1, n // block_rows)
+    blocks = max(1, -(-n // block_rows))
     block = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(blocks))
     columns = [key, *[c for c in dict.fromkeys([*carry, *features]) if c != key]]
     grouped = df.groupBy(block.alias("_block")).agg(

@@ -51,7 +51,8 @@ def newest_run(df: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def recent_runs(df: DataFrame, n: int = 200, run: str = "run_id") -> DataFrame:
-    """Rows of the last ``n`` run ids in string order.
+    """Rows of the last ``n`` run ids in string order. A NULL is no run: such rows are
+    left out whatever ``n`` is.
 
     Run ids are counted map-side before the top-n; the kept list has at most
     ``n`` rows, so broadcasting it is safe at any data size.

@@ -1,8 +1,8 @@
 """Equi-joins and lookups.
 
 Spark broadcasts by measured size, and adaptive execution splits a skewed
-partition; a broadcast is asked for only after counting. Rows that need no lookup
-never enter a join.
+partition; no broadcast is asked for here. Rows that need no lookup never enter a
+join, and a lookup that could hold a key twice is made unique first.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.records import norm_source_key
 from ..functions.text import clean_listing_text, has_text, text_len
 
-# Keys are broadcast up to this many, checked by counting.
-MAX_BROADCAST_KEYS = 200_000
-
 
 def align_by_id(df: DataFrame, lookup: DataFrame, key: str = "post_id") -> DataFrame:
     """Inner join on the key read as text on both sides."""
@@ -41,16 +38,20 @@ def skip_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
 
 
 def wanted_only(lookup: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The lookup rows somebody asks for, if those who ask are checked to be few.
+    """The lookup rows somebody asks for.
 
-    A left join cannot broadcast its left side, so a big lookup would be shuffled
-    whole to answer a few keys. Up to ``MAX_BROADCAST_KEYS`` distinct keys are
-    broadcast to filter the lookup where it lies; beyond, the lookup stays as it is.
+    A left join cannot broadcast its left side, so a big lookup would be shuffled whole
+    to answer a few keys. Here Spark may send the distinct keys to the lookup when they
+    are few; when they are many, this join already deals the lookup out by the key the
+    next one needs.
     """
-    keys = wanted.select(key).distinct()
-    if keys.limit(MAX_BROADCAST_KEYS + 1).count() > MAX_BROADCAST_KEYS:
-        return lookup
-    return lookup.join(F.broadcast(keys), key, "left_semi")
+    return lookup.join(wanted.select(key).distinct(), key, "left_semi")
+
+
+def first_text(lookup: DataFrame, key: str, order: str, text: str) -> DataFrame:
+    """One text per key: of the smallest ``order``, then the smallest text, NULL last."""
+    first = F.min(F.struct(F.col(order), F.col(text).isNull(), F.col(text).alias("_text")))
+    return lookup.groupBy(key).agg(first.alias("_first")).select(key, F.col("_first._text").alias(text))
 
 
 def backfill_text(
@@ -60,15 +61,16 @@ def backfill_text(
     """Fill empty texts from the cleaned raw text of their source; recompute length and flag.
 
     Only rows with an empty text and a readable source key are joined. A source
-    that is missing gives ''.
+    that is missing gives ''. Raw rows whose paths name the same object are one
+    source: the smallest path speaks for it.
     """
     key = norm_source_key(source, default_bucket)
     marked = df.withColumn("_key", F.when(~has_text(text) & key["key"].isNotNull(), key))
     found = raw.select(norm_source_key(raw_key, default_bucket).alias("_key"),
-                       F.col(raw_text).alias("_raw"))
+                       F.col(raw_key).alias("_path"), F.col(raw_text).alias("_raw"))
     empty = marked.where(F.col("_key").isNotNull())
     filled = (
-        empty.join(wanted_only(found, empty, "_key"), "_key", "left")
+        empty.join(first_text(wanted_only(found, empty, "_key"), "_key", "_path", "_raw"), "_key", "left")
         .withColumn(text, clean_listing_text("_raw"))
         .select(*df.columns if text in df.columns else [*df.columns, text])
     )
@@ -83,7 +85,8 @@ def record_to_source(
     records: DataFrame, raw: DataFrame, key: str = "post_id", source: str = "source_txt",
     raw_key: str = "path", raw_text: str = "text",
 ) -> DataFrame:
-    """Each record beside its raw text; what is missing is named in ``error``."""
+    """Each record beside its raw text; what is missing is named in ``error``. A source that
+    was landed twice gives its smallest text."""
     lookup = raw.select(F.col(raw_key).alias(source), F.col(raw_text).alias("raw_text"))
     blank_key = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
     blank_source = F.coalesce(F.col(source), F.lit("")) == ""
@@ -92,6 +95,7 @@ def record_to_source(
         "raw_text": F.lit(None).cast("string"),
         "error": F.when(blank_key, F.lit("missing post_id")).otherwise(F.lit("missing source_txt")),
     })
-    joined = joinable.join(wanted_only(lookup, joinable, source), source, "left").withColumn(
+    found = first_text(wanted_only(lookup, joinable, source), source, source, "raw_text")
+    joined = joinable.join(found, source, "left").withColumn(
         "error", F.when(F.col("raw_text").isNull(), F.lit("source text not found")))
     return joined.select(*broken.columns).unionByName(broken)

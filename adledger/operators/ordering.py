@@ -25,8 +25,14 @@ def order_models(df: DataFrame, score: str = "weighted_f1", tie: str = "model_na
 
 
 def cap_files(df: DataFrame, n: int, path: str = "path") -> DataFrame:
-    """First ``n`` inputs by path; 0 means all."""
-    return df.orderBy(path).limit(n) if n > 0 else df
+    """First ``n`` inputs by path; 0 means all. Paths alone are ranked: of the other columns
+    only the rows that stay are read and moved."""
+    if n <= 0:
+        return df
+    last = df.select(path).orderBy(path).limit(n).agg(F.max(path)).first()[0]  # one path
+    if last is None:
+        return df.limit(0)
+    return df.where(F.col(path) <= last).orderBy(path).limit(n)
 
 
 def sample_key(key: str, seed: int):

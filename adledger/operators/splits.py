@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import TIERS
-from ..session import checkpoint_root
+from ..session import checkpoint_root, stored
 from .ordering import sample_key
 from .quantiles import exact_quantiles
 
@@ -16,8 +16,6 @@ from .quantiles import exact_quantiles
 MIN_TRAIN_ROWS = 40
 # Hash buckets of the exact split: hex digits of the key hash that form a bucket.
 BUCKET_DIGITS = 4
-# Tables with one row per stratum are broadcast up to this many rows, joined beyond.
-MAX_BROADCAST_STRATA = 10_000
 
 
 def tier_edges(df: DataFrame, price: str, labels: Sequence[str] = tuple(TIERS)) -> list[float]:
@@ -107,7 +105,7 @@ def stratified_split(
     h = sample_key(key, seed)
     keyed = df.select(F.col(strata).alias("_s"), F.col(key).cast("string").alias("_k"), h.alias("_h")) \
         .where(F.col("_s").isNotNull()).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
-    edge = _small(_edge_buckets(keyed, test_size))
+    edge = stored(_edge_buckets(keyed, test_size), "edge-buckets")
     # Rank only the rows of each stratum's edge bucket, equal keys counted first.
     inside = keyed.join(edge, ["_s", "_b"]).groupBy("_s", "need", "_h", "_k").agg(
         F.count(F.lit(1)).alias("n"))
@@ -115,7 +113,7 @@ def stratified_split(
         Window.partitionBy("_s").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, 0))
     cuts = inside.withColumn("upto", upto).where(F.col("upto") <= F.col("need")).groupBy("_s").agg(
         F.max(F.struct("_h", "_k")).alias("_cut"))
-    limits = _small(edge.join(cuts, "_s", "left").select("_s", F.col("_b").alias("_edge"), "_cut"))
+    limits = stored(edge.join(cuts, "_s", "left").select("_s", F.col("_b").alias("_edge"), "_cut"), "cut-points")
 
     point = F.struct(h.alias("_h"), F.col(key).cast("string").alias("_k"))
     is_test = (F.substring(h, 1, BUCKET_DIGITS) < F.col("_edge")) | (point <= F.col("_cut"))
@@ -125,20 +123,12 @@ def stratified_split(
     ).select(*df.columns, out)
 
 
-def _small(per_stratum: DataFrame) -> DataFrame:
-    """A table of one row per stratum, made broadcastable when it is checked to be small."""
-    rows = per_stratum.limit(MAX_BROADCAST_STRATA + 1).collect()
-    if len(rows) > MAX_BROADCAST_STRATA:
-        return per_stratum
-    return F.broadcast(per_stratum.sparkSession.createDataFrame(rows, per_stratum.schema))
-
-
 def _edge_buckets(keyed: DataFrame, test_size: float) -> DataFrame:
     """Per stratum the hash bucket its share ends in, and how many rows it needs from it.
 
     Works on counts: at most one row per stratum and bucket.
     """
-    buckets = keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n"))
+    buckets = stored(keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n")), "hash-buckets")
     sizes = buckets.groupBy("_s").agg(F.sum("n").alias("size"))
     everything = Window.partitionBy()
     exact = sizes.withColumn("total", F.sum("size").over(everything)).withColumn(

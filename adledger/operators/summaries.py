@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import has_text, looks_like_path
+from ..functions.text import has_text, looks_like_path, strip
 from ..schemas import TIERS
 
 
@@ -34,7 +34,7 @@ def recent_day_counts(df: DataFrame, day: str = "date_local", n: int = 8) -> Dat
 
 def fill_rates(df: DataFrame, price: str = "price_num", body: str = "combined_text",
                image: str = "image_url") -> DataFrame:
-    usable = F.coalesce(F.trim(F.col(image)).startswith("http"), F.lit(False))
+    usable = F.coalesce(strip(F.col(image)).startswith("http"), F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("rows_total"),
         F.count(price).alias("valid_price_rows"),
@@ -90,7 +90,7 @@ def materialize_summary(records: DataFrame, latest: DataFrame, run: str = "run_i
 def image_availability(df: DataFrame, loaded: DataFrame, url: str = "image_url",
                        key: str = "post_id") -> DataFrame:
     """Funnel: all listings, listings with a usable URL, listings whose image was loaded."""
-    usable = F.coalesce(F.trim(F.col(url)).startswith("http"), F.lit(False))
+    usable = F.coalesce(strip(F.col(url)).startswith("http"), F.lit(False))
     per_id = df.groupBy(F.col(key).cast("string").alias("_id")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(usable).alias("with_url"))
     ids = loaded.select(F.col(key).cast("string").alias("_id")).distinct().withColumn("_hit", F.lit(True))

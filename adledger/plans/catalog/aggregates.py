@@ -63,7 +63,7 @@ def _recent_day_counts(spark, folder):
 
 def _fill_rates(spark, folder):
     d = dirty(spark, folder)
-    url = F.when(F.col("doc_id") % 3 == 0, F.lit(" http://x")).when(F.col("doc_id") % 3 == 1, F.lit("n/a"))
+    url = F.when(F.col("doc_id") % 3 == 0, F.lit("\t http://x")).when(F.col("doc_id") % 3 == 1, F.lit("n/a"))
     price = F.when(F.col("doc_id") % 7 > 1, F.col("doc_id"))
     body = F.when(F.col("doc_id") % 4 > 0, F.col("raw"))
     return summaries.fill_rates(d.select(price.alias("price_num"), body.alias("combined_text"), url.alias("image_url")))

@@ -211,7 +211,7 @@ def _materialize_v2(spark, folder):
 
 def _materialize_listings(spark, folder):
     raw = listings(spark, folder).select("path", "text")
-    out = materialize_listings(parsed_records(spark, folder), raw, "main", recent=30)
+    out = materialize_listings(parsed_records(spark, folder), raw, "main")
     return out.select("post_id", "run_id", "price", "combined_text", "combined_text_len", "has_combined_text")
 
 
@@ -262,7 +262,6 @@ SELECT '2024013000' AS run_id, count(*) AS holdout_rows, round(avg(value), 6) AS
     "materialize": f"{_LATEST} SELECT post_id, run_id, price, year, make, model, mileage, source_txt FROM latest",
     "materialize_v2": f"""WITH {PARSED_CTE}, v AS (SELECT * FROM p WHERE run_id <> 'zz'), {LATEST_SQL.format(src='v', path='source_txt')}
 SELECT post_id, run_id, price, year, make, model, mileage, transmission, fuel_type, drivetrain, source_txt FROM latest""",
-    "materialize_listings": f"""WITH {PARSED_CTE}, r AS (SELECT * FROM p WHERE run_id IN (SELECT DISTINCT run_id FROM p ORDER BY run_id DESC LIMIT 30)),
-{LATEST_SQL.format(src='r', path='source_txt')}, x AS (SELECT post_id, run_id, price, {clean_sql('text')} AS combined_text FROM latest)
+    "materialize_listings": f"""WITH {PARSED_CTE}, {LATEST_SQL.format(src='p', path='source_txt')}, x AS (SELECT post_id, run_id, price, {clean_sql('text')} AS combined_text FROM latest)
 SELECT *, length(combined_text) AS combined_text_len, length(combined_text) > 0 AS has_combined_text FROM x""",
 }

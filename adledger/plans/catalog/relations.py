@@ -101,6 +101,9 @@ RECORDS = """SELECT doc_id, CASE lang WHEN 'fr' THEN NULL WHEN 'de' THEN '' ELSE
 def _backfill_text(spark, folder):
     raw = dirty(spark, folder).select(
         F.concat(F.lit("docs/"), "doc_id", F.lit(".txt")).alias("path"), F.col("raw").alias("text"))
+    # Every third object landed a second time, under its full name and with another text.
+    again = raw.where("length(path) % 3 = 0").select(F.concat(F.lit("gs://main/"), "path").alias("path"), F.lit("landed later").alias("text"))
+    raw = raw.unionByName(again)
     records = derive(spark, folder, RECORDS, "documents")
     return joins.backfill_text(records, raw, "main").drop("source_txt")
 
@@ -112,6 +115,7 @@ SOURCED = """SELECT o_orderkey AS listing_id, CASE WHEN o_orderstatus = 'P' AND
 
 def _record_to_source(spark, folder):
     raw = listings(spark, folder).select(F.concat(F.lit("raw/"), "listing_id").alias("path"), "text")
+    raw = raw.unionByName(raw.where("length(text) % 3 = 0").select("path", F.lit("z: landed later").alias("text")))
     return joins.record_to_source(derive(spark, folder, SOURCED, "orders"), raw)
 
 
@@ -147,8 +151,7 @@ def _half_index(spark, folder):
 
 def _adjacent_dedup(spark, folder):
     lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", r"[\s]+")).alias("pos", "line"))
-    short = lines.withColumn("line", F.length("line").cast("bigint"))
-    return dedup.adjacent_dedup(short, "doc_id", "pos", "line")
+    return dedup.adjacent_dedup(lines, "doc_id", "pos", "line")
 
 
 def _best_run_row(spark, folder):
@@ -275,7 +278,7 @@ FROM r JOIN l ON r.listing_id = l.listing_id""",
     "half_index": f"""WITH {RUNS_CTE}, p AS (SELECT run_id, row_number() OVER (ORDER BY run_id) AS position, count(*) OVER () AS n_runs FROM runs)
 SELECT *, CAST(CASE WHEN position <= n_runs // 2 THEN 1 ELSE 2 END AS BIGINT) AS half FROM p""",
     "adjacent_dedup": r"""WITH w AS (SELECT doc_id, regexp_split_to_array(text, '\s+') AS l FROM documents),
-p AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, length(unnest(l)) AS line FROM w),
+p AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS line FROM w),
 q AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM p)
 SELECT doc_id, pos, line FROM q WHERE pos = 0 OR line IS DISTINCT FROM before""",
     "best_run_row": f"WITH {RUNS_CTE} SELECT run_id, mae_today FROM runs ORDER BY mae_today, run_id LIMIT 1",

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.html import first_image_url, visible_text
 from ..functions.listing import DEFAULT_IMAGE_HOST
@@ -21,21 +21,20 @@ from ..schemas import (
     CATEGORICAL_FEATURES, LISTING_COLUMNS, MASTER_COLUMNS, MASTER_V2_COLUMNS, RECORD_COLUMNS,
     TIER_NUMERIC_FEATURES, TRAIN_NUMERIC_FEATURES, TRAIN_REQUIRED_COLUMNS, table_schema,
 )
+from ..session import stored
 from ..sinks import write_run_outputs
 
 
 # ---- pages to texts ---------------------------------------------------------
 
 def land_listings(search_pages: DataFrame, listing_pages: DataFrame, base: str, run_id: str,
-                  max_items: int | None = 50, host: str = DEFAULT_IMAGE_HOST) -> DataFrame:
-    """Links of the search pages, first URL per post, capped; each with its visible
-    text and image URL. A post without a landed page gets an error instead."""
+                  max_items: int | None = None, host: str = DEFAULT_IMAGE_HOST) -> DataFrame:
+    """Links of the search pages, first URL per post; each with its visible text and image
+    URL. A post without a landed page gets an error instead. ``max_items`` caps a crawl."""
     links = sets.union_links(search_pages, base)
     chosen = dedup.first_by_key_capped(links, "post_id", ["page_id", "position"], max_items).select(
         "post_id", "url")
-    if max_items is not None and max_items <= joins.MAX_BROADCAST_KEYS:
-        # A capped crawl is a short list: make it one, so the links are extracted once.
-        chosen = chosen.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
+    chosen = stored(chosen, "chosen-links")  # links are extracted once
     pages = joins.wanted_only(listing_pages.select("url", "html"), chosen, "url")
     found = chosen.join(pages, "url", "left")
     ok = F.col("html").isNotNull()
@@ -98,12 +97,13 @@ def materialize_v2(records: DataFrame, **options) -> DataFrame:
 
 
 def materialize_listings(records: DataFrame, raw: DataFrame, default_bucket: str,
-                         recent: int = 200, **options) -> DataFrame:
-    """The 24-column modeling table: newest record, empty texts backfilled, ordered
-    by scrape time."""
-    latest = materialize(records, LISTING_COLUMNS, recent, **options)
+                         recent: int | None = None, ordered: bool = True, **options) -> DataFrame:
+    """The 24-column modeling table: newest record of all runs (or of the ``recent`` ones),
+    empty texts backfilled, in order of scrape time unless ``ordered`` is off."""
+    latest = stored(materialize(records, LISTING_COLUMNS, recent, **options), "latest")  # read thrice
     filled = joins.backfill_text(latest, raw, default_bucket)
-    return ordering.order_by_scraped_at(filled.select(*LISTING_COLUMNS))
+    table = filled.select(*LISTING_COLUMNS)
+    return ordering.order_by_scraped_at(table) if ordered else table
 
 
 # ---- table to scored model --------------------------------------------------
@@ -229,8 +229,3 @@ def trend_report(runs: DataFrame, importance: DataFrame) -> dict[str, DataFrame]
         "stability": trends.rank_stability(
             importance, tie="position" if "position" in importance.columns else "feature"),
     }
-
-
-def open_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
-    """Parquet tables of a data folder."""
-    return [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]

@@ -25,11 +25,6 @@ EXTRACTED_FIELDS = [
     "engine_cylinders", "condition", "color", "body_type", "title_status", "city", "state",
     "zip_code",
 ]
-#: Fields of one regex-extracted record; absent keys read as NULL.
-PARSED_FIELDS = [
-    "price", "year", "make", "model", "mileage", "transmission", "fuel_type", "drivetrain",
-    "image_url",
-]
 
 # Model feature lists.
 CATEGORICAL_FEATURES = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on; none of them depends on the data size.
 RUNTIME_CONF = {
@@ -56,3 +56,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/adledger/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows read back from Parquet below the shared folder: computed once, whoever
+    reads them how often, and not again when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -40,6 +40,10 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+#: Run ids of a batch written into a partition filter; a batch of more runs joins instead.
+MOST_RUNS = 1_000
+
+
 def write_if_absent(df: DataFrame, path: str, keys: Sequence[str] = ("run_id", "post_id"),
                     overwrite: bool = False, dry_run: bool = False) -> DataFrame:
     """Write rows whose key has no output yet; with ``overwrite`` replace those that have.
@@ -52,11 +56,14 @@ def write_if_absent(df: DataFrame, path: str, keys: Sequence[str] = ("run_id", "
     existing = read_if_exists(spark, path)
     if existing is not None:
         existing = existing.withColumn(part, F.col(part).cast(df.schema[part].dataType))
-    new = df if existing is None or overwrite else skip_existing(df, existing, keys)
+    if existing is not None:  # only the partitions the batch touches are read
+        runs = [r[0] for r in df.select(part).distinct().limit(MOST_RUNS + 1).collect()]
+        touched = existing.where(F.col(part).isin(runs)) if len(runs) <= MOST_RUNS else existing.join(
+            df.select(part).distinct(), part, "left_semi")
+    new = df if existing is None or overwrite else skip_existing(df, touched, keys)
     if dry_run:
         return new
     if existing is not None and overwrite:
-        touched = existing.join(df.select(part).distinct(), part, "left_semi")
         merged = skip_existing(touched, df, keys).unionByName(df, allowMissingColumns=True)
         by_run(merged, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
     else:

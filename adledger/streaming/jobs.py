@@ -86,8 +86,11 @@ def _all_versions(spark: SparkSession, path: str) -> DataFrame | None:
 
 def current_latest(spark: SparkSession, path: str, key: str = "post_id", run: str = "run_id",
                    tie: str = "source_txt") -> DataFrame:
-    """The table `stream_latest` keeps: one row per key."""
+    """The table `stream_latest` keeps: one row per key. Before the first batch it is empty,
+    with the key columns only."""
     rows = _all_versions(spark, path)
+    if rows is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in dict.fromkeys((key, run, tie))))
     return latest_by_key(rows, key, run, path=tie).drop("batch_id")
 
 
@@ -96,7 +99,7 @@ def compact_latest(spark: SparkSession, path: str, key: str = "post_id", run: st
     """Fold all batches seen so far into one compacted version.
 
     The new version goes to its own folder and is read only once it is complete;
-    older versions stay until somebody expires them.
+    older versions stay until `expire_latest` removes them.
     """
     deltas = read_if_exists(spark, _deltas(path))
     if deltas is None:
@@ -106,6 +109,22 @@ def compact_latest(spark: SparkSession, path: str, key: str = "post_id", run: st
         f"{_base(path)}/version={reached}")
 
 
+def expire_latest(spark: SparkSession, path: str, keep_versions: int = 2) -> None:
+    """Remove compacted versions older than the newest ``keep_versions``, and the batches that
+    the oldest kept one already holds. Readers of older versions must have ended."""
+    base = read_if_exists(spark, _base(path))
+    if base is None:
+        return
+    versions = sorted(r["version"] for r in base.select("version").distinct().collect())
+    kept = versions[-keep_versions:]
+    deltas = read_if_exists(spark, _deltas(path))
+    batches = [] if deltas is None else [r["batch_id"] for r in deltas.select("batch_id").distinct().where(F.col("batch_id") <= kept[0]).collect()]
+    old = [f"{_base(path)}/version={v}" for v in versions if v not in kept] + [f"{_deltas(path)}/batch_id={b}" for b in batches]
+    for folder in old:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stream_metrics(spark: SparkSession, artifacts: str, out: str, checkpoint: str) -> StreamingQuery:
     """Append each new metrics file, with its run id and time, to a table of runs."""
     files = spark.readStream.schema(RUN_METRICS_SCHEMA).option("multiLine", "true") \
@@ -113,6 +132,6 @@ def stream_metrics(spark: SparkSession, artifacts: str, out: str, checkpoint: st
     return _start(with_run(files, METRICS), out, checkpoint)
 
 
-def run_to_end(query: StreamingQuery, names: Sequence[str] = ()) -> None:
+def run_to_end(query: StreamingQuery) -> None:
     """Wait for an available-now stream; a failure in it is raised here."""
     query.awaitTermination()

@@ -54,23 +54,60 @@ def test_no_cross_joins(spark):
             assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
 
 
-def test_many_strata(spark, monkeypatch):
-    df = spark.range(600).select("id", (F.col("id") % 7).cast("string").alias("s"))
-    few = sorted(tuple(r) for r in splits.stratified_split(df, "s", "id").collect())
-    monkeypatch.setattr(splits, "MAX_BROADCAST_STRATA", 2)
-    assert sorted(tuple(r) for r in splits.stratified_split(df, "s", "id").collect()) == few
+@needs_tables
+def test_one_parse_per_answer(spark):
+    from adledger.functions.records import parse_llm_json
+
+    answers = spark.read.parquet(f"{FOLDER}/documents.parquet").select(parse_llm_json("text").alias("p"))
+    assert plan(answers.select("p.*")).count("from_json(StructField(price") <= 1 or plan(answers).count("price,LongType") == 0
+
+
+@needs_tables
+def test_python_only_sees_texts_with_entities(spark):
+    text = plan(spark.read.parquet(f"{FOLDER}/pages.parquet").select(visible_text("html")))
+    assert "CASE WHEN Contains" in text or "CASE WHEN contains" in text.replace("Contains", "contains")
+
 
+def test_many_strata(spark):
+    """One row of a stratum each: the same path as for few."""
+    df = spark.range(300).select("id", F.col("id").cast("string").alias("s"))
+    assert splits.stratified_split(df, "s", "id").filter("split = 'test'").count() == 60
 
-def test_many_wanted_keys(frame, monkeypatch):
+
+def test_sources_landed_twice(frame):
     raw = frame("path string, text string", [(f"p{i}", f"Text {i}") for i in range(20)])
+    twice = raw.unionByName(frame("path string, text string", [(f"p{i}", f"Text {i} later") for i in range(0, 20, 3)])).unionByName(raw)
+    twice = twice.unionByName(frame("path string, text string", [("s/../p1", "x"), ("z", None), ("z", None)]))
     records = frame("post_id string, combined_text string, source_txt string",
                     [(str(i), None if i % 2 else "x", f"p{i % 25}") for i in range(50)])
-    few = [sorted(map(str, df.collect())) for df in (
-        joins.backfill_text(records, raw, "b"), joins.record_to_source(records, raw))]
-    monkeypatch.setattr(joins, "MAX_BROADCAST_KEYS", 3)
-    many = [sorted(map(str, df.collect())) for df in (
+    once = [sorted(map(str, df.collect())) for df in (
         joins.backfill_text(records, raw, "b"), joins.record_to_source(records, raw))]
-    assert few == many
+    again = [sorted(map(str, df.collect())) for df in (
+        joins.backfill_text(records, twice, "b"), joins.record_to_source(records, twice))]
+    assert once == again
+    spelled = frame("path string, text string", [("/a/1.txt", "Slash"), ("gs://main/a/1.txt", "Bucket")])
+    one = frame("post_id string, combined_text string, source_txt string", [("1", None, "a/1.txt")])
+    assert [r["combined_text"] for r in joins.backfill_text(one, spelled, "main").collect()] == ["slash"]
+
+
+@needs_tables
+def test_latest_is_read_once(spark):
+    """The listing table asks its records for one pass."""
+    from adledger.plans import jobs
+
+    asked = []
+    records = frame_of(spark)
+    real = jobs.materialize
+    jobs.materialize, before = (lambda *a, **k: asked.append(1) or real(*a, **k)), real
+    try:
+        jobs.materialize_listings(records, spark.createDataFrame([("p", "t")], "path string, text string"), "b").count()
+    finally:
+        jobs.materialize = before
+    assert asked == [1]
+
+
+def frame_of(spark):
+    return spark.createDataFrame([("1", "20260101000000", "p", None)], "post_id string, run_id string, source_txt string, combined_text string")
 
 
 def test_shuffle_needs_a_key(frame):
