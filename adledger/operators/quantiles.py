@@ -26,6 +26,8 @@ def quantiles_of(
 
     Fits eagerly, like an ML estimator: the answer is a handful of numbers.
     """
+    if not columns:
+        return {}
     values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
     counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first().asDict()
     small = [c for c in columns if counts[c] <= small_rows]
