@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -100,9 +101,9 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
                        points: int = GRID_POINTS) -> DataFrame:
     """Mean prediction over the whole holdout for each value of one feature.
 
-    The grid is at most ``points`` numbers, or the categories the model knows plus
-    one stand-in for all it does not know (they all predict alike), so its size
-    does not grow with the data. Missing categories count as "unknown".
+    The grid is at most ``points`` numbers, or the categories some tree splits on plus
+    one stand-in for all others (they all predict alike), so its size depends on the
+    model and not on the data. Missing categories count as "unknown".
     """
     transform: ColumnTransformModel = model.stages[0]
     categorical = list(transform.categorical)
@@ -112,7 +113,7 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
         return _mean_prediction(model, base, feature, grid, "double").orderBy("value").select(
             F.lit(feature).alias("feature"), F.col("value").cast("string").alias("value"),
             "avg_prediction")
-    known = transform.vocabulary(feature)
+    known = split_categories(model, feature)
     unseen = "\u0000unseen"
     curve = _mean_prediction(model, base, feature, [*known, unseen], "string")
     fallback = curve.where(F.col("value") == unseen).select("avg_prediction")
@@ -123,6 +124,19 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
     ).orderBy("value")
 
 
+def split_categories(model: PipelineModel, feature: str) -> list[str]:
+    """Categories of a feature that any tree of the model tells from the others."""
+    transform: ColumnTransformModel = model.stages[0]
+    start = len(transform.numeric)
+    for c in transform.categorical:
+        known = transform.vocabulary(c)
+        if c == feature:
+            used = {int(i) for i in re.findall(r"feature (\d+) ", model.stages[-1].toDebugString)}
+            return [known[i - start] for i in sorted(used) if start <= i < start + len(known)]
+        start += len(known)
+    raise ValueError(f"{feature} is no categorical feature of the model")
+
+
 def _mean_prediction(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence, kind: str) -> DataFrame:
     # One constant, however many categories the model knows.
     values = F.from_json(F.lit(json.dumps(list(grid))), f"array<{kind}>")

@@ -30,19 +30,27 @@ def parse_listing(df: DataFrame, text: str = "text", host: str = DEFAULT_IMAGE_H
 
 
 def llm_extract(
-    df: DataFrame, fn: Callable[[str], str | dict], text: str = "raw_text",
+    df: DataFrame, fn: Callable[[str], str | dict] | None, text: str = "raw_text",
     fields: Sequence[str] = tuple(EXTRACTED_FIELDS), attempts: int = ATTEMPTS, wait: float = FIRST_WAIT,
+    setup: Callable[[], Callable[[str], str | dict]] | None = None,
 ) -> DataFrame:
     """Fields answered by ``fn`` for each text, normalised; a failure fills ``error`` only.
 
     ``fn`` maps a text to a JSON object (text or dict) and is shipped to the
     executors, where it runs batch by batch. Rows whose text is NULL are not sent.
+    ``setup``, given instead of ``fn``, is called once per task before its first text and
+    returns the function: the place to load a model or open a client.
     """
+    if (fn is None) == (setup is None):
+        raise ValueError("give either fn or setup")
+    ready = [] if fn is None else [fn]
 
     def ask(body: str) -> tuple[str | None, str | None]:
         for attempt in range(attempts):
             try:
-                answer = fn(body)
+                if not ready:
+                    ready.append(setup())
+                answer = ready[0](body)
                 parsed = json.loads(answer) if isinstance(answer, str) else answer
                 if not isinstance(parsed, dict):
                     raise ValueError("answer is no JSON object")

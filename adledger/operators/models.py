@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import round2
 from ..functions.text import split_tokens
 from ..schemas import CATEGORICAL_FEATURES, PREDICTION_COLUMNS, TIER_NUMERIC_FEATURES, TRAIN_NUMERIC_FEATURES
-from ..session import checkpoint_root
+from ..session import checkpoint_root, stored
 from .features import MAX_TOKENS, ColumnTransform, label_decode, label_encoder
 from .filters import project_existing
 from .splits import contiguous_folds
@@ -52,18 +53,32 @@ def grid_search(
     categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES), label: str = "price_num",
     grid: dict[str, list] = PARAM_GRID, folds: int = 3, parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Every grid point on unshuffled folds over the table order, scored by MAE, best one refitted."""
+    """Every grid point on unshuffled folds over the table order, scored by MAE, best one refitted.
+
+    The preparation is fitted once per fold and its vectors are stored; grid points fit
+    trees only.
+    """
     checkpoint_root(train.sparkSession)  # boosting cuts its lineage there
     pipeline = price_pipeline(numeric, categorical, label)
     gbt = pipeline.getStages()[-1]
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(gbt.getParam(GBT_PARAMS[name]), values)
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(labelCol=label, metricName="mae"),
-        numFolds=folds, foldCol="_fold", parallelism=parallelism)
-    return search.fit(contiguous_folds(train, order, folds, "_fold"))
+    points = builder.build()
+    folded = contiguous_folds(train, order, folds, "_fold")
+    scores = [[] for _ in points]
+    for k in range(folds):
+        learn, judge = folded.where(F.col("_fold") != k), folded.where(F.col("_fold") == k)
+        prepared = ColumnTransform(numeric, categorical).fit(learn)
+        learn, judge = (stored(prepared.transform(part).select("features", label), f"fold-{k}") for part in (learn, judge))
+        evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
+        with ThreadPool(parallelism) as pool:
+            for i, score in enumerate(pool.map(lambda p: evaluator.evaluate(gbt.fit(learn, p).transform(judge)), points)):
+                scores[i].append(score)
+    means = [sum(s) / folds for s in scores]
+    best = min(range(len(points)), key=means.__getitem__)
+    search = CrossValidatorModel(pipeline.fit(train, points[best]), means)
+    return search._set(estimatorParamMaps=points)
 
 
 def best_params(search: CrossValidatorModel) -> tuple[dict, float]:

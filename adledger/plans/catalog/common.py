@@ -115,14 +115,8 @@ def classes(spark: SparkSession, folder: str) -> DataFrame:
     return derive(spark, folder, CLASSES, "lineitem")
 
 
-_LANDED: dict[tuple, str] = {}
-
-
 def landed(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
-    """Folder below the shared scratch folder that ``write`` filled, once per session."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _LANDED:
-        path = scratch_path(spark, name)
-        write(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    """A fresh folder below the shared scratch folder that ``write`` filled from the tables."""
+    path = scratch_path(spark, name)
+    write(path)
+    return path

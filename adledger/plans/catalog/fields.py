@@ -97,7 +97,8 @@ def _number(fn, name):
 def _fmt_number(spark, folder):
     o = table(spark, folder, "orders")
     whole = F.floor("o_totalprice")
-    return o.select("o_orderkey", numbers.fmt_number(whole, 0).alias("label"), whole.cast("bigint").alias("amount"))
+    return o.select("o_orderkey", numbers.fmt_number(whole, 0).alias("label"), whole.cast("bigint").alias("amount"),
+                    numbers.fmt_number(whole / 10, 1).alias("tenths"))
 
 
 def _rounding(digits, parts=8):
@@ -177,7 +178,14 @@ SELECT o_orderkey AS id,
   CASE o_orderkey % 3 WHEN 0 THEN 'Automatic' WHEN 1 THEN 'cvt' ELSE ' MANUAL ' END AS transmission,
   CASE o_orderkey % 5 WHEN 0 THEN 'Like New' WHEN 1 THEN 'mint' ELSE 'Good' END AS condition,
   CASE o_orderkey % 3 WHEN 0 THEN 'ct' WHEN 1 THEN 'Conn' ELSE 'MA' END AS state,
-  CASE o_orderkey % 3 WHEN 0 THEN '06511' WHEN 1 THEN '6511' ELSE ' 10001 ' END AS zip_code
+  CASE o_orderkey % 3 WHEN 0 THEN '06511' WHEN 1 THEN '6511' ELSE ' 10001 ' END AS zip_code,
+  CASE o_orderkey % 3 WHEN 0 THEN 'FWD' WHEN 1 THEN 'tracks' ELSE ' 4wd ' END AS drivetrain,
+  CASE o_orderkey % 4 WHEN 0 THEN 'Diesel' WHEN 1 THEN 'steam' WHEN 2 THEN ' HYBRID' END AS fuel_type,
+  CASE o_orderkey % 3 WHEN 0 THEN 'SUV' WHEN 1 THEN 'ute' ELSE ' Sedan ' END AS body_type,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Clean' WHEN 1 THEN 'lost' ELSE 'Rebuilt' END AS title_status,
+  CASE o_orderkey % 3 WHEN 0 THEN 'land cruiser' WHEN 1 THEN ' f150 ' ELSE '' END AS model,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Dark RED' WHEN 1 THEN ' ' ELSE 'blue' END AS color,
+  CASE o_orderkey % 3 WHEN 0 THEN 'new haven' WHEN 1 THEN 'HARTFORD' ELSE '' END AS city
 FROM {orders}"""
 
 
@@ -253,7 +261,7 @@ FROM (SELECT o_orderkey, o_orderkey % 17 <> 0 AS ok FROM orders)""",
 SELECT id, CASE WHEN regexp_full_match(s, '[+-]?\\d+') THEN CAST(s AS BIGINT) END AS number FROM t""",
     "norm_str": f"WITH {N} SELECT id, nullif(trim(raw), '') AS value FROM n",
     "to_numeric_coerce": f"WITH {N} SELECT id, TRY_CAST(raw AS DOUBLE) AS number FROM n",
-    "fmt_number": "SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS label, CAST(floor(o_totalprice) AS BIGINT) AS amount FROM orders",
+    "fmt_number": "SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS label, CAST(floor(o_totalprice) AS BIGINT) AS amount, format('{:,.1f}', floor(o_totalprice) / 10) AS tenths FROM orders",
     "round1": "SELECT o_orderkey, round_even(o_orderkey / 8.0::DOUBLE, 1) AS rounded FROM orders",
     "round2": "SELECT o_orderkey, round_even(o_orderkey / 8.0::DOUBLE, 2) AS rounded FROM orders",
     "round4": "SELECT o_orderkey, round_even(o_orderkey / 32.0::DOUBLE, 4) AS rounded FROM orders",
@@ -276,7 +284,14 @@ SELECT o_orderkey AS id,
   CASE o_orderkey % 3 WHEN 0 THEN 'automatic' WHEN 2 THEN 'manual' END AS transmission,
   CASE o_orderkey % 5 WHEN 0 THEN 'like new' WHEN 1 THEN NULL ELSE 'good' END AS condition,
   CASE o_orderkey % 3 WHEN 0 THEN 'CT' WHEN 2 THEN 'MA' END AS state,
-  CASE o_orderkey % 3 WHEN 0 THEN '06511' WHEN 2 THEN '10001' END AS zip_code FROM orders""",
+  CASE o_orderkey % 3 WHEN 0 THEN '06511' WHEN 2 THEN '10001' END AS zip_code,
+  CASE o_orderkey % 3 WHEN 0 THEN 'fwd' WHEN 2 THEN '4wd' END AS drivetrain,
+  CASE o_orderkey % 4 WHEN 0 THEN 'diesel' WHEN 2 THEN 'hybrid' END AS fuel_type,
+  CASE o_orderkey % 3 WHEN 0 THEN 'suv' WHEN 2 THEN 'sedan' END AS body_type,
+  CASE o_orderkey % 3 WHEN 0 THEN 'clean' WHEN 2 THEN 'rebuilt' END AS title_status,
+  CASE o_orderkey % 3 WHEN 0 THEN 'Land Cruiser' WHEN 1 THEN 'F150' END AS model,
+  CASE o_orderkey % 3 WHEN 0 THEN 'dark red' WHEN 2 THEN 'blue' END AS color,
+  CASE o_orderkey % 3 WHEN 0 THEN 'New Haven' WHEN 1 THEN 'Hartford' END AS city FROM orders""",
     "post_id_from_path": "SELECT o_orderkey AS listing_id, CAST(o_orderkey AS VARCHAR) AS name FROM orders",
     "post_id_from_url": r"SELECT page_id, regexp_extract(url, '/(\d+)\.html?$', 1) AS post_id FROM pages",
     "conform": f"WITH {L} SELECT post_id, {YEAR_SQL} AS year, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS BIGINT) AS combined_text_len FROM l",

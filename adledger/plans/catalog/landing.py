@@ -181,7 +181,7 @@ def _read_run_metrics(spark, folder):
 
 def _read_importance(spark, folder):
     out = read_importance(spark, artifact_landing(spark, folder) + "-text")
-    return out.select("run_id", "feature", "importance")
+    return out.select("run_id", "feature", "importance", "position")
 
 
 def _artifact_inventory(spark, folder):
@@ -254,7 +254,8 @@ SELECT CASE WHEN url NOT IN (SELECT url FROM pages) THEN 'page not landed' END A
   FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1""",
     "read_run_metrics": f"""WITH {RUNS_CTE} SELECT run_id, train_rows, mae_today, bias_today,
   strftime(strptime(run_id, '%Y%m%d%H'), '%Y-%m-%d %H') AS run_dt, max_depth FROM runs""",
-    "read_importance": f"WITH {IMPORTANCE_CTE} SELECT run_id, feature, importance FROM imp",
+    "read_importance": f"""WITH {IMPORTANCE_CTE} SELECT run_id, feature, importance,
+  CAST(row_number() OVER (PARTITION BY run_id ORDER BY feature) - 1 AS INTEGER) AS position FROM imp""",
     "artifact_inventory": f"""WITH {IMPORTANCE_CTE} SELECT 'permutation_importance' AS kind, count(DISTINCT run_id) AS files,
   min(run_id) AS first_run, max(run_id) AS last_run FROM imp""",
     "write_run_outputs": """WITH h AS (SELECT value FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events))

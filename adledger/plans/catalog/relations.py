@@ -223,8 +223,19 @@ def _append_results(spark, folder):
     return sets.append_results(scored("A"), scored("N"), scored("R"))
 
 
+NEEDED = ["o_orderkey", "o_custkey", "post_id", "price", "scraped_at"]
+
+
+def _missing_columns(spark, folder):
+    """Names the table lacks, beside what it has: its columns that were asked for and its rows."""
+    orders = table(spark, folder, "orders")
+    absent = filters.missing_columns(orders, NEEDED)
+    counted = orders.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.explode(F.array(*[F.lit(c) for c in absent])).alias("missing"), "n_rows")
+
+
 QUERIES = {
-    "newest_run": _newest_run, "recent_runs": _recent_runs, "valid_run_filter": _valid_run_filter,
+    "missing_columns": _missing_columns, "newest_run": _newest_run, "recent_runs": _recent_runs, "valid_run_filter": _valid_run_filter,
     "drop_missing_key": _drop_missing_key, "drop_bad_date": _drop_bad_date,
     "price_band_filter": _price_band_filter, "usable_image_filter": _usable_image_filter,
     "incorrect_only": _incorrect_only, "columns_like": _columns_like, "project_existing": _project_existing,
@@ -277,6 +288,7 @@ FROM r JOIN l ON r.listing_id = l.listing_id""",
     "rank_per_group": f"WITH {IMPORTANCE_CTE} SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY importance DESC, feature) AS rank FROM imp",
     "half_index": f"""WITH {RUNS_CTE}, p AS (SELECT run_id, row_number() OVER (ORDER BY run_id) AS position, count(*) OVER () AS n_runs FROM runs)
 SELECT *, CAST(CASE WHEN position <= n_runs // 2 THEN 1 ELSE 2 END AS BIGINT) AS half FROM p""",
+    "missing_columns": "SELECT unnest(['post_id', 'price', 'scraped_at']) AS missing, (SELECT count(*) FROM orders) AS n_rows",
     "adjacent_dedup": r"""WITH w AS (SELECT doc_id, regexp_split_to_array(text, '\s+') AS l FROM documents),
 p AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS line FROM w),
 q AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM p)

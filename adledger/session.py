@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,14 +41,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine.
+    Only a local session that sets none gets a temporary folder, removed at its end: on
+    a cluster a machine-local path would be lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="adledger-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import strip
 from ..operators.filters import conform
 from ..schemas import RECORD_COLUMNS, table_schema, text_schema
-from .texts import folder_run_id
+from .texts import folder_run_id, run_folders
 
 
 def is_single_document(value: Column) -> Column:
@@ -31,15 +31,19 @@ def parse_records(df: DataFrame, value: str, fields: Sequence[str]) -> DataFrame
 
 def read_jsonl(
     spark: SparkSession, path: str, subdir: str | None = "jsonl", suffix: str = ".jsonl",
-    fields: Sequence[str] = tuple(RECORD_COLUMNS), one_per_file: bool = True,
+    fields: Sequence[str] = tuple(RECORD_COLUMNS), one_per_file: bool = True, run_id: str | None = None,
 ) -> DataFrame:
     """Typed records below ``run_id=<run>/<subdir>/``; blank and malformed ones are skipped.
 
     The folder's run id is a default only: a record's own value wins. Landing zones
     hold one record per file; what `write_jsonl` wrote holds one per line
     (``one_per_file=False``) and is splittable. A value that does not fit its
-    type becomes NULL, its record stays.
+    type becomes NULL, its record stays. With ``run_id`` only that run's folder is listed.
     """
+    if run_id:
+        path = [f for f in run_folders(spark, path, run_id) if "run_id=" in f]
+        if not path:
+            return spark.createDataFrame([], table_schema(["folder_run", "file", *fields]))
     files = spark.read.text(path, wholetext=one_per_file, recursiveFileLookup=True,
                             pathGlobFilter=f"*{suffix}")
     raw = files.select("value", F.col("_metadata.file_path").alias("file"))

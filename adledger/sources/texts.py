@@ -12,7 +12,17 @@ from ..functions.html import post_id_from_path
 RUN_ID = r"\d{8}T\d{6}Z|\d{14}"
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def run_folders(spark: SparkSession, path: str, run_id: str) -> list[str]:
+    """The folders of one run below a landing root that exist."""
+    found = []
+    for name in (f"run_id={run_id}", run_id):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            found.append(folder.toString())
+    return found
+
+
+def list_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """Paths only: the content column is pruned, so no file is opened."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
         .option("pathGlobFilter", glob).load(path).select("path")
@@ -51,8 +61,14 @@ def read_run_texts(spark: SparkSession, path: str, run_id: str | None = None) ->
     """(run_id, post_id, path, text) of every listing text, the path as `source_key`.
 
     A run may have landed in several layouts; only its first non-empty one counts.
-    Which one that is, is decided from the file listing alone.
+    Which one that is, is decided from the file listing alone. Of one run only its own
+    folders are listed; one that is not there has no text.
     """
+    root = path
+    if run_id:
+        path = run_folders(spark, path, run_id)
+        if not path:
+            return spark.createDataFrame([], "run_id string, post_id string, path string, text string")
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
     texts = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
@@ -62,4 +78,4 @@ def read_run_texts(spark: SparkSession, path: str, run_id: str | None = None) ->
 
     best = tagged(list_files(spark, path, "*.txt")).groupBy("run_id").agg(F.min("_rank").alias("_rank"))
     return tagged(texts).join(best, ["run_id", "_rank"], "left_semi").select(
-        "run_id", post_id_from_path("path").alias("post_id"), source_key(F.col("path"), path).alias("path"), "text")
+        "run_id", post_id_from_path("path").alias("post_id"), source_key(F.col("path"), root).alias("path"), "text")

@@ -21,7 +21,8 @@ HEADLINE = [
     "record_to_source", "write_if_absent", "read_jsonl", "price_tier", "stratified_split", "day_split",
     "regression_metrics", "classification_report", "confusion_matrix", "trend_halves", "rank_stability",
     "text_vocab", "text_sequence", "standard_scale", "gbt_regressor", "permutation_importance",
-    "llm_extract", "stream_latest",
+    "llm_extract", "stream_latest", "read_run_texts", "grid_search", "text_classifier", "structured_classifier",
+    "fused_classifier", "stream_extract",
 ]
 
 
