@@ -66,12 +66,16 @@ def banded_distance(a: Column, b: Column, k: int = THRESHOLD) -> Column:
     return let(characters(a), lambda p: let(characters(b), lambda t: steps(p, t)))
 
 
-def letter_pairs(text: Column) -> Column:
-    """64 parities of the pairs of neighbouring characters. An edit changes at most four pairs,
-    so texts within k edits differ in at most 4 k of these bits."""
-    bit = lambda a, b: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(a, b), F.lit(64)).cast("int"))
-    return let(characters(text), lambda c: F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(
-        bit(F.get(c, i), F.get(c, i + 1)))))
+def letters(text: Column) -> Column:
+    """(single, pairs): 64 parities of the characters and of the pairs of neighbours. An edit
+    changes at most two characters and four pairs, so texts within k edits differ in at
+    most 2 k and 4 k of these bits."""
+    bit = lambda *xs: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(*xs), F.lit(64)).cast("int"))
+    none = F.lit(0).cast("long")
+    return let(characters(text), lambda c: F.aggregate(
+        F.sequence(F.lit(0), F.size(c) - 1), F.struct(none.alias("single"), none.alias("pairs")), lambda acc, i: F.struct(
+            acc["single"].bitwiseXOR(bit(F.get(c, i))).alias("single"),
+            acc["pairs"].bitwiseXOR(bit(F.get(c, i), F.get(c, i + 1))).alias("pairs"))))
 
 
 def broken_pieces(a: Column, b: Column, k: int, most: int = 32) -> Column:
@@ -148,22 +152,24 @@ def rest_entries(k: int) -> Column:
 
 
 def candidate_pairs(texts: DataFrame, live: DataFrame, k: int = THRESHOLD, most_pairs: int = MOST_PAIRS) -> DataFrame:
-    """(a, b), a < b: ids of lines that meet under some key. texts(id, line); live(key, id, role)."""
+    """(a, b), a < b: ids of lines that meet under some key and whose sizes and letters allow
+    for k edits. texts(id, line, size, letters); live(key, id, role)."""
+    marks = texts.select("id", "size", "letters.*")
     found, level = [], None
     while True:
         sizes = live.groupBy("key").agg(F.count("*").alias("n"), F.sum(1 - F.col("role")).alias("n0"))
         large = stored(sizes.filter(F.col("n") * F.col("n0") > most_pairs).select("key"), "large-segments")
         if large.isEmpty():
-            found.append(_pairs(live))
+            found.append(_pairs(live, marks, k))
             break
-        found.append(_pairs(live.join(large, "key", "left_anti")))
+        found.append(_pairs(live.join(large, "key", "left_anti"), marks, k))
         if level is None:  # the first keys were made without keeping the texts
             level = texts.select("id", F.col("line").alias("rest"), F.explode_outer(line_entries("line", "size", k)).alias("e")).select("id", "rest", "e.*")
         left = F.concat(F.expr("substring(rest, 1, start - 1)"), F.expr("substring(rest, start + size)"))
         shared = stored(level.join(large, "key", "left_semi").select(
             "id", "role", "longer", F.col("key").alias("path"), left.alias("rest")), "shared-segments")
         short = F.length("rest") - F.col("longer") < 2 * (k + 1)  # nothing left to cut: those lines differ in a few letters
-        found.append(_pairs(shared.filter(short).select(F.col("path").alias("key"), "id", "role")))
+        found.append(_pairs(shared.filter(short).select(F.col("path").alias("key"), "id", "role"), marks, k))
         level = stored(meeting(shared.filter(~short).select("id", "rest", F.explode_outer(rest_entries(k)).alias("e")).select(
             "id", "rest", "e.*")), "cut-again")
         live = level.select("key", "id", "role")
@@ -173,10 +179,16 @@ def candidate_pairs(texts: DataFrame, live: DataFrame, k: int = THRESHOLD, most_
     return pairs.distinct()
 
 
-def _pairs(live: DataFrame) -> DataFrame:
-    a = live.filter("role = 0").select("key", F.col("id").alias("a"))
-    b = live.select("key", F.col("id").alias("b"), "role")
-    return a.join(b, "key").filter("a < b OR (role = 1 AND a <> b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _pairs(live: DataFrame, marks: DataFrame, k: int) -> DataFrame:
+    """Pairs of a key are judged inside the join, so only what may be near leaves it."""
+    marked = live.join(marks, "id")
+    a = marked.filter("role = 0").select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", *marks.columns[1:])])
+    b = marked.select(F.col("key").alias("key_b"), "role", *[F.col(c).alias(f"{c}_b") for c in ("id", *marks.columns[1:])])
+    apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    near = (F.abs(F.col("size_a") - F.col("size_b")) <= k) & (apart("single") <= 2 * k) & (apart("pairs") <= 4 * k)
+    once = (F.col("id_a") < F.col("id_b")) | ((F.col("role") == 1) & (F.col("id_a") != F.col("id_b")))
+    met = a.join(b, (F.col("key") == F.col("key_b")) & once & near)
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
 # --- lines of documents ---------------------------------------------------------------
@@ -217,15 +229,10 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
     keyed = first.select("id", F.explode_outer(line_entries("line", "size", k, places=False)).alias("e")).select("e.key", "id", "e.role")
     live = stored(meeting(keyed), "live-segments")
     met = stored(live.select("id").distinct(), "live-lines")
-    texts = first.join(sent(met), "id", "left_semi").select("id", "h", "h2", "place", "line", "size")
-    texts = stored(texts.withColumn("parity", letter_pairs(F.col("line"))), "live-texts")
-    # Pairs are first judged by two numbers each; only what may still be near gets its texts.
-    pairs = candidate_pairs(texts, live, k, most_pairs)
-    brief = lambda n: texts.select(F.col("id").alias(n), F.col("size").alias(f"size_{n}"), F.col("parity").alias(f"parity_{n}"))
-    likely = pairs.join(brief("a"), "a").join(brief("b"), "b").filter(
-        (F.abs(F.col("size_a") - F.col("size_b")) <= k) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * k))
-    likely = stored(likely.select("a", "b").distinct(), "likely-pairs")
-    side = lambda n: texts.drop("parity", "size").withColumnsRenamed({c: n if c == "id" else f"{c}_{n}" for c in texts.columns})
+    texts = first.join(sent(met), "id", "left_semi").select("id", "h", "h2", "place", "line", "size").dropDuplicates(["h", "h2"])
+    texts = stored(texts.withColumn("letters", letters(F.col("line"))), "live-texts")
+    likely = stored(candidate_pairs(texts, live, k, most_pairs), "likely-pairs")
+    side = lambda n: texts.drop("letters", "size").withColumnsRenamed({c: n if c == "id" else f"{c}_{n}" for c in texts.columns})
     close = likely.join(side("a"), "a").join(side("b"), "b").filter(
         F.when(broken_pieces(F.col("line_a"), F.col("line_b"), k) <= k, banded_distance(F.col("line_a"), F.col("line_b"), k) <= k).otherwise(False))
     late = F.col("place_a") > F.col("place_b")
