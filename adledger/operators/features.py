@@ -6,9 +6,9 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import split_tokens
 from .quantiles import quantiles_of
@@ -142,6 +142,17 @@ class ColumnTransformModel(Model):
         self.medians, self.modes, self.scale = medians, modes, scale
         self.pipeline, self.out = pipeline, out
 
+    def save(self, path: str) -> None:
+        """Write the fitted preparation to a new folder."""
+        self.pipeline.write().save(f"{path}/pipeline")
+        own = {k: getattr(self, k) for k in ("numeric", "categorical", "medians", "modes", "scale", "out")}
+        SparkSession.active().range(1).select(F.lit(json.dumps(own))).write.text(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "ColumnTransformModel":
+        own = json.loads(spark.read.text(f"{path}/about").first()[0])
+        return cls(pipeline=PipelineModel.load(f"{path}/pipeline"), **own)
+
     def vocabulary(self, column: str) -> list[str]:
         indexer = self.pipeline.stages[0].stages[0]
         return list(indexer.labelsArray[self.categorical.index(column)])

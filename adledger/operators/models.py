@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -11,13 +12,14 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import round2
 from ..functions.text import split_tokens
 from ..schemas import CATEGORICAL_FEATURES, PREDICTION_COLUMNS, TIER_NUMERIC_FEATURES, TRAIN_NUMERIC_FEATURES
 from ..session import checkpoint_root, stored
-from .features import MAX_TOKENS, ColumnTransform, label_decode, label_encoder
+from .features import MAX_TOKENS, ColumnTransform, ColumnTransformModel, label_decode, label_encoder
 from .filters import project_existing
 from .splits import contiguous_folds
 
@@ -101,6 +103,23 @@ def predict(model: PipelineModel, holdout: DataFrame, label: str = "price_num",
     return project_existing(scored, [*columns, "actual_price", "pred_price", "prediction"])
 
 
+def save_stages(model: PipelineModel, path: str, about: dict | None = None) -> None:
+    """Write a fitted pipeline, its preparation included, to a new folder."""
+    for i, stage in enumerate(model.stages):
+        stage.save(f"{path}/stage-{i}") if isinstance(stage, ColumnTransformModel) else stage.write().save(f"{path}/stage-{i}")
+    prepared = [i for i, stage in enumerate(model.stages) if isinstance(stage, ColumnTransformModel)]
+    document = json.dumps({"stages": len(model.stages), "prepared": prepared, "about": about or {}})
+    SparkSession.active().range(1).select(F.lit(document)).write.text(f"{path}/about")
+
+
+def load_stages(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    """What `save_stages` wrote."""
+    document = json.loads(spark.read.text(f"{path}/about").first()[0])
+    stages = [ColumnTransformModel.load(spark, f"{path}/stage-{i}") if i in document["prepared"]
+              else DefaultParamsReader.loadParamsInstance(f"{path}/stage-{i}", spark.sparkContext) for i in range(document["stages"])]
+    return PipelineModel(stages=stages), document["about"]
+
+
 # ---- tier classifiers -------------------------------------------------------
 
 class TierClassifier:
@@ -109,6 +128,15 @@ class TierClassifier:
     def __init__(self, stages: PipelineModel, labels: Sequence[str], text: str | None):
         self.stages, self.labels, self.text = stages, labels, text
 
+    def save(self, path: str) -> None:
+        """Write the classifier to a new folder."""
+        save_stages(self.stages, path, {"labels": list(self.labels), "text": self.text})
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "TierClassifier":
+        stages, about = load_stages(spark, path)
+        return cls(stages, about["labels"], about["text"])
+
     def transform(self, df: DataFrame, out: str = "predicted_tier") -> DataFrame:
         extra = ["_tokens", "_tf", "_text", "_structured", "_input", "rawPrediction", "probability", "_label"]
         ready = df.withColumn("_tokens", split_tokens(self.text)) if self.text else df
@@ -121,12 +149,10 @@ def _fit(train: DataFrame, target: str, stages: list, text: str | None) -> TierC
     ready = encoder.transform(train)
     if text:
         ready = ready.withColumn("_tokens", split_tokens(text))
-    # Fitting passes over the rows many times; what does not fit in memory goes to disk.
-    ready = ready.persist()
-    try:
-        return TierClassifier(Pipeline(stages=stages).fit(ready), encoder.labels, text)
-    finally:
-        ready.unpersist()
+    prepared = Pipeline(stages=stages[:-1]).fit(ready)
+    # The head passes over the rows many times: over stored vectors, not over texts or tokens.
+    vectors = stored(prepared.transform(ready).select(stages[-1].getFeaturesCol(), "_label"), "vectors")
+    return TierClassifier(PipelineModel(stages=[*prepared.stages, stages[-1].fit(vectors)]), encoder.labels, text)
 
 
 def _text_stages() -> list:

@@ -1,10 +1,8 @@
-"""Exact order statistics at any size.
+"""Exact order statistics at any size, all columns in the same passes.
 
-Spark's exact ``percentile`` keeps one map of all distinct values in a single
-task, which is right for small columns only. Above ``SMALL_ROWS`` the wanted
-ranks are bracketed with the mergeable approximate sketch, the bracket is checked
-by counting, and only the few values inside it are ever sorted. The result is
-the same linearly interpolated quantile.
+The wanted ranks are bracketed with the mergeable approximate sketch, the brackets are
+checked by counting, and once a bracket holds few values only those are sorted. A small
+column needs no bracket. The result is the linearly interpolated quantile.
 """
 
 from __future__ import annotations
@@ -15,31 +13,33 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Values per rank that are sorted in the end, in one task for each rank.
 SMALL_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
+Place = tuple[str, int]
 
 
 def quantiles_of(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles of several numeric columns (NULL and NaN left out).
+    """Exact quantiles of several numeric columns (NULL and NaN left out; None without values).
 
     Fits eagerly, like an ML estimator: the answer is a handful of numbers.
     """
     if not columns:
         return {}
-    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
-    counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first().asDict()
-    small = [c for c in columns if counts[c] <= small_rows]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        row = df.agg(*[F.percentile(values[c], F.lit(list(probs))).alias(c) for c in small]).first()
-        out.update({c: row[c] if row[c] is not None else [None] * len(probs) for c in small})
-    for c in columns:
-        if c not in out:
-            column = df.select(values[c].alias("v")).where(F.col("v").isNotNull())
-            out[c] = _interpolate(column, counts[c], probs, small_rows)
-    return out
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    ranks = {c: [(counts[c] - 1) * p for p in probs] for c in columns if counts[c]}
+    wanted = {(c, f(r)) for c, rs in ranks.items() for r in rs for f in (math.floor, math.ceil)}
+    at = _order_statistics(values, counts, wanted, small_rows)
+
+    def between(c: str, r: float) -> float:
+        low, high = math.floor(r), math.ceil(r)
+        a, b = at[c, low], at[c, high]
+        return a if a == b else (high - r) * a + (r - low) * b
+
+    return {c: [between(c, r) for r in ranks[c]] if c in ranks else [None] * len(probs) for c in columns}
 
 
 def exact_quantiles(
@@ -48,87 +48,76 @@ def exact_quantiles(
     return quantiles_of(df, [column], probs, small_rows)[column]
 
 
-def _interpolate(values: DataFrame, n: int, probs: Sequence[float], small_rows: int) -> list[float]:
-    ranks = [(n - 1) * p for p in probs]
-    at = _order_statistics(
-        values, n, {math.floor(r) for r in ranks} | {math.ceil(r) for r in ranks}, small_rows)
-    result = []
-    for r in ranks:
-        lo, hi = math.floor(r), math.ceil(r)
-        result.append(at[lo] if at[lo] == at[hi] else (hi - r) * at[lo] + (r - lo) * at[hi])
-    return result
-
-
 @dataclass
 class _Scope:
-    """An open interval known to hold a rank: rows below it and inside it."""
+    """An open interval of a column known to hold a rank: rows below it and inside it."""
 
+    column: str
     low: float | None
     high: float | None
     below: int
     inside: int
     slack: float = 2.0 / SKETCH_ACCURACY
 
-    def holds(self, v: Column) -> Column:
-        return F.lit(True) if self.low is None else (v > self.low) & (v < self.high)
-
-
-def _order_statistics(values: DataFrame, n: int, ranks: set[int], small_rows: int) -> dict[int, float]:
-    """Values at 0-based ranks of the sorted column, all ranks narrowed in the same passes."""
-    v = F.col("v")
-    found: dict[int, float] = {}
-    scopes = {r: _Scope(None, None, 0, n) for r in ranks}
-    while wide := {r: s for r, s in scopes.items() if r not in found and s.inside > small_rows}:
-        bounds = _bracket(values, wide)
-        tests = []
-        for r, s in wide.items():
-            low, high = bounds[r]
-            inside = s.holds(v)
-            tests += [F.count_if(inside & c).alias(f"{name}{r}") for name, c in (
+    def holds(self) -> Column:
+        v = F.col(self.column)
+        return v.isNotNull() if self.low is None else (v > self.low) & (v < self.high)
+
+
+def _order_statistics(values: DataFrame, counts: dict[str, int], wanted: set[Place], small_rows: int) -> dict[Place, float]:
+    """Values at 0-based ranks of the sorted columns, all narrowed in the same passes."""
+    found: dict[Place, float] = {}
+    scopes = {(c, r): _Scope(c, None, None, 0, counts[c]) for c, r in wanted}
+    while wide := {p: s for p, s in scopes.items() if p not in found and s.inside > small_rows}:
+        bounds, tests = _bracket(values, wide), []
+        for i, (p, s) in enumerate(wide.items()):
+            (low, high), v, inside = bounds[p], F.col(s.column), s.holds()
+            tests += [F.count_if(inside & c).alias(f"{name}{i}") for name, c in (
                 ("under", v < low), ("low", v == low), ("between", (v > low) & (v < high)), ("high", v == high))]
-        counts = values.agg(*tests).first()
-        for r, s in wide.items():
-            low, high = bounds[r]
-            start = s.below + counts[f"under{r}"]
-            first = start + counts[f"low{r}"]
-            last = first + counts[f"between{r}"]
-            if start <= r < first:
-                found[r] = low
-            elif first <= r < last:
-                scopes[r] = _Scope(low, high, first, counts[f"between{r}"])
-            elif last <= r < last + counts[f"high{r}"] and high > low:
-                found[r] = high
+        n = values.agg(*tests).first()
+        for i, (p, s) in enumerate(wide.items()):
+            low, high = bounds[p]
+            start = s.below + n[f"under{i}"]
+            first = start + n[f"low{i}"]
+            last = first + n[f"between{i}"]
+            if start <= p[1] < first:
+                found[p] = low
+            elif first <= p[1] < last:
+                scopes[p] = _Scope(s.column, low, high, first, n[f"between{i}"])
+            elif last <= p[1] < last + n[f"high{i}"] and high > low:
+                found[p] = high
             else:
                 s.slack *= 4  # the sketch missed; widen the bracket
-    return found | _by_sorting(values, {r: s for r, s in scopes.items() if r not in found})
+    return found | _by_sorting(values, {p: s for p, s in scopes.items() if p not in found})
 
 
-def _bracket(values: DataFrame, wide: dict[int, _Scope]) -> dict[int, tuple[float, float]]:
+def _bracket(values: DataFrame, wide: dict[Place, _Scope]) -> dict[Place, tuple[float, float]]:
     """Approximate values just below and above each rank: one sketch per distinct scope."""
-    places: dict[int, tuple[str, int]] = {}
-    groups: dict[tuple, list] = {}
-    for r, s in wide.items():
-        p = (r - s.below) / max(s.inside - 1, 1)
-        probs = groups.setdefault((s.low, s.high), [s, []])[1]
-        places[r] = (s.low, s.high), len(probs)
-        probs += [max(0.0, p - s.slack), min(1.0, p + s.slack)]
-    keys = list(groups)
+    places: dict[Place, tuple[tuple, int]] = {}
+    groups: dict[tuple, tuple[_Scope, list[float]]] = {}
+    for p, s in wide.items():
+        share = (p[1] - s.below) / max(s.inside - 1, 1)
+        key = (s.column, s.low, s.high)
+        probs = groups.setdefault(key, (s, []))[1]
+        places[p] = key, len(probs)
+        probs += [max(0.0, share - s.slack), min(1.0, share + s.slack)]
     row = values.agg(*[
-        F.percentile_approx(F.when(groups[k][0].holds(F.col("v")), F.col("v")), groups[k][1], SKETCH_ACCURACY)
-        .alias(f"g{i}") for i, k in enumerate(keys)]).first()
-    return {r: tuple(row[f"g{keys.index(k)}"][at:at + 2]) for r, (k, at) in places.items()}
+        F.percentile_approx(F.when(s.holds(), F.col(s.column)), probs, SKETCH_ACCURACY).alias(f"g{i}")
+        for i, (s, probs) in enumerate(groups.values())]).first()
+    sketch = dict(zip(groups, row))
+    return {p: tuple(sketch[key][at:at + 2]) for p, (key, at) in places.items()}
 
 
-def _by_sorting(values: DataFrame, scopes: dict[int, _Scope]) -> dict[int, float]:
-    """Finish narrow scopes: at most ``small_rows`` rows per rank are sorted."""
+def _by_sorting(values: DataFrame, scopes: dict[Place, _Scope]) -> dict[Place, float]:
+    """Finish narrow scopes in one job: at most ``small_rows`` rows per rank are sorted."""
     if not scopes:
         return {}
-    v = F.col("v")
-    tags = F.array_compact(F.array(*[F.when(s.holds(v), F.lit(r)) for r, s in scopes.items()]))
-    counted = values.select(v, F.explode(tags).alias("rank")).groupBy("rank", "v").agg(
-        F.count(F.lit(1)).alias("n"))
+    numbered = list(scopes.items())
+    tags = F.array_compact(F.array(*[
+        F.when(s.holds(), F.struct(F.lit(i).alias("scope"), F.col(s.column).alias("v"))) for i, (_, s) in enumerate(numbered)]))
+    counted = values.select(F.explode(tags).alias("t")).groupBy("t.scope", "t.v").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(
-        Window.partitionBy("rank").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    below = F.create_map(*[F.lit(x) for r, s in scopes.items() for x in (r, s.below)])
-    hit = counted.withColumn("upto", upto).where(F.col("upto") > F.col("rank") - below[F.col("rank")])
-    return {row["rank"]: row["v"] for row in hit.groupBy("rank").agg(F.min("v").alias("v")).collect()}
+        Window.partitionBy("scope").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    past = F.element_at(F.array(*[F.lit(p[1] - s.below) for p, s in numbered]), F.col("scope") + 1)
+    hit = counted.withColumn("upto", upto).where(F.col("upto") > past)
+    return {numbered[r["scope"]][0]: r["v"] for r in hit.groupBy("scope").agg(F.min("v").alias("v")).collect()}

@@ -105,3 +105,17 @@ def test_dense_network(cars):
     model = models.structured_classifier(table, numeric=["year_num"], categorical=["make"], hidden=[8], max_iter=100)
     out = model.transform(table)
     assert out.where("predicted_tier = price_tier").count() > 300
+
+
+def test_saved_models_predict_alike(spark, cars, fitted, tmp_path):
+    model, rows = fitted
+    models.save_stages(model, str(tmp_path / "price"))
+    again, _ = models.load_stages(spark, str(tmp_path / "price"))
+    both = [sorted((r.post_id, r.prediction) for r in m.transform(rows).select("post_id", "prediction").collect()) for m in (model, again)]
+    assert both[0] == both[1]
+    tiers = modeling_table(cars.withColumn("price", F.regexp_replace("price", r"\$", "")))
+    classifier = models.fused_classifier(tiers, numeric=["year_num"], categorical=["make"], max_iter=5)
+    classifier.save(str(tmp_path / "tier"))
+    loaded = models.TierClassifier.load(spark, str(tmp_path / "tier"))
+    found = [sorted((r.post_id, r.predicted_tier) for r in m.transform(tiers).select("post_id", "predicted_tier").collect()) for m in (classifier, loaded)]
+    assert found[0] == found[1]
