@@ -3,7 +3,7 @@
 import os
 
 from adledger.operators.dedup import latest_by_key
-from adledger.streaming.jobs import compact_latest, current_latest, run_to_end, stream_extract, stream_latest
+from adledger.streaming.jobs import expire_latest, compact_latest, current_latest, run_to_end, stream_extract, stream_latest
 
 A, B, C = "20251026170002", "20251026T180002Z", "20251027000000"
 SCHEMA = "post_id string, run_id string, source_txt string, price long"
@@ -44,3 +44,20 @@ def test_extract_takes_each_file_once(spark, tmp_path):
         run_to_end(stream_extract(spark, landing, out, state))
         got = sorted((r.post_id, r.price, r.scraped_at) for r in spark.read.parquet(out).collect())
         assert got == [(str(k), 1000 + k, "2025-10-26T17:00:02Z") for k in range(i + 1)]
+
+
+def test_empty_and_expired_tables(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    assert current_latest(spark, out).count() == 0
+    expire_latest(spark, out)
+    seen = []
+    for i, run in enumerate((A, B, C)):
+        batch = [("1", run, f"s{i}", i), (str(i + 2), run, "x", i)]
+        seen += batch
+        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        run_to_end(stream_latest(spark.readStream.schema(SCHEMA).parquet(source), out, state))
+        compact_latest(spark, out)
+    before = rows(current_latest(spark, out))
+    expire_latest(spark, out, keep_versions=1)
+    assert rows(current_latest(spark, out)) == before == rows(latest_by_key(spark.createDataFrame(seen, SCHEMA)))
+    assert len(os.listdir(f"{out}/base")) <= 3 and [d for d in os.listdir(f"{out}/deltas") if d.startswith("batch_id=")] == []

@@ -147,3 +147,13 @@ def test_vocabulary_and_sequence(frame):
     assert got[2] == [2, 3] * 75
     assert got[3] == [0] * 150 and got[4][:3] == [1, 1, 0]
     assert all(len(v) == 150 for v in got.values())
+
+
+def test_links_in_any_item(apply):
+    """Items of any element, nested ones included; all entities of a link decoded."""
+    page = ('<div class="result-row x"><p><div><a href="/d/5.htm">a</a></div></p><a href="/d/6.htm"></a></div><a href="/d/7.htm">out</a>'
+            '<ul><li class="result-row"><ul><li>inner</li></ul><img src=x><a href="/d/8.htm">b</a></li><li><a href="/d/9.htm">no</a></li></ul>'
+            '<span class="cl-search-result"><br><a href="/q?a=1&#38;b=2&amp;c=&quot;/10.htm">c</a></span><a href=\'//h.org/x&#x26;y/11.html\'>d</a>')
+    assert apply(lambda c: html.extract_links(c, "https://b.org"), [page, "", None]) == [[
+        "https://h.org/x&y/11.html", "https://b.org/d/5.htm", "https://b.org/d/6.htm", "https://b.org/d/8.htm",
+        'https://b.org/q?a=1&b=2&c="/10.htm'], [], None]
