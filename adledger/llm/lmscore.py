@@ -8,8 +8,8 @@ offered by the longer contexts are excluded; at last all bytes never seen share
 
 The counts grow with the corpus, so they are never broadcast whole: contexts are dealt by
 their last two bytes into slices of bounded size, each slice is broadcast once, and texts
-add up the predictions that fall into it. Word counts are sharded by word hash; texts send
-their words to the shards and get sums back.
+add up the predictions that fall into it. Word counts are sharded by word hash: frequent
+words are broadcast, of the others texts send theirs to the shards and get sums back.
 
 Texts are UTF-8 with A-Z lower-cased. Bytes 0xFE (before a text) and 0xFF (its end) occur in
 no UTF-8 text; the end is predicted like any other byte.
@@ -230,25 +230,57 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 SENT = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("words", pa.binary()), ("counts", pa.binary()),
                   ("owners", pa.binary()), ("learns", pa.binary()), ("rows", pa.binary())])
 BACK = pa.schema([("batch", pa.int64()), ("owners", pa.binary()), ("logs", pa.binary()), ("known", pa.binary()),
-                  ("tokens", pa.binary()), ("rows", pa.binary()), ("train_tokens", pa.int64()), ("train_words", pa.int64())])
+                  ("tokens", pa.binary()), ("rows", pa.binary())])
 SENT_SQL = "shard int, batch long, words binary, counts binary, owners binary, learns binary, rows binary"
-BACK_SQL = "batch long, owners binary, logs binary, known binary, tokens binary, rows binary, train_tokens long, train_words long"
+BACK_SQL = "batch long, owners binary, logs binary, known binary, tokens binary, rows binary"
 
 
-def send_words(shards: int):
-    """Each group of texts sends every shard the distinct words of its texts that belong there.
-    The ids of the texts travel once, with one of the shards."""
+def count_words(batches):
+    """Words of a partition with their counts, sent on whenever there are many."""
+    schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
+    held, size = [], 0
+    for _, texts in joined_texts(batches):
+        held.append(np.unique(word_hashes(texts)[0], return_counts=True))
+        size += len(held[-1][0])
+        if size > HELD_GRAMS:
+            held = [added_up(*map(np.concatenate, zip(*held)))]
+            size = len(held[0][0])
+            if 2 * size > HELD_GRAMS:
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in held[0]], schema=schema)
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in added_up(*map(np.concatenate, zip(*held)))], schema=schema)
+
+
+def looked_up(words: np.ndarray, sorted_words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Count of each word (0 if it is not there), and whether it is there."""
+    if not len(sorted_words):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(sorted_words, words), len(sorted_words) - 1)
+    there = sorted_words[at] == words
+    return np.where(there, counts[at], 0), there
+
+
+def send_words(shards: int, frequent):
+    """Each group of texts adds up its frequent words itself and sends every shard the other
+    distinct words of its texts that belong there. The ids of the texts, with the sums so
+    far, travel once, with one of the shards."""
 
     def run(batches):
         import xxhash
 
+        frequent_words, frequent_counts = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64)))
         for columns, texts in joined_texts(batches, "id", "row", "learns"):
             hashes, owner = word_hashes(texts)
             order = np.lexsort((hashes, owner))
             hashes, owner = hashes[order], owner[order]
             first = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])))
-            counts = np.diff(np.append(first, len(hashes))).astype("<u4")
-            hashes, owner = hashes[first], owner[first].astype("<u2")
+            counts = np.diff(np.append(first, len(hashes)))
+            hashes, owner = hashes[first], owner[first]
+            seen, local = looked_up(hashes, frequent_words, frequent_counts)
+            sums = [np.bincount(owner[local], weights=w, minlength=len(texts)) for w in (
+                np.log10(seen[local] + 0.5) * counts[local], counts[local], counts[local])]
+            hashes, owner, counts = hashes[~local], owner[~local].astype("<u2"), counts[~local].astype("<u4")
             shard = (hashes % np.uint64(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")  # stays ordered by text within a shard
             bounds = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -256,6 +288,7 @@ def send_words(shards: int):
             rows = np.concatenate([columns["id"], columns["row"]]).astype("<i8").tobytes()
             learns = np.packbits(columns["learns"].astype(bool)).tobytes()
             batch = xxhash.xxh64_intdigest(rows) >> 1
+            rows += np.concatenate(sums).astype("<f8").tobytes()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(shards, dtype=np.int32)), pa.array([batch] * shards, pa.int64()),
                 *(pa.array([x[o].tobytes() for o in own], pa.binary()) for x in (hashes, counts, owner)),
@@ -273,11 +306,7 @@ def answer_shard(sent: pa.Table) -> pa.Table:
     learns = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8))[o] for x, o in zip(sent.column("learns"), owners)]).astype(bool)
     taught, back = np.unique(words[learns], return_inverse=True)
     total = np.bincount(back, weights=counts[learns], minlength=len(taught)).astype(np.int64)
-    if len(taught):
-        at = np.minimum(np.searchsorted(taught, words), len(taught) - 1)
-        seen = np.where(taught[at] == words, total[at], 0)
-    else:
-        seen = np.zeros(len(words), np.int64)
+    seen, _ = looked_up(words, taught, total)
     logs, known = np.log10(seen + 0.5) * counts, np.where(seen > 0, counts, 0)
     out, start = [], 0
     for own in owners:
@@ -285,15 +314,15 @@ def answer_shard(sent: pa.Table) -> pa.Table:
         sums = [np.add.reduceat(x[start:start + len(own)], first) if len(own) else x[:0] for x in (logs, known, counts)]
         out.append([own[first].astype("<u2").tobytes(), *(x.astype(t).tobytes() for x, t in zip(sums, ("<f8", "<u4", "<u4")))])
         start += len(own)
-    once = [1] + [0] * (len(owners) - 1)
-    return pa.table([sent.column("batch"), *(pa.array(x, pa.binary()) for x in zip(*out)), sent.column("rows"),
-                     pa.array([int(total.sum()) * x for x in once], pa.int64()), pa.array([len(taught) * x for x in once], pa.int64())], schema=BACK)
+    return pa.table([sent.column("batch"), *(pa.array(x, pa.binary()) for x in zip(*out)), sent.column("rows")], schema=BACK)
 
 
 def sum_batch(parts: pa.Table) -> pa.Table:
     """Add up what the shards sent to one group of texts."""
-    ids, rows = np.frombuffer(next(x.as_py() for x in parts.column("rows") if x.is_valid), "<i8").reshape(2, -1)
-    logs, known, tokens = np.zeros(len(ids)), np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    packed = next(x.as_py() for x in parts.column("rows") if x.is_valid)
+    ids, rows = np.frombuffer(packed, "<i8", len(packed) // 20).reshape(2, -1)
+    logs, known, tokens = np.frombuffer(packed, "<f8", offset=len(packed) // 5 * 2).reshape(3, -1).copy()
+    known, tokens = known.astype(np.int64), tokens.astype(np.int64)
     for owners, *values in zip(*(parts.column(n) for n in ("owners", "logs", "known", "tokens"))):
         at = np.frombuffer(owners.as_py(), "<u2")  # each text once
         for total, value, kind in zip((logs, known, tokens), values, ("<f8", "<u4", "<u4")):
@@ -301,22 +330,31 @@ def sum_batch(parts: pa.Table) -> pa.Table:
     return pa.table({"id": ids, "row": rows, "logs": logs, "known": known, "tokens": tokens})
 
 
-def word_sums(rows: DataFrame, words_per_shard: int = 4_000_000, least_shards: int = 48) -> tuple[DataFrame, int, int]:
+def word_sums(rows: DataFrame, frequent_words: int = 200_000, words_per_shard: int = 4_000_000,
+              least_shards: int = 48) -> tuple[DataFrame, int, int]:
     """rows(id, row, text, learns) -> (id, row, logs, known, tokens), and the training corpus'
-    tokens and distinct words. A shard holds its words once, so its size is bounded by
-    the number of shards, which grows with the bytes of the texts."""
+    tokens and distinct words.
+
+    The ``frequent_words`` most frequent training words are broadcast with their counts, so
+    no word of a large part of all texts ever meets in one shard. A shard holds its other
+    words once; the number of shards grows with the bytes of the texts.
+    """
+    counted = stored(rows.filter("learns").select("text").mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    tokens, words = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    top = counted.orderBy(F.desc("n"), "word").limit(frequent_words).toArrow()
+    word, n = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.argsort(word)
+    frequent = rows.sparkSession.sparkContext.broadcast((word[order].tobytes(), n[order].tobytes()))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(least_shards, total // (6 * words_per_shard))
-    answers = stored(rows.mapInArrow(send_words(shards), SENT_SQL).groupBy("shard").applyInArrow(answer_shard, BACK_SQL), "word-sums")
-    tokens, words = answers.agg(F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum("train_words"), F.lit(0))).first()
-    sums = answers.drop("train_tokens", "train_words").groupBy("batch").applyInArrow(
-        sum_batch, "id long, row long, logs double, known long, tokens long")
+    answers = rows.mapInArrow(send_words(shards, frequent), SENT_SQL).groupBy("shard").applyInArrow(answer_shard, BACK_SQL)
+    sums = answers.groupBy("batch").applyInArrow(sum_batch, "id long, row long, logs double, known long, tokens long")
     return sums, tokens, words
 
 
 # --- both -----------------------------------------------------------------------------
 
-def score(df: DataFrame, learns: Column, text: str = "text", order: str = "doc_id") -> DataFrame:
+def score(df: DataFrame, learns: Column, text: str = "text", order: str = "doc_id", frequent_words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     ``learns`` says which rows train. A null text is empty: its score is that of the end
@@ -327,7 +365,7 @@ def score(df: DataFrame, learns: Column, text: str = "text", order: str = "doc_i
     rows = df.select(F.coalesce(F.col(order).cast("long"), F.lit(0)).alias("id"),
                      F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(-2)).bitwiseOR(flag.cast("long")).alias("row"),
                      F.col(text).alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
-    sums, n, v = word_sums(rows)
+    sums, n, v = word_sums(rows, frequent_words)
     copies = sums.groupBy("id", "row").agg(F.count("*").alias("copies"), *[F.max(c).alias(c) for c in ("logs", "known", "tokens")])
     parts = ppm_parts(rows, F.col("learns")).groupBy("id", "row", "slice").agg(F.max("part").alias("part"))
     scores = parts.groupBy("id", "row").agg(F.sum("part").alias("score"))

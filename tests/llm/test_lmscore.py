@@ -71,7 +71,8 @@ def test_equals_brute_force(docs_of, monkeypatch, slice_grams):
 def test_small_groups_of_texts(docs_of, monkeypatch):
     monkeypatch.setattr(lmscore, "BATCH_BYTES", 10)
     monkeypatch.setattr(lmscore, "HELD_GRAMS", 30)
-    check(lmscore.score(docs_of(TEXTS), F.lit(True)).collect(), list(TEXTS.values()), TEXTS)
+    for frequent in (0, 3, 200_000):  # none, some and all words looked up locally
+        check(lmscore.score(docs_of(TEXTS), F.lit(True), frequent_words=frequent).collect(), list(TEXTS.values()), TEXTS)
 
 
 def test_probabilities_add_up():
