@@ -19,7 +19,7 @@ from .aggregates import predicted_events, with_params
 from .common import IMPORTANCE_CTE, L, NL, RUNS_CTE, derive, importance, landed, listings, runs, table
 from .fields import PARSED_CTE
 from .relations import LATEST_SQL
-from .texts import BASE, LINKS_SQL, clean_sql, search_pages
+from .texts import BASE, LINKS_SQL, VISIBLE_SQL, clean_sql, search_pages
 
 # ---- whole-file texts: one file per supplier --------------------------------
 
@@ -120,13 +120,13 @@ def landed_pages(spark, folder):
 
 
 def _land_listings(spark, folder):
-    return landed_pages(spark, folder).select("post_id")
+    return landed_pages(spark, folder)
 
 
 def _write_index(spark, folder):
     path = scratch_path(spark, "index")
     write_index(crawl_index(landed_pages(spark, folder)), path)
-    return spark.read.csv(path, header=True).groupBy("error").agg(F.count("post_id").alias("posts"))
+    return spark.read.csv(path, header=True).select("post_id", "url", "object", "error")
 
 
 # ---- skip existing ----------------------------------------------------------
@@ -215,6 +215,10 @@ def _materialize_listings(spark, folder):
     return out.select("post_id", "run_id", "price", "combined_text", "combined_text_len", "has_combined_text")
 
 
+#: First link per post in order of discovery: a page's own .html anchors come first.
+FIRST_LINKS = r"""SELECT page_id, url, regexp_extract(url, '/(\d+)\.html?$', 1) AS post_id FROM links QUALIFY row_number() OVER (
+  PARTITION BY post_id ORDER BY page_id, CASE WHEN url IN (SELECT url FROM pages) THEN 0 ELSE 1 END, strpos(url, '/b/') = 0) = 1"""
+
 QUERIES = {
     "read_run_texts": _read_run_texts, "list_runs": _list_runs, "read_jsonl": _read_jsonl,
     "union_runs": _union_runs, "write_jsonl": _write_jsonl(True), "write_jsonl_dense": _write_jsonl(False),
@@ -241,11 +245,13 @@ ORACLES = {
   lpad(CAST(listing_id % 100000 AS VARCHAR), 5, '0') AS zip_code, listing_id % 2 = 0 AS has_combined_text, CAST(NULL AS VARCHAR) AS city FROM l""",
     "write_table_csv": f"{_LATEST} SELECT post_id, run_id, price, year, make, model, mileage, source_txt FROM latest",
     "read_pages": "SELECT page_id, url, md5(html) AS html_md5 FROM pages",
-    "write_index": rf"""WITH {LINKS_SQL}, k AS (SELECT DISTINCT regexp_extract(url, '/(\d+)\.html?$', 1) AS post_id FROM links),
-f AS (SELECT page_id, url, regexp_extract(url, '/(\d+)\.html?$', 1) AS post_id FROM links QUALIFY row_number() OVER (
-  PARTITION BY post_id ORDER BY page_id, CASE WHEN url IN (SELECT url FROM pages) THEN 0 ELSE 1 END) = 1)
-SELECT CASE WHEN url NOT IN (SELECT url FROM pages) THEN 'page not landed' END AS error, count(*) AS posts FROM f GROUP BY 1""",
-    "land_listings": rf"WITH {LINKS_SQL} SELECT DISTINCT regexp_extract(url, '/(\d+)\.html?$', 1) AS post_id FROM links",
+    "write_index": rf"""WITH {LINKS_SQL}, f AS ({FIRST_LINKS})
+SELECT post_id, url, CASE WHEN url IN (SELECT url FROM pages) THEN 'scrapes/20240101000000/' || post_id || '.txt' END AS object,
+  CASE WHEN url NOT IN (SELECT url FROM pages) THEN 'page not landed' END AS error FROM f""",
+    "land_listings": rf"""WITH {LINKS_SQL}, f AS ({FIRST_LINKS}), v AS ({VISIBLE_SQL})
+SELECT f.post_id, f.url, CASE WHEN v.text IS NULL THEN '' ELSE 'scrapes/20240101000000/' || f.post_id || '.txt' END AS object,
+  '' AS image_url, CASE WHEN v.text IS NULL THEN 'page not landed' END AS error, v.text
+FROM f LEFT JOIN pages p ON p.url = f.url LEFT JOIN v ON v.page_id = p.page_id""",
     "write_if_absent": """SELECT o_orderstatus AS run_id, o_orderkey AS post_id, CASE WHEN o_orderpriority = '5-LOW' THEN 'old' ELSE 'new' END AS source
   FROM orders WHERE o_orderpriority = '5-LOW' OR o_orderstatus <> 'P'""",
     "write_overwrite": """SELECT o_orderstatus AS run_id, o_orderkey AS post_id, CASE WHEN o_orderstatus = 'P' THEN 'old' ELSE 'new' END AS source

@@ -81,7 +81,9 @@ SEARCH_PAGES = """
 SELECT page_id, url, html || '<a class="x" href="' || url || '">p</a><a href=''/b/' || CAST(page_id AS STRING)
   || '.html''>q</a><li class="cl-search-result z"><a class="titlestring" href="//h.example.org/c/' || CAST(page_id AS STRING)
   || '.htm">r</a></li><a href="/d/' || CAST(page_id AS STRING) || '.htm">s</a><link href="/e/' || CAST(page_id AS STRING)
-  || '.html"><a href="/f/1.html?x=1">t</a><!-- <a href="/g/' || CAST(page_id AS STRING) || '.html"> -->'
+  || '.html"><a href="/f/1.html?x=1">t</a><div class="a result-row"><p><a href="/k/' || CAST(page_id AS STRING)
+  || '.htm">u</a></p><b><a href="&#47;n/' || CAST(page_id AS STRING) || '.htm">v</a></b></div><ul><li class="result-row"><ul><li>in</li></ul><a href="/m/'
+  || CAST(page_id AS STRING) || '.htm">w</a></li></ul><!-- <a href="/g/' || CAST(page_id AS STRING) || '.html"> -->'
   || CASE WHEN page_id % 4 = 0 THEN '<img src="/logo.png"><img data-src="https://images.example.org/' || CAST(page_id AS STRING) || '.jpg">'
        WHEN page_id % 4 = 1 THEN '<div data-bg="https://images.example.org/bg' || CAST(page_id AS STRING) || '.jpg">' ELSE '' END AS html
 FROM {pages}"""
@@ -91,6 +93,7 @@ LINKS_SQL = rf"""{S_CTE}, bare AS (SELECT page_id, html, regexp_replace(html, '(
 raw AS (
   SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+?/\d+\.html)"', 1)) AS u FROM bare
   UNION SELECT page_id, unnest(regexp_extract_all(live, '(?is)<a\s[^>]*?href=["'']([^"''>]+/\d+\.html)["'']', 1)) FROM bare
+  UNION SELECT page_id, '/' || x || '/' || page_id || '.htm' FROM pages, (VALUES ('k'), ('m'), ('n')) v(x)
   UNION SELECT page_id, unnest(regexp_extract_all(live, '(?is)<li class="cl-search-result[^>]*><a class="titlestring" href="([^"]+/\d+\.html?)"', 1)) FROM bare),
 links AS (SELECT DISTINCT page_id, CASE WHEN starts_with(u, '//') THEN 'https:' || u WHEN starts_with(u, '/') THEN '{BASE}' || u ELSE u END AS url FROM raw)"""
 
