@@ -20,8 +20,12 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no determined language: null texts, texts without a letter, and those
-    whose likeliest language stays below LEAST_LANGUAGE_SCORE."""
-    known = langid.identify(docs, langid.train(docs.filter(~langid.held_out())), pred="__lang", score="__score")
+    whose likeliest language stays below LEAST_LANGUAGE_SCORE. Without any labelled text no
+    language can be told, and every text with a letter stays."""
+    model = langid.train(docs.filter(~langid.held_out()))
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    known = langid.identify(docs, model, pred="__lang", score="__score")
     return known.filter((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 

@@ -63,6 +63,11 @@ def test_odd_documents(spark, tmp_path, odd_docs, no_docs, name, stage):
     assert stage(spark, no_docs, str(tmp_path)).count() == 0
 
 
+def test_unlabelled_documents_stay(spark, odd_docs):
+    kept = pipeline.language_id(spark, odd_docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert kept.count() == 7 and kept.columns == odd_docs.columns
+
+
 def test_registered_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11))
