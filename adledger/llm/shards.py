@@ -129,7 +129,8 @@ def shard(df: DataFrame, shards: int = 24, text: str = "text", order: str = "doc
     before = counts.select("__shard", "__run", (F.sum("n").over(Window.partitionBy("__shard").orderBy("__run")) - F.col("n")).alias("__before"))
     in_run = F.row_number().over(Window.partitionBy("__shard", "__run").orderBy(*[F.col(k).bitwiseXOR(F.lit(LOW)) for k in ("__k1", "__k2")]))
     placed = df.withColumns({f"__{n}": c for n, c in keys.items()}).withColumns(place("__k1", "__k2")).withColumn("__in_run", in_run)
-    return placed.join(F.broadcast(before), ["__shard", "__run"]).withColumns({
+    # The numbered rows already lie by shard and run, which is what this join asks for.
+    return placed.join(before, ["__shard", "__run"]).withColumns({
         "shard": F.col("__shard"), "slot": F.col("__before") + F.col("__in_run") - 1}).drop("__shard", "__run", "__k1", "__k2", "__in_run", "__before")
 
 

@@ -26,6 +26,8 @@ AXES, HIGH = 3, 0.6
 #: Relative room for rounding; pruning may only keep too much.
 SLACK = 1e-9
 SPREAD = 32
+#: Length bands up to which their sizes are sent to every executor.
+SENT_BANDS = 100_000
 
 
 def scaled(vector: Column) -> Column:
@@ -58,7 +60,9 @@ def blocked(rows: DataFrame, per_block: int, number: str) -> DataFrame:
     dimension and one length band."""
     band = F.floor(F.log(F.greatest("len2", F.lit(1.0))) / F.log(F.lit(BAND**2))).cast("int")
     rows = rows.withColumn("band", band)
-    sizes = rows.groupBy("dim", "band").agg(F.count("*").alias("n"))  # few: lengths are within a long
+    sizes = stored(rows.groupBy("dim", "band").agg(F.count("*").alias("n")), "bands")
+    if sizes.count() <= SENT_BANDS:  # else there are too many bands for one to be large
+        sizes = F.broadcast(sizes)
     cut = F.pmod(F.xxhash64("id", F.lit(11)), F.ceil(F.col("n") / per_block)).cast("int")
     return (rows.join(sizes, ["dim", "band"]).withColumn(number, F.struct("band", cut.alias("part")))
             .select("dim", number, "id", "vec", "floor").groupBy("dim", number).applyInArrow(
