@@ -35,6 +35,8 @@ SPAN = WINDOW - GRAM + 1
 BATCH_BYTES = 2 << 20
 BATCH_TEXTS = 32_768
 LAST = 2**63 - 1
+#: Compression of texts on their way.
+LEVEL = 5
 
 
 # --- anchors --------------------------------------------------------------------------
@@ -140,11 +142,12 @@ def ask(shards: int):
                 parts = [np.flatnonzero(shard == s) for s in range(shards)]
                 name = xxhash.xxh64_intdigest(own.tobytes() + marks[first:i + 1].tobytes()) >> 1
                 home = [s == name % shards for s in range(shards)]
-                packed = zstandard.ZstdCompressor(level=3).compress(joined)
+                packer = zstandard.ZstdCompressor(level=LEVEL)
+                packed, ids = packer.compress(joined), packer.compress(own.astype("<i8").tobytes())
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(shards, dtype=np.int32)), pa.array([name] * shards, pa.int64()),
                     blobs([(classes.key[p] >> np.uint64(32)) for p in parts], "<u4"), blobs([classes.context[p] for p in parts]),
-                    blobs([owner[p] for p in parts]), blobs([own] * shards, "<i8"),
+                    blobs([owner[p] for p in parts]), pa.array([ids] * shards, pa.binary()),
                     pa.array([packed if h else None for h in home], pa.binary()), blobs([ends if h else None for h in home], "<i8"),
                     blobs([marks[first:i + 1] if h else None for h in home], "<i8")], schema=ASKED)
                 held, size, first = [], 0, i + 1
@@ -152,6 +155,12 @@ def ask(shards: int):
     return run
 
 
+def unpacked(ids: pa.Scalar) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(ids.as_py()), "<i8")
+
+
 def whole(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_py(), kind) for x in column])
 
@@ -160,7 +169,7 @@ def tell(asked: pa.Table) -> pa.Table:
     """State of every class of a shard: settled, covered by a smaller document, or open."""
     lengths = [len(x.as_py()) // 8 for x in asked.column("contexts")]
     key, context = whole(asked.column("keys"), "<u4"), whole(asked.column("contexts"), "<u8")
-    doc = np.concatenate([np.frombuffer(d.as_py(), "<i8")[np.frombuffer(o.as_py(), "<u2")] for d, o in zip(asked.column("docs"), asked.column("owners"))])
+    doc = np.concatenate([unpacked(d)[np.frombuffer(o.as_py(), "<u2")] for d, o in zip(asked.column("docs"), asked.column("owners"))])
     order = np.lexsort((doc, context, key))
     key, context, doc = key[order], context[order], doc[order]
     state = np.zeros(len(order), np.uint8)
@@ -173,7 +182,8 @@ def tell(asked: pa.Table) -> pa.Table:
         several = (np.add.reduceat(new_class.astype(np.int64), first) > 1) & (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first))
         state[order] = np.where(doc > least, COVERED, np.where(np.repeat(several, sizes), OPEN, SETTLED))
     states = np.split(state, np.cumsum(lengths)[:-1])
-    return pa.table([asked.column("batch"), asked.column("shard"), blobs(states), *(asked.column(n) for n in ("docs", "texts", "ends", "marks"))], schema=TOLD)
+    docs = pa.array([d.as_py() if t.is_valid else None for d, t in zip(asked.column("docs"), asked.column("texts"))], pa.binary())
+    return pa.table([asked.column("batch"), asked.column("shard"), blobs(states), docs, *(asked.column(n) for n in ("texts", "ends", "marks"))], schema=TOLD)
 
 
 # --- exchange 2: front-coded suffix runs ----------------------------------------------
@@ -226,7 +236,7 @@ def make_runs(parts: int):
         home = next(i for i, x in enumerate(told.column("texts")) if x.is_valid)
         packed, ends, marks = (told.column(n)[home].as_py() for n in ("texts", "ends", "marks"))
         data = zstandard.ZstdDecompressor().decompress(packed)
-        docs = np.frombuffer(told.column("docs")[0].as_py(), "<i8")
+        docs = unpacked(told.column("docs")[home])
         found = find_anchors(np.frombuffer(data, np.uint8), np.frombuffer(ends, "<i8"))
         classes = fold(found, docs)
         state = np.zeros(len(classes.key), np.uint8)
