@@ -8,35 +8,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored  # noqa: F401  operators cut their lineage with it
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows read back from Parquet in the shared folder: lineage ends here, so
-    a lost executor costs a read and not a recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def id_hash(column: str) -> Column:
     """crc32 of the id as text: deals documents into folds."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-def arrow_rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    return zip(*(batch.column(n).to_pylist() for n in names))
-
-
-def arrow_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text of a batch, one at a time; a null text has none."""
     raw = column.cast(pa.binary()) if pa.types.is_string(column.type) else column.cast(pa.large_binary())
