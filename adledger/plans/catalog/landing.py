@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.times import iso_z, parse_run_id
-from ...operators import extraction, summaries
+from ...operators import extraction
 from ...schemas import LISTING_COLUMNS, MASTER_COLUMNS
 from ...session import scratch_path
 from ...sinks import write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
