@@ -20,6 +20,16 @@ def id_hash(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def group_name(number: int, *contents: bytes) -> int:
+    """Name of the ``number``-th group of rows of this task. Groups of equal contents differ by
+    their place: the input partition, and the number within it."""
+    import xxhash
+    from pyspark import TaskContext
+
+    place = TaskContext.get().partitionId().to_bytes(8, "little") + number.to_bytes(8, "little")
+    return xxhash.xxh64_intdigest(place + b"".join(contents)) >> 1
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text of a batch, one at a time; a null text has none."""
     raw = column.cast(pa.binary()) if pa.types.is_string(column.type) else column.cast(pa.large_binary())

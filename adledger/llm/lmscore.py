@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import group_name, stored, text_bytes
 from .rolling import Substrings
 
 ORDER = 5
@@ -267,10 +267,8 @@ def send_words(shards: int, frequent):
     far, travel once, with one of the shards."""
 
     def run(batches):
-        import xxhash
-
         frequent_words, frequent_counts = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64)))
-        for columns, texts in joined_texts(batches, "id", "row", "learns"):
+        for number, (columns, texts) in enumerate(joined_texts(batches, "id", "row", "learns")):
             hashes, owner = word_hashes(texts)
             order = np.lexsort((hashes, owner))
             hashes, owner = hashes[order], owner[order]
@@ -287,7 +285,7 @@ def send_words(shards: int, frequent):
             own = [order[a:b] for a, b in zip(bounds, bounds[1:])]
             rows = np.concatenate([columns["id"], columns["row"]]).astype("<i8").tobytes()
             learns = np.packbits(columns["learns"].astype(bool)).tobytes()
-            batch = xxhash.xxh64_intdigest(rows) >> 1
+            batch = group_name(number, rows)
             rows += np.concatenate(sums).astype("<f8").tobytes()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(shards, dtype=np.int32)), pa.array([batch] * shards, pa.int64()),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import group_name, stored, text_bytes
 from .rolling import Substrings
 
 WINDOW = 50
@@ -123,9 +123,9 @@ def ask(shards: int):
     """Each group of texts sends its classes to their shards, and itself to one of them."""
 
     def run(batches):
-        import xxhash
         import zstandard
 
+        number = 0
         for batch in batches:
             docs, marks = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "mark"))
             held, size, first = [], 0, 0
@@ -140,7 +140,8 @@ def ask(shards: int):
                 owner = found.owner[classes.anchor].astype("<u2")
                 shard = (classes.key % np.uint64(shards)).astype(np.int64)
                 parts = [np.flatnonzero(shard == s) for s in range(shards)]
-                name = xxhash.xxh64_intdigest(own.tobytes() + marks[first:i + 1].tobytes()) >> 1
+                name = group_name(number, own.tobytes(), marks[first:i + 1].tobytes())
+                number += 1
                 home = [s == name % shards for s in range(shards)]
                 packer = zstandard.ZstdCompressor(level=LEVEL)
                 packed, ids = packer.compress(joined), packer.compress(own.astype("<i8").tobytes())

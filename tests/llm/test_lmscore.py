@@ -75,6 +75,17 @@ def test_small_groups_of_texts(docs_of, monkeypatch):
         check(lmscore.score(docs_of(TEXTS), F.lit(True), frequent_words=frequent).collect(), list(TEXTS.values()), TEXTS)
 
 
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_groups_with_equal_rows(spark, monkeypatch, partitions):
+    """Equal null ids and one document landed many times fill groups of equal rows."""
+    monkeypatch.setattr(lmscore, "BATCH_BYTES", 10)
+    texts = {None: "the same words without an id", 3: "one long document that is landed again"}
+    df = spark.createDataFrame([x for x in texts.items() for _ in range(12)], "doc_id long, text string").repartition(partitions)
+    got = lmscore.score(df, F.lit(True), frequent_words=0).collect()
+    assert sorted(r["doc_id"] or 0 for r in got) == [0] * 12 + [3] * 12
+    check(got, [*texts.values()] * 12, texts)
+
+
 def test_probabilities_add_up():
     """What may follow a context has probability one in all."""
     code, n = np.unique(lmscore.grams([b"abracadabra", b"abc"])[0], return_counts=True)

@@ -91,6 +91,17 @@ def test_known_prefixes_are_not_compared_again(monkeypatch):
     assert sum(looked) <= 7 * 45 + 5 * 160
 
 
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_groups_with_equal_ids(spark, monkeypatch, partitions):
+    """Null ids that fill several groups, short and long, and one long document landed again."""
+    monkeypatch.setattr(suffix, "BATCH_BYTES", 400)
+    long = " ".join(f"number {i} of a longer text" for i in range(40))
+    rows = [(None, f"null {i}") for i in range(400)] + [(None, f"{i} " * 300) for i in range(10, 18)] + [(7, long)] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    got = suffix.remove_repeats(df, least_shards=3).collect()
+    assert sorted((r["doc_id"] or 0, bytes(r["kept"]).decode()) for r in got) == sorted((i or 0, t) for i, t in rows)
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = suffix.remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count()
