@@ -10,7 +10,9 @@ hash of 16 bytes. So documents are cut by anchors, and three exchanges settle th
    runs with the bytes before them. A loser tree combines the runs: each suffix carries the
    length of the prefix it is known to share with the last winner, so known prefixes are
    never compared again, and the merged order comes out with its common prefixes. From
-   these, equal strings around an anchor are found for every offset at once.
+   these, equal strings around an anchor are found for every offset at once. An anchor with
+   very many classes left is not merged: the hashes of its strings are counted instead, which
+   Spark adds up before it deals them out.
 3. Answers return to the texts, which cut out what is covered.
 
 Texts travel compressed with the first and the last exchange. Nothing is held per corpus.
@@ -35,6 +37,8 @@ SPAN = WINDOW - GRAM + 1
 BATCH_BYTES = 2 << 20
 BATCH_TEXTS = 32_768
 LAST = 2**63 - 1
+#: Open classes up to which an anchor is merged; each takes up to 1 KB there.
+MOST_CLASSES = 10_000
 #: Compression of texts on their way.
 LEVEL = 5
 
@@ -112,7 +116,10 @@ ASKED_SQL = "shard int, batch long, keys binary, contexts binary, owners binary,
 TOLD = pa.schema([("batch", pa.int64()), ("shard", pa.int32()), ("states", pa.binary()), ("docs", pa.binary()),
                   ("texts", pa.binary()), ("ends", pa.binary()), ("marks", pa.binary())])
 TOLD_SQL = "batch long, shard int, states binary, docs binary, texts binary, ends binary, marks binary"
-SETTLED, COVERED, OPEN = 0, 1, 2
+#: A hot class is open, and its anchor has too many open classes for one merge.
+SETTLED, COVERED, OPEN, HOT = 0, 1, 2, 3
+#: Parts of the runs table: texts of a group, and strings of hot anchors.
+TEXTS, STRINGS = -1, -2
 
 
 def blobs(arrays, kind: str | None = None) -> pa.Array:
@@ -166,8 +173,12 @@ def whole(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_py(), kind) for x in column])
 
 
-def tell(asked: pa.Table) -> pa.Table:
-    """State of every class of a shard: settled, covered by a smaller document, or open."""
+def tell(most_classes: int):
+    """State of every class of a shard: settled, covered by a smaller document, open, or hot."""
+    return lambda asked: told_states(asked, most_classes)
+
+
+def told_states(asked: pa.Table, most_classes: int) -> pa.Table:
     lengths = [len(x.as_py()) // 8 for x in asked.column("contexts")]
     key, context = whole(asked.column("keys"), "<u4"), whole(asked.column("contexts"), "<u8")
     doc = np.concatenate([unpacked(d)[np.frombuffer(o.as_py(), "<u2")] for d, o in zip(asked.column("docs"), asked.column("owners"))])
@@ -181,7 +192,8 @@ def tell(asked: pa.Table) -> pa.Table:
         first = np.flatnonzero(new_key)
         sizes = np.diff(np.append(first, len(doc)))
         several = (np.add.reduceat(new_class.astype(np.int64), first) > 1) & (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first))
-        state[order] = np.where(doc > least, COVERED, np.where(np.repeat(several, sizes), OPEN, SETTLED))
+        hot = np.add.reduceat((doc == least).astype(np.int64), first) > most_classes
+        state[order] = np.where(doc > least, COVERED, np.repeat(np.where(several, np.where(hot, HOT, OPEN), SETTLED), sizes))
     states = np.split(state, np.cumsum(lengths)[:-1])
     docs = pa.array([d.as_py() if t.is_valid else None for d, t in zip(asked.column("docs"), asked.column("texts"))], pa.binary())
     return pa.table([asked.column("batch"), asked.column("shard"), blobs(states), docs, *(asked.column(n) for n in ("texts", "ends", "marks"))], schema=TOLD)
@@ -192,9 +204,9 @@ def tell(asked: pa.Table) -> pa.Table:
 RUN = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("shared", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()),
                  ("lefts", pa.binary()), ("left_lengths", pa.binary()), ("least_offsets", pa.binary()), ("docs", pa.binary()), ("numbers", pa.binary()),
                  ("texts", pa.binary()), ("ends", pa.binary()), ("marks", pa.binary()), ("text_docs", pa.binary()), ("from", pa.binary()), ("to", pa.binary()),
-                 ("open_number", pa.binary()), ("open_at", pa.binary())])
+                 ("open_number", pa.binary()), ("open_at", pa.binary()), ("strings", pa.binary())])
 RUN_SQL = ("batch long, part int, shared binary, lengths binary, tails binary, lefts binary, left_lengths binary, least_offsets binary, docs binary, "
-           "numbers binary, texts binary, ends binary, marks binary, text_docs binary, `from` binary, `to` binary, open_number binary, open_at binary")
+           "numbers binary, texts binary, ends binary, marks binary, text_docs binary, `from` binary, `to` binary, open_number binary, open_at binary, strings binary")
 
 
 def common(a: bytes, b: bytes, start: int = 0) -> int:
@@ -230,6 +242,20 @@ def front_decode(shared: bytes, lengths: bytes, tails: bytes) -> list[bytes]:
     return out
 
 
+#: Hot classes of a group that travel in one row.
+HOT_ROWS = 20_000
+
+
+def hot_strings(data: bytes, found: Anchors, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of 50 bytes that the given anchors speak for: the number of the anchor among
+    those given, the string's hash, and the anchor's offset in it."""
+    first, counts = found.first[anchor], found.last[anchor] - found.first[anchor] + 1
+    of = np.repeat(np.arange(len(anchor)), counts)
+    start = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + first[of]
+    offset = found.at[anchor][of] - start
+    return of, Substrings(np.frombuffer(data, np.uint8)).hashes(start, start + WINDOW, WINDOW * 64 + offset), offset
+
+
 def make_runs(parts: int):
     def run(key: tuple, told: pa.Table) -> pa.Table:
         import zstandard
@@ -246,7 +272,7 @@ def make_runs(parts: int):
             state[shard == s] = np.frombuffer(states.as_py(), np.uint8)
         own = docs[found.owner]
         covered = (state[classes.of] == COVERED) | (own > classes.least[classes.of])
-        again = (state[classes.of] == OPEN) & ~covered
+        again = (state[classes.of] >= OPEN) & ~covered
         open_ = np.flatnonzero(state == OPEN)
         rows = []
         part = (classes.key[open_] >> np.uint64(16)) % np.uint64(parts)
@@ -258,9 +284,14 @@ def make_runs(parts: int):
             shared, lengths, tails = front_code([suffixes[i] for i in order])
             lefts = [data[first[i]:at[i]] for i in order]
             rows.append((key[0].as_py(), p, shared, lengths, tails, b"".join(lefts), bytes(map(len, lefts)), bytes(at[i] - last[i] for i in order),
-                         classes.least[mine][order].astype("<i8").tobytes(), mine[order].astype("<u4").tobytes(), *[None] * 8))
+                         classes.least[mine][order].astype("<i8").tobytes(), mine[order].astype("<u4").tobytes(), *[None] * 9))
+        hot = np.flatnonzero(state == HOT)
+        for some in np.split(hot, range(HOT_ROWS, len(hot), HOT_ROWS)) if len(hot) else []:
+            of, string, offset = hot_strings(data, found, classes.anchor[some])
+            rows.append((key[0].as_py(), STRINGS, *[None] * 5, offset.astype(np.uint8).tobytes(), classes.least[some][of].astype("<i8").tobytes(),
+                         some[of].astype("<u4").tobytes(), *[None] * 8, string.astype("<u8").tobytes()))
         gone = united(found.first[covered], found.last[covered] + WINDOW)
-        rows.append((key[0].as_py(), -1, *[None] * 8, packed, ends, marks, docs.astype("<i8").tobytes(), *(x.astype("<u4").tobytes() for x in gone), classes.of[again].astype("<u4").tobytes(), found.at[again].astype("<u4").tobytes()))
+        rows.append((key[0].as_py(), TEXTS, *[None] * 8, packed, ends, marks, docs.astype("<i8").tobytes(), *(x.astype("<u4").tobytes() for x in gone), classes.of[again].astype("<u4").tobytes(), found.at[again].astype("<u4").tobytes(), None))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), RUN)], schema=RUN)
 
     return run
@@ -361,6 +392,39 @@ def merge_runs(runs: pa.Table) -> pa.Table:
     return pa.table([runs.column("batch"), blobs([n for _, n in out], "<u4"), blobs([b for b, _ in out], "<u8")], schema=FOUND)
 
 
+def spread(batches):
+    """One row per string of a hot anchor."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            name, strings, docs, numbers, offsets = (batch.column(n)[r].as_py() for n in ("batch", "strings", "docs", "numbers", "least_offsets"))
+            string = np.frombuffer(strings, "<i8")
+            for a in range(0, len(string), HOT_ROWS):
+                own = slice(a, a + HOT_ROWS)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(string[own]), pa.array(np.frombuffer(docs, "<i8")[own]), pa.array(np.full(len(string[own]), name)),
+                    pa.array(np.frombuffer(numbers, "<u4")[own].astype(np.int64)), pa.array(np.frombuffer(offsets, np.uint8)[own].astype(np.int32))], schema=SPREAD)
+
+
+SPREAD = pa.schema([("string", pa.int64()), ("doc", pa.int64()), ("batch", pa.int64()), ("number", pa.int64()), ("offset", pa.int32())])
+SPREAD_SQL = "string long, doc long, batch long, number long, offset int"
+
+
+def pack_bits(rows: pa.Table) -> pa.Table:
+    """The offsets found for the hot classes of one group, as ``merge_runs`` returns them."""
+    number, bits = (rows.column(n).to_numpy() for n in ("number", "bits"))
+    return pa.table([rows.column("batch")[:1], blobs([number], "<u4"), blobs([bits], "<u8")], schema=FOUND)
+
+
+def count_strings(made: DataFrame) -> DataFrame:
+    """What ``merge_runs`` finds, for hot anchors: strings are counted by hash, and those of
+    several documents looked up. No string's rows meet anywhere, as counts are added up first."""
+    strings = made.filter(F.col("part") == STRINGS).select("batch", "strings", "docs", "numbers", "least_offsets").mapInArrow(spread, SPREAD_SQL)
+    least = stored(strings.groupBy("string").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").drop("most"), "hot-strings")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("offset"))
+    return strings.join(least, "string").filter("doc > least").groupBy("batch", "number").agg(F.bit_or(bit).alias("bits")).groupBy(
+        "batch").applyInArrow(pack_bits, FOUND_SQL)
+
+
 # --- exchange 3: cutting --------------------------------------------------------------
 
 CUT = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -400,24 +464,27 @@ def cut(rows: pa.Table) -> pa.Table:
 
 
 def remove_repeats(df: DataFrame, text: str = "text", order: str = "doc_id", classes_per_part: int = 150_000, bytes_per_shard: int = 36_000_000,
-                   least_shards: int = 24) -> DataFrame:
+                   least_shards: int = 24, most_classes: int = MOST_CLASSES) -> DataFrame:
     """doc_id, n_bytes, spans, kept: the bytes of every text that no string of 50 bytes covers
     which also starts in a document of smaller id, and the maximal spans taken out.
 
     Strings are judged on the input. Null texts are empty; a null id counts as larger than
     any, and ids that are equal never cover each other, so repeated rows get equal results.
-    A document is handled in one piece; texts of under 50 bytes are never touched.
+    A document is handled in one piece; texts of under 50 bytes are never touched. An anchor
+    with more than ``most_classes`` open classes is settled by the hashes of its strings.
     """
     rows = df.select(F.coalesce(F.col(order).cast("long"), F.lit(LAST)).alias("doc"), F.col(order).isNull().cast("long").alias("mark"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(least_shards, total // bytes_per_shard)
-    told = rows.mapInArrow(ask(shards), ASKED_SQL).groupBy("shard").applyInArrow(tell, TOLD_SQL)
+    told = rows.mapInArrow(ask(shards), ASKED_SQL).groupBy("shard").applyInArrow(tell(most_classes), TOLD_SQL)
     parts = max(least_shards, total // (40 * classes_per_part))
     made = stored(told.groupBy("batch").applyInArrow(make_runs(parts), RUN_SQL), "suffix-runs")
     texts = ("texts", "ends", "marks", "text_docs", "from", "to", "open_number", "open_at")
     answers = made.filter("part >= 0").select(*RUN.names[:10]).groupBy("part").applyInArrow(merge_runs, FOUND_SQL)
+    if not made.filter(F.col("part") == STRINGS).isEmpty():
+        answers = answers.unionByName(count_strings(made))
     empty = F.lit(None).cast("binary")
-    last = made.filter("part < 0").select("batch", *texts, empty.alias("numbers"), empty.alias("offsets")).unionByName(
+    last = made.filter(F.col("part") == TEXTS).select("batch", *texts, empty.alias("numbers"), empty.alias("offsets")).unionByName(
         answers.select("batch", *[empty.alias(n) for n in texts], "numbers", "offsets"))
     return last.groupBy("batch").applyInArrow(cut, CUT_SQL).select(
         F.when(F.col("mark") == 0, F.col("doc")).alias("doc_id"), "n_bytes", "spans", "kept")

@@ -91,6 +91,26 @@ def test_known_prefixes_are_not_compared_again(monkeypatch):
     assert sum(looked) <= 7 * 45 + 5 * 160
 
 
+@pytest.mark.parametrize("batch_bytes", [500, 2 << 20])
+def test_anchors_of_many_classes(docs_of, monkeypatch, batch_bytes):
+    """A footer between different neighbours is settled by string hashes, not in one merge."""
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnop", k=n))
+    docs = shared_passages(5, 60) | {1000 + i: noise(60) + "All rights reserved by us, 2024 " * (1 + i % 2) + noise(60) for i in range(150)}
+    real = suffix.merge_runs
+
+    def bounded(runs):
+        ends = [s[:16] for i in range(runs.num_rows) for s in suffix.front_decode(*(runs.column(n)[i].as_py() for n in ("shared", "lengths", "tails")))]
+        assert max(ends.count(e) for e in {*ends}) <= 20
+        return real(runs)
+
+    monkeypatch.setattr(suffix, "merge_runs", bounded)
+    monkeypatch.setattr(suffix, "BATCH_BYTES", batch_bytes)
+    assert run(docs_of(docs), most_classes=20) == expected(docs)
+    with pytest.raises(Exception, match="AssertionError"):
+        run(docs_of(docs))
+
+
 @pytest.mark.parametrize("partitions", [1, 4])
 def test_groups_with_equal_ids(spark, monkeypatch, partitions):
     """Null ids that fill several groups, short and long, and one long document landed again."""
