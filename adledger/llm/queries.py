@@ -39,7 +39,8 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
     page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
-    return warc.read_archives(spark, path).filter("quarantined IS NULL").select(
+    sound = F.when(F.col("quarantined").isNull(), True).otherwise(F.raise_error(F.concat_ws(" ", F.lit("unreadable record just written:"), "archive", "quarantined")).cast("boolean"))
+    return warc.read_archives(spark, path).filter(sound).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 

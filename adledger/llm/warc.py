@@ -23,7 +23,7 @@ EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003" "0300" "0000000000000000")
 MEMBER = b"\x1f\x8b\x08"
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-HEADER_ROOM = 65_536
+HEADER_STEP = 65_536
 FEED = 16_384
 
 
@@ -64,11 +64,23 @@ def encode(record_id: str, uri: str | None, payload: bytes, digest: str, refers_
     return packer.compress(VERSIONS[1] + head + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
+def header_end(data: bytes, at: int) -> int:
+    """End of the header that begins at ``at``, however long it is; -1 if the data ends or
+    another record begins before."""
+    for start in range(at, len(data), HEADER_STEP):
+        stop = data.find(b"\r\n\r\n", start, start + HEADER_STEP + 3)
+        if data.find(b"\r\nWARC/1.", start, stop if stop >= 0 else start + HEADER_STEP + 8) >= 0:
+            return -1
+        if stop >= 0:
+            return stop
+    return -1
+
+
 def decode(data: bytes, at: int = 0) -> tuple[Record, int] | str:
     """The record that begins at ``at`` and its end, or why there is none."""
     if not data.startswith(VERSIONS, at):
         return "no version line"
-    stop = data.find(b"\r\n\r\n", at, at + HEADER_ROOM)
+    stop = header_end(data, at)
     if stop < 0:
         return "header without end"
     lines = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]

@@ -3,9 +3,10 @@ import gzip
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from adledger.llm import warc
+from adledger.llm import queries, warc
 
 PAGES = "page_id long, url string, html string, extra string"
 
@@ -90,6 +91,25 @@ def test_round_trip(spark, tmp_path):
     assert {r["payload_digest"] for r in got.filter("record_id = 'urn:page:3'").collect()} == {hashlib.sha256(big.encode()).hexdigest()}
 
 
+def test_long_url(spark, tmp_path):
+    url = "http://x/" + "é\n" * 150_000
+    pages = spark.createDataFrame([(1, url, "long", "x"), (2, "u", "short", "x")], PAGES)
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op2_warc(spark, str(tmp_path)).collect()
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in got) == [(1, 4), (2, 5)]
+    member = warc.encode("urn:page:1", url, b"long", hashlib.sha256(b"long").hexdigest(), None)
+    assert [x.uri for _, _, x in warc.salvage(member)] == [warc.clean(url)]
+    plain = gzip.decompress(member)
+    assert ids(warc.salvage(b"WARC/1.1\r\nno end\r\n" + plain)) == ["urn:page:1"]
+
+
+def test_query_fails_on_what_it_cannot_read(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "u", "text", "x")], PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(warc, "encode", lambda *page: b"damaged")
+    with pytest.raises(Exception, match="unreadable record"):
+        queries.op2_warc(spark, str(tmp_path)).collect()
+
+
 def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], PAGES), path)
