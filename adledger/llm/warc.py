@@ -4,7 +4,8 @@ An archive is a sequence of gzip members, one record each. It is written by Spar
 sink, whose "line separator" is an empty gzip member: the files hold nothing but members,
 and any Hadoop file system will do. The reader verifies every member (checksum, version
 line, length, payload digest). After a failed check it looks for the next member or
-version line that verifies, recovers all later records and logs the bytes in between.
+version line that verifies, recovers all later records and logs the bytes in between; it
+does so in the archive and in what is unpacked from a member.
 """
 
 from __future__ import annotations
@@ -103,42 +104,51 @@ def decode(data: bytes, at: int = 0) -> tuple[Record, int] | str:
                   refers_to if kind == "revisit" else None, block), last + 4
 
 
-def open_member(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """Contents and end of the gzip member at ``at``, its checksum verified, or the reason against."""
-    unpack, inside = zlib.decompressobj(31), []
-    try:
-        while not unpack.eof and at < len(data):
-            inside.append(unpack.decompress(data[at:at + FEED]))
-            at += FEED
-    except zlib.error as error:
-        return f"member: {error}"
-    return (b"".join(inside), min(at, len(data)) - len(unpack.unused_data)) if unpack.eof else "member without end"
+def open_member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Contents and end of the gzip member at ``at``, and what speaks against it: no reason if
+    its checksum is verified, else the contents are those unpacked before the damage."""
+    unpack, inside, step = zlib.decompressobj(31), [], FEED
+    while not unpack.eof and at < len(data):
+        before = unpack.copy() if step == FEED else None
+        try:
+            inside.append(unpack.decompress(data[at:at + step]))
+            at += step
+        except zlib.error as error:
+            if before is None:
+                return b"".join(inside), at, f"member: {error}"
+            unpack, step = before, 1  # once more, to keep all that comes before the error
+    if not unpack.eof:
+        return b"".join(inside), len(data), "member without end"
+    return b"".join(inside), min(at, len(data)) - len(unpack.unused_data), None
 
 
 # --- a whole archive ------------------------------------------------------------------
 
-def read_at(data: bytes, at: int) -> tuple[list[Record], int] | str:
-    """The records of the member, or the plain record, that begins at ``at``."""
-    if data.startswith(MEMBER, at):
-        opened = open_member(data, at)
-        if isinstance(opened, str):
-            return opened
-        inside, end = opened
-        records, place = [], 0
-        while place < len(inside):
-            found = decode(inside, place)
-            if isinstance(found, str):
-                return found
-            records.append(found[0])
-            place = found[1]
-        return records, end
-    found = decode(data, at)
-    return found if isinstance(found, str) else ([found[0]], found[1])
-
-
-def candidates(data: bytes, at: int) -> Iterator[int]:
+def read_at(data: bytes, at: int, members: bool = True) -> tuple[list[Record | str], int | None] | str:
+    """The records of the member, or the plain record, that begins at ``at``, with the reasons
+    against other parts of the member, and the end (None if damage hides it). A reason alone
+    if there is no record."""
+    if not (members and data.startswith(MEMBER, at)):
+        found = decode(data, at)
+        return found if isinstance(found, str) else ([found[0]], found[1])
+    inside, end, against = open_member(data, at)
+    parts = list(salvage(inside, False))
+    found = [f"{x} (unpacked bytes {a} to {b})" if isinstance(x, str) else x for a, b, x in parts]
+    records = [x for x in found if not isinstance(x, str)]
+    if against is None:
+        return (found, end) if records or not found else parts[0][2]
+    # Without the member's checksum only a digest vouches for a block; and if every record
+    # passes although some byte is wrong, none can be told from the damaged one.
+    sure = [x for x in records if x.payload_digest or not x.block]
+    cut_off = against == "member without end"
+    if not sure or not cut_off and len(sure) == len(found):
+        return against
+    return [*sure, *(x for x in found if isinstance(x, str)), against], None
+
+
+def candidates(data: bytes, at: int, members: bool = True) -> Iterator[int]:
     """Places from ``at`` on where a member or a version line may begin, in order."""
-    marks = (MEMBER, *VERSIONS)
+    marks = (MEMBER, *VERSIONS) if members else VERSIONS
     ahead = {m: data.find(m, at) for m in marks}
     while any(place >= 0 for place in ahead.values()):
         mark, place = min(((m, p) for m, p in ahead.items() if p >= 0), key=lambda x: x[1])
@@ -146,21 +156,20 @@ def candidates(data: bytes, at: int) -> Iterator[int]:
         ahead[mark] = data.find(mark, place + 1)
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, Record | str]]:
+def salvage(data: bytes, members: bool = True) -> Iterator[tuple[int, int, Record | str]]:
     """(start, end, record or reason): every record that verifies, and between them the
-    byte ranges in quarantine, without gap or overlap. Empty members and the zero bytes
-    that pad a file are skipped in silence."""
+    byte ranges in quarantine, without gap or overlap. What a member of several records holds
+    is searched in the same way and has the place of the member. Empty members and the zero
+    bytes that pad a file are skipped in silence."""
     at = 0
     while at < len(data):
-        found = read_at(data, at) if data[at] else ([], at + len(data[at:]) - len(data[at:].lstrip(b"\0")))
-        if not isinstance(found, str):
-            for record in found[0]:
-                yield at, found[1], record
-            at = found[1]
-            continue
-        following = next((p for p in candidates(data, at + 1) if not isinstance(read_at(data, p), str)), len(data))
-        yield at, following, found
-        at = following
+        found = read_at(data, at, members) if data[at] else ([], at + len(data[at:]) - len(data[at:].lstrip(b"\0")))
+        parts, end = ([found], None) if isinstance(found, str) else found
+        if end is None:
+            end = next((p for p in candidates(data, at + 1, members) if not isinstance(read_at(data, p, members), str)), len(data))
+        for part in parts:
+            yield at, end, part
+        at = end
 
 
 # --- on Spark -------------------------------------------------------------------------

@@ -91,6 +91,35 @@ def test_round_trip(spark, tmp_path):
     assert {r["payload_digest"] for r in got.filter("record_id = 'urn:page:3'").collect()} == {hashlib.sha256(big.encode()).hexdigest()}
 
 
+def test_members_of_several_records():
+    _, members = archive(40)
+    plain = [gzip.decompress(m) for m in members]
+    wrong = bytearray(plain[2])
+    wrong[-10] ^= 1
+    inside = b"".join([*plain[:2], bytes(wrong), *plain[3:5]])
+    found = list(warc.salvage(gzip.compress(inside) + members[5]))
+    assert ids(found) == [f"urn:page:{i}" for i in (0, 1, 3, 4, 5)]
+    assert [x.startswith("payload digest differs") for _, _, x in found if isinstance(x, str)] == [True]
+    longer = inside.replace(b"Content-Length: 201", b"Content-Length: 901")
+    assert ids(warc.salvage(gzip.compress(longer))) == [f"urn:page:{i}" for i in (0, 3, 4)]
+
+
+def test_damage_inside_a_member_of_several_records():
+    _, members = archive(40)
+    whole = gzip.compress(b"".join(gzip.decompress(m) for m in members))
+    everything = [f"urn:page:{i}" for i in range(40)]
+    for damaged in (bytes([*whole[:len(whole) // 2], *[x ^ 0x55 for x in whole[len(whole) // 2:len(whole) // 2 + 3]], *whole[len(whole) // 2 + 3:]]),
+                    whole[:len(whole) // 2]):
+        for data in (damaged, damaged + warc.EMPTY_MEMBER + members[0]):
+            found = list(warc.salvage(data))
+            got = ids(found)[:-1] if data is not damaged else ids(found)
+            assert len(got) >= 15 and got == [i for i in everything if i in got] and len(got) < 40
+            assert any(isinstance(x, str) for _, _, x in found)
+    assert ids(warc.salvage(whole[:-4])) == everything  # only the checksum is cut off
+    flipped = whole[:-6] + bytes([whole[-6] ^ 1]) + whole[-5:]
+    assert ids(warc.salvage(flipped)) == []  # no record can be told from the damaged one
+
+
 def test_long_url(spark, tmp_path):
     url = "http://x/" + "é\n" * 150_000
     pages = spark.createDataFrame([(1, url, "long", "x"), (2, "u", "short", "x")], PAGES)
