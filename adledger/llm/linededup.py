@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 THRESHOLD = 2
-#: Shorter lines are never removed: an edit or two makes another line of them.
+#: Shorter lines have no near ones: an edit or two makes another line of them.
 LEAST = 24
 #: A key whose lines would make more pairs than this is cut again.
 MOST_PAIRS = 200_000
@@ -218,13 +218,15 @@ def sent(df: DataFrame) -> DataFrame:
 
 
 def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: int = THRESHOLD, least: int = LEAST,
-               most_pairs: int = MOST_PAIRS) -> tuple[DataFrame, DataFrame]:
+               most_pairs: int = MOST_PAIRS, shortest: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Repeated lines (h, h2, first) with the place of their first copy, and links between
-    different lines (h, h2, first of the later one, early: place of the earlier one)."""
-    lines = lines_of(identified(docs, text, order), least)
+    different lines (h, h2, first of the later one, early: place of the earlier one). Lines that
+    are not blank repeat from ``shortest`` characters on, and are linked from ``least`` on."""
+    lines = lines_of(identified(docs, text, order), least if shortest is None else min(shortest, least)).filter(
+        (F.col("size") >= least) | F.col("line").rlike(r"(?U)\S"))
     repeated = stored(lines.groupBy("h", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
                       .filter("n > 1").drop("n"), "repeated-lines")
-    first = lines.join(sent(repeated), ["h", "h2"], "left").withColumn("place", F.struct(*PLACE)).filter(
+    first = lines.filter(F.col("size") >= least).join(sent(repeated), ["h", "h2"], "left").withColumn("place", F.struct(*PLACE)).filter(
         "first IS NULL OR first = place").withColumn("id", F.col("h"))
     keyed = first.select("id", F.explode_outer(line_entries("line", "size", k, places=False)).alias("e")).select("e.key", "id", "e.role")
     live = stored(meeting(keyed), "live-segments")
@@ -242,17 +244,18 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", order: str = "doc_id", k: int = THRESHOLD, least: int = LEAST,
-                most_pairs: int = MOST_PAIRS) -> DataFrame:
+                most_pairs: int = MOST_PAIRS, shortest: int | None = None) -> DataFrame:
     """The documents without lines that repeat earlier ones. Columns n_lines, n_removed and
     n_links (links between a line of the document and another line) are added or replaced.
 
     A line of at least ``least`` characters goes if an equal one, or one within ``k`` edits,
     stands earlier: in a document with a smaller id (null last, equal ids by a hash of the
-    text), or higher up in its own. It is judged against the lines of the input, whether those
+    text), or higher up in its own. With ``shortest``, lines from so many characters on that are
+    not blank go if an equal one stands earlier. A line is judged against the lines of the input, whether those
     stay or not. Other lines keep their order. Null and empty texts have no line and stay;
     rows equal in id and text are one document and all stay alike.
     """
-    repeated, links = line_links(docs, text, order, k, least, most_pairs)
+    repeated, links = line_links(docs, text, order, k, least, most_pairs, shortest)
     near = stored(links.select("h", "h2").distinct().withColumn("near", F.lit(True)), "near-lines")
     again = F.col("first").isNotNull() & (F.col("first") != F.struct(*PLACE))
     marked = lines_of(identified(docs, text, order), 0).drop("line").join(sent(repeated), ["h", "h2"], "left").join(sent(near), ["h", "h2"], "left").select(

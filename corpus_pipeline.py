@@ -32,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out lines that repeat earlier ones; n_chars follows the text. A document that
     loses every line goes; one that had no text stays."""
-    cleaned = linededup.dedup_lines(docs)
+    cleaned = linededup.dedup_lines(docs, shortest=1)
     kept = cleaned.filter((F.col("n_lines") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
 

@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from adledger.llm import linededup
+import corpus_pipeline
+from adledger.llm import linededup, queries
 
 
 def distance(a, b):
@@ -99,6 +100,21 @@ def test_long_lines(docs_of):
     assert [got[i][1] for i in (1, 2, 3)] == [0, 1, 0]
 
 
+def test_short_lines(spark, docs_of, tmp_path):
+    """Exact repeats of lines of any length go, near ones and blank ones stay."""
+    docs = {i: f"Home\n \n\nstory number {i} of a kind\nRead more" for i in range(20)} | {30: "Read mor\né\n\u00a0\n\u00a0", 31: "é"}
+    docs[40] = "Home\nRead more"
+    plain = run(docs_of(docs))
+    got = run(docs_of(docs), shortest=1)
+    assert [got[i][1] - plain[i][1] for i in (0, 1, 19, 30, 31, 40)] == [0, 2, 2, 0, 1, 2]
+    assert got[30][3] == docs[30] and got[31][3] == "" and got[40][3] == ""
+    docs_of(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r["n_removed"] for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert rows == {i: x[1] for i, x in got.items()}
+    left = {r["doc_id"] for r in corpus_pipeline.line_dedup(spark, docs_of(docs), str(tmp_path)).collect()}
+    assert left == {*docs} - {31, 40}
+
+
 def test_odd_documents(odd_docs, no_docs):
     out = linededup.dedup_lines(odd_docs)
     assert set(out.columns) == set(odd_docs.columns) | {"n_lines", "n_removed", "n_links"} and out.count() == odd_docs.count()
