@@ -220,7 +220,7 @@ def sent(df: DataFrame) -> DataFrame:
 def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: int = THRESHOLD, least: int = LEAST,
                most_pairs: int = MOST_PAIRS, shortest: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Repeated lines (h, h2, first) with the place of their first copy, and links between
-    different lines (h, h2, first of the later one, early: place of the earlier one). Lines that
+    different lines (h, h2, first of the later one; early_h, early_h2, early of the earlier one). Lines that
     are not blank repeat from ``shortest`` characters on, and are linked from ``least`` on."""
     lines = lines_of(identified(docs, text, order), least if shortest is None else min(shortest, least)).filter(
         (F.col("size") >= least) | F.col("line").rlike(r"(?U)\S"))
@@ -239,14 +239,18 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
         F.when(broken_pieces(F.col("line_a"), F.col("line_b"), k) <= k, banded_distance(F.col("line_a"), F.col("line_b"), k) <= k).otherwise(False))
     late = F.col("place_a") > F.col("place_b")
     pick = lambda c, other=False: F.when(late != other, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))
-    links = close.select(pick("h").alias("h"), pick("h2").alias("h2"), pick("place").alias("first"), pick("place", True).alias("early"))
+    links = close.select(pick("h").alias("h"), pick("h2").alias("h2"), pick("place").alias("first"), pick("place", True).alias("early"),
+                         pick("h", True).alias("early_h"), pick("h2", True).alias("early_h2"))
     return repeated, stored(links, "line-links")
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", order: str = "doc_id", k: int = THRESHOLD, least: int = LEAST,
-                most_pairs: int = MOST_PAIRS, shortest: int | None = None) -> DataFrame:
+                most_pairs: int = MOST_PAIRS, shortest: int | None = None, every_copy: bool = False) -> DataFrame:
     """The documents without lines that repeat earlier ones. Columns n_lines, n_removed and
-    n_links (links between a line of the document and another line) are added or replaced.
+    n_links (links between a line of the document, as its first holder, and another line) are
+    added or replaced. With ``every_copy``, n_links adds up the links of each different line of
+    the document, whoever holds it first, and line_classes has the class ids (one for all
+    equal lines) of its lines that are repeated or linked.
 
     A line of at least ``least`` characters goes if an equal one, or one within ``k`` edits,
     stands earlier: in a document with a smaller id (null last, equal ids by a hash of the
@@ -256,21 +260,38 @@ def dedup_lines(docs: DataFrame, text: str = "text", order: str = "doc_id", k: i
     rows equal in id and text are one document and all stay alike.
     """
     repeated, links = line_links(docs, text, order, k, least, most_pairs, shortest)
-    near = stored(links.select("h", "h2").distinct().withColumn("near", F.lit(True)), "near-lines")
+    if every_copy:
+        ends = F.explode(F.array(F.struct("h", "h2", F.lit(True).alias("late")), F.struct(F.col("early_h").alias("h"), F.col("early_h2").alias("h2"), F.lit(False).alias("late"))))
+        near = stored(links.select(ends.alias("e")).groupBy("e.h", "e.h2").agg(F.max("e.late").alias("near"), F.count("*").alias("n")), "near-lines")
+    else:
+        near = stored(links.select("h", "h2").distinct().withColumn("near", F.lit(True)), "near-lines")
     again = F.col("first").isNotNull() & (F.col("first") != F.struct(*PLACE))
+    met = [F.when(F.col("first").isNotNull() | F.col("near").isNotNull(), F.struct("h", "h2", F.coalesce("n", F.lit(0)).alias("n"))).alias("met")] if every_copy else []
     marked = lines_of(identified(docs, text, order), 0).drop("line").join(sent(repeated), ["h", "h2"], "left").join(sent(near), ["h", "h2"], "left").select(
-        "d0", "d1", "d2", F.struct("line_no", (again | F.coalesce("near", F.lit(False))).alias("goes")).alias("line"))
-    flags = marked.groupBy("d0", "d1", "d2").agg(F.collect_set("line").alias("lines"), F.max("line.goes").alias("any")).filter("any").drop("any")
+        "d0", "d1", "d2", F.struct("line_no", (again | F.coalesce("near", F.lit(False))).alias("goes")).alias("line"), *met)
+    flags = marked.groupBy("d0", "d1", "d2").agg(F.collect_set("line").alias("lines"), F.max("line.goes").alias("any"), *[F.collect_set(m).alias("met") for m in ["met"][:len(met)]])
+    if every_copy:
+        flags = flags.filter(F.col("any") | (F.size("met") > 0)).withColumn("lines", F.when(F.col("any"), F.col("lines")))
+    else:
+        flags = flags.filter("any")
+    flags = flags.drop("any")
     linked = links.select(F.explode(F.array_distinct(F.array(*[F.struct(f"{c}.d0", f"{c}.d1", f"{c}.d2") for c in ("first", "early")]))).alias("d")).groupBy(
         "d.d0", "d.d1", "d.d2").agg(F.count("*").alias("n_links"))
     own = {f"__{d}": F.col(d) for d in ("d0", "d1", "d2")}
-    found = flags.join(linked, ["d0", "d1", "d2"], "full").select(*[c.alias(n) for n, c in own.items()], F.col("lines").alias("__lines"), F.col("n_links").alias("__links"))
+    if every_copy:
+        found = flags.withColumn("n_links", F.aggregate("met", F.lit(0).cast("long"), lambda total, m: total + m["n"]))
+    else:
+        found = flags.join(linked, ["d0", "d1", "d2"], "full")
+    classes = [F.array_sort(F.transform("met", lambda m: m["h"])).alias("__classes")] if every_copy else []
+    found = found.select(*[c.alias(n) for n, c in own.items()], F.col("lines").alias("__lines"), F.col("n_links").alias("__links"), *classes)
     keys = dict(zip(own, _identity(text, order).values()))
     split = F.split(F.col(text), "\n", -1)
     stay = let(F.array_sort("__lines"), lambda f: F.filter(split, lambda x, i: ~F.get(f, i)["goes"]))
     gone = F.coalesce(F.size(F.filter("__lines", lambda x: x["goes"])), F.lit(0))
     counts = {"n_lines": F.when(F.length(text) > 0, F.size(split)).otherwise(0).cast("long"), "n_removed": F.when(
         F.col("__lines").isNull(), 0).otherwise(gone).cast("long"), "n_links": F.coalesce("__links", F.lit(0)).cast("long")}
+    if every_copy:
+        counts["line_classes"] = F.coalesce("__classes", F.array().cast("array<long>"))
     kept = F.when(F.col("__lines").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
     return docs.drop(*counts).withColumns(keys).join(found, [*keys], "left").withColumns({**counts, "__kept": kept}).withColumn(
-        text, F.col("__kept")).drop(*keys, "__lines", "__links", "__kept")
+        text, F.col("__kept")).drop(*keys, "__lines", "__links", "__kept", "__classes")

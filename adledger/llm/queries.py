@@ -55,8 +55,8 @@ FROM r
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"), shortest=1)
-    return cleaned.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    cleaned = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"), shortest=1, every_copy=True)
+    return cleaned.select("doc_id", "n_lines", "n_removed", "n_links", "line_classes", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -115,6 +115,19 @@ def test_short_lines(spark, docs_of, tmp_path):
     assert left == {*docs} - {31, 40}
 
 
+def test_links_of_every_copy(spark, docs_of, tmp_path):
+    """Every holder of a line has its links, and copies share a class id."""
+    line, other = "this very line stands in many documents", "and this one stands nowhere else at all"
+    docs = {1: line, 2: f"{line}!", 3: f"{line}\n{line}\n{other}", 4: f"{line}?\n{other}.", 5: "alone", 6: None} | {i: line for i in range(10, 20)}
+    docs_of(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert {i: r["n_links"] for i, r in got.items()} == {1: 2, 2: 2, 3: 3, 4: 3, 5: 0, 6: 0} | {i: 2 for i in range(10, 20)}
+    ids = {i: set(r["line_classes"]) for i, r in got.items()}
+    assert len(ids[1]) == 1 and all(ids[i] == ids[1] for i in range(10, 20)) and ids[1] < ids[3] and not ids[2] & ids[1]
+    assert [len(ids[i]) for i in (2, 3, 4, 5, 6)] == [1, 2, 2, 0, 0]
+    assert {i: r["n_removed"] for i, r in got.items()} == {1: 0, 2: 1, 3: 2, 4: 2, 5: 0, 6: 0} | {i: 1 for i in range(10, 20)}
+
+
 def test_odd_documents(odd_docs, no_docs):
     out = linededup.dedup_lines(odd_docs)
     assert set(out.columns) == set(odd_docs.columns) | {"n_lines", "n_removed", "n_links"} and out.count() == odd_docs.count()
