@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, suffix, topk, warc
+from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, suffix, topk, warc, whitening
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
     "op2_warc": op2_warc,
@@ -120,5 +124,6 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
 }
 ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL}
