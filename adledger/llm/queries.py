@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, langid, linededup, lmscore, shards, simhash, suffix, topk, warc, whitening
+from . import bpe, decontaminate, langid, linededup, lmscore, oracles, repair, shards, simhash, suffix, topk, warc, whitening
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,10 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, folder, "conversations")), copies="copies")
+
+
 QUERIES: dict[str, Query] = {
     "op1_norm_topk": op1_norm_topk,
     "op2_warc": op2_warc,
@@ -125,5 +129,6 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
     "op11_whitening": op11_whitening,
+    "op13_repair": op13_repair,
 }
-ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL}
+ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL, "op13_repair": oracles.OP13_SQL}
