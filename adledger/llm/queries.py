@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, langid, linededup, lmscore, oracles, repair, shards, simhash, suffix, topk, warc, whitening
+from . import bpe, decontaminate, langid, linededup, lmscore, oracles, pii, repair, shards, simhash, suffix, topk, warc, whitening
 from .common import id_hash, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,16 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.train_and_find(documents(spark, folder).select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    place = lambda s: F.struct(s["start"].alias("start"), F.array_position(F.array(*map(F.lit, pii.KINDS)), s["kind"]).alias("nth"), s["end"].alias("end"), s["kind"].alias("kind"))
+    every = F.array_sort(F.concat(F.transform("base", place), F.transform("added", place)))
+    return found.select("doc_id", *map(of, pii.KINDS), F.sha2(told(F.col("base")).cast("binary"), 256).alias("base_sha256"), told(every).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"))
+
+
 def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, folder, "conversations")), copies="copies")
 
@@ -129,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
     "op11_whitening": op11_whitening,
+    "op12_pii": op12_pii,
     "op13_repair": op13_repair,
 }
 ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL, "op13_repair": oracles.OP13_SQL}

@@ -110,7 +110,7 @@ def test_equals_every_way(spark):
 
 
 def test_damage(spark):
-    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {t}. more!") for c in range(40) for t in range(3)] + [(None, None, None, None), (7, None, "user", "x.")]
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {t}. more!") for c in range(60) for t in range(2)] + [(None, None, None, None), (7, None, "user", "x.")]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("copies", F.lit("clash"))
     bad = repair.damage(df)
     assert sorted(map(str, (tuple(r)[:4] for r in bad.collect() for _ in range(r["copies"])))) == sorted(map(str, hurt(rows)))
