@@ -1,38 +1,51 @@
-"""Exact order statistics at any size, all columns in the same passes.
-
-The wanted ranks are bracketed with the mergeable approximate sketch, the brackets are
-checked by counting, and once a bracket holds few values only those are sorted. A small
-column needs no bracket. The result is the linearly interpolated quantile.
+"""Exact order statistics by selection on the digits of the numbers: nothing is sorted.
+
+The range between the least and the largest value is cut into cells; one pass counts the values
+of each cell. A wanted rank lies in one cell, whose own least and largest value bound the next,
+finer pass, until a cell holds one value only. A range of several octaves or both signs is cut
+by the logarithm, in even steps of the binary exponent; within an octave by the fraction. So two
+passes settle the exponent and five more the 52 bits of the fraction, whatever the values are.
+All columns and ranks share each pass, and the driver sees a fixed number of counts per open
+range, whatever the data's size.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-#: Values per rank that are sorted in the end, in one task for each rank.
-SMALL_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
+#: Cells an open range is cut into.
+CELLS = 4096
+#: No double lies further from 1 than so many octaves.
+OCTAVES = 1075.0
 Place = tuple[str, int]
 
 
 def quantiles_of(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], cells: int = CELLS
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles of several numeric columns (NULL and NaN left out; None without values).
+    """Exact linearly interpolated quantiles of several numeric columns (NULL and NaN left out;
+    None without values).
 
     Fits eagerly, like an ML estimator: the answer is a handful of numbers.
     """
     if not columns:
         return {}
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    ranks = {c: [(counts[c] - 1) * p for p in probs] for c in columns if counts[c]}
-    wanted = {(c, f(r)) for c, rs in ranks.items() for r in rs for f in (math.floor, math.ceil)}
-    at = _order_statistics(values, counts, wanted, small_rows)
+    finite = {c: F.when(F.abs(F.col(c)) < math.inf, F.col(c)) for c in columns}
+    seen = values.agg(*[x for c in columns for x in (
+        F.count(c), F.count_if(F.col(c) == -math.inf), F.count_if(F.col(c) == math.inf), F.min(finite[c]), F.max(finite[c]))]).first()
+    spans = {c: seen[5 * i:5 * i + 5] for i, c in enumerate(columns)}
+    ranks = {c: [(spans[c][0] - 1) * p for p in probs] for c in columns if spans[c][0]}
+    at: dict[Place, float] = {}
+    for c, r in {(c, f(r)) for c, rs in ranks.items() for r in rs for f in (math.floor, math.ceil)}:
+        n, lowest, highest, _, _ = spans[c]
+        at[c, r] = -math.inf if r < lowest else math.inf if r >= n - highest else math.nan
+    at |= _select(values, {c: _Range(c, low, high, below) for c, (_, below, _, low, high) in spans.items() if low is not None},
+                  [p for p, v in at.items() if math.isnan(v)], cells)
 
     def between(c: str, r: float) -> float:
         low, high = math.floor(r), math.ceil(r)
@@ -42,82 +55,72 @@ def quantiles_of(
     return {c: [between(c, r) for r in ranks[c]] if c in ranks else [None] * len(probs) for c in columns}
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float], small_rows: int = SMALL_ROWS
-) -> list[float | None]:
-    return quantiles_of(df, [column], probs, small_rows)[column]
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], cells: int = CELLS) -> list[float | None]:
+    return quantiles_of(df, [column], probs, cells)[column]
 
 
-@dataclass
-class _Scope:
-    """An open interval of a column known to hold a rank: rows below it and inside it."""
+@dataclass(frozen=True)
+class _Range:
+    """A closed range of a column's values whose ends occur, and the number of values below it."""
 
     column: str
-    low: float | None
-    high: float | None
+    low: float
+    high: float
     below: int
-    inside: int
-    slack: float = 2.0 / SKETCH_ACCURACY
 
     def holds(self) -> Column:
-        v = F.col(self.column)
-        return v.isNotNull() if self.low is None else (v > self.low) & (v < self.high)
-
+        return F.col(self.column).between(self.low, self.high)
 
-def _order_statistics(values: DataFrame, counts: dict[str, int], wanted: set[Place], small_rows: int) -> dict[Place, float]:
-    """Values at 0-based ranks of the sorted columns, all narrowed in the same passes."""
+    def cell(self, cells: int) -> Column:
+        """Number of the cell of a value inside: grows with the value, and differs for both ends."""
+        v = F.col(self.column)
+        if self.low > 0 and self.high <= 2 * self.low or self.high < 0 and self.low >= 2 * self.high:
+            return F.floor((v - self.low) / (self.high - self.low) * cells)
+        if self.low > 0 or self.high < 0:  # one sign: octaves between the ends
+            first, last = sorted((math.log2(abs(self.low)), math.log2(abs(self.high))))
+        else:
+            first, last = -OCTAVES, OCTAVES
+        size = F.floor((F.log2(F.abs(v)) - first) / (last - first) * cells) + 1
+        return F.when(v < 0, -size).when(v > 0, size).otherwise(0)
+
+
+def _counted(values: DataFrame, ranges: list[_Range], cells: int) -> list[dict]:
+    """Rows, least and largest value of every cell of the ranges, in one pass."""
+    columns: dict[str, list[int]] = {}
+    for i, r in enumerate(ranges):
+        columns.setdefault(r.column, []).append(i)
+    tags = []
+    for c, own in columns.items():  # ranges of one column do not meet
+        tag = F.lit(None)
+        for i in own:
+            tag = F.when(ranges[i].holds(), F.struct(F.lit(i).alias("range"), ranges[i].cell(cells).cast("long").alias("cell"), F.col(c).alias("v"))).otherwise(tag)
+        tags.append(tag)
+    found = values.select(tags[0].alias("t") if len(tags) == 1 else F.explode(F.array(*tags)).alias("t")).where(F.col("t").isNotNull())
+    return found.groupBy("t.range", "t.cell").agg(F.count(F.lit(1)).alias("n"), F.min("t.v").alias("low"), F.max("t.v").alias("high")).collect()
+
+
+def _select(values: DataFrame, whole: dict[str, _Range], wanted: Iterable[Place], cells: int) -> dict[Place, float]:
+    """Values at 0-based ranks of the columns, all narrowed in the same passes."""
+    open_: dict[_Range, list[int]] = {}
     found: dict[Place, float] = {}
-    scopes = {(c, r): _Scope(c, None, None, 0, counts[c]) for c, r in wanted}
-    while wide := {p: s for p, s in scopes.items() if p not in found and s.inside > small_rows}:
-        bounds, tests = _bracket(values, wide), []
-        for i, (p, s) in enumerate(wide.items()):
-            (low, high), v, inside = bounds[p], F.col(s.column), s.holds()
-            tests += [F.count_if(inside & c).alias(f"{name}{i}") for name, c in (
-                ("under", v < low), ("low", v == low), ("between", (v > low) & (v < high)), ("high", v == high))]
-        n = values.agg(*tests).first()
-        for i, (p, s) in enumerate(wide.items()):
-            low, high = bounds[p]
-            start = s.below + n[f"under{i}"]
-            first = start + n[f"low{i}"]
-            last = first + n[f"between{i}"]
-            if start <= p[1] < first:
-                found[p] = low
-            elif first <= p[1] < last:
-                scopes[p] = _Scope(s.column, low, high, first, n[f"between{i}"])
-            elif last <= p[1] < last + n[f"high{i}"] and high > low:
-                found[p] = high
-            else:
-                s.slack *= 4  # the sketch missed; widen the bracket
-    return found | _by_sorting(values, {p: s for p, s in scopes.items() if p not in found})
-
-
-def _bracket(values: DataFrame, wide: dict[Place, _Scope]) -> dict[Place, tuple[float, float]]:
-    """Approximate values just below and above each rank: one sketch per distinct scope."""
-    places: dict[Place, tuple[tuple, int]] = {}
-    groups: dict[tuple, tuple[_Scope, list[float]]] = {}
-    for p, s in wide.items():
-        share = (p[1] - s.below) / max(s.inside - 1, 1)
-        key = (s.column, s.low, s.high)
-        probs = groups.setdefault(key, (s, []))[1]
-        places[p] = key, len(probs)
-        probs += [max(0.0, share - s.slack), min(1.0, share + s.slack)]
-    row = values.agg(*[
-        F.percentile_approx(F.when(s.holds(), F.col(s.column)), probs, SKETCH_ACCURACY).alias(f"g{i}")
-        for i, (s, probs) in enumerate(groups.values())]).first()
-    sketch = dict(zip(groups, row))
-    return {p: tuple(sketch[key][at:at + 2]) for p, (key, at) in places.items()}
-
-
-def _by_sorting(values: DataFrame, scopes: dict[Place, _Scope]) -> dict[Place, float]:
-    """Finish narrow scopes in one job: at most ``small_rows`` rows per rank are sorted."""
-    if not scopes:
-        return {}
-    numbered = list(scopes.items())
-    tags = F.array_compact(F.array(*[
-        F.when(s.holds(), F.struct(F.lit(i).alias("scope"), F.col(s.column).alias("v"))) for i, (_, s) in enumerate(numbered)]))
-    counted = values.select(F.explode(tags).alias("t")).groupBy("t.scope", "t.v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(
-        Window.partitionBy("scope").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    past = F.element_at(F.array(*[F.lit(p[1] - s.below) for p, s in numbered]), F.col("scope") + 1)
-    hit = counted.withColumn("upto", upto).where(F.col("upto") > past)
-    return {numbered[r["scope"]][0]: r["v"] for r in hit.groupBy("scope").agg(F.min("v").alias("v")).collect()}
+
+    def keep(r: _Range, rank: int) -> None:
+        if r.low == r.high:
+            found[r.column, rank] = r.low
+        else:
+            open_.setdefault(r, []).append(rank)
+
+    for column, rank in wanted:
+        keep(whole[column], rank)
+    while open_:
+        passed, open_ = list(open_.items()), {}
+        counted: dict[int, list] = {}
+        for row in _counted(values, [r for r, _ in passed], cells):
+            counted.setdefault(row["range"], []).append(row)
+        for i, (r, ranks) in enumerate(passed):
+            below, left = r.below, sorted(ranks)
+            for cell in sorted(counted[i], key=lambda x: x["low"]):
+                while left and left[0] < below + cell["n"]:
+                    keep(_Range(r.column, cell["low"], cell["high"], below), left.pop(0))
+                below += cell["n"]
+    return found

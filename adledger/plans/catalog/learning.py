@@ -26,8 +26,8 @@ def _price_tier(spark, folder):
 
 def _exact_quantiles(spark, folder):
     probs = [0.0, 0.05, 1 / 3, 0.5, 2 / 3, 0.95, 1.0]
-    # A low threshold sends even the small tables through bracketing.
-    values = quantiles.exact_quantiles(table(spark, folder, "lineitem"), "l_extendedprice", probs, small_rows=500)
+    # Few cells send even the small tables through many passes.
+    values = quantiles.exact_quantiles(table(spark, folder, "lineitem"), "l_extendedprice", probs, cells=64)
     return spark.createDataFrame(list(enumerate(values)), "n bigint, value double").withColumn(
         "value", F.round("value", 4))
 

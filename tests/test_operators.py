@@ -1,7 +1,9 @@
 """Filters, dedup, joins, splits, quantiles, metrics, trends."""
 
+import math
 import random
 import statistics
+import struct
 
 import numpy as np
 import pytest
@@ -109,7 +111,7 @@ def test_record_to_source(frame):
 # ---- quantiles and splits ---------------------------------------------------
 
 @pytest.mark.parametrize("shape", ["uniform", "hot", "three", "two", "negative"])
-def test_exact_quantiles_by_bracketing(spark, shape):
+def test_exact_quantiles_by_selection(spark, shape):
     rng = np.random.default_rng(3)
     data = {
         "uniform": rng.uniform(0, 1e6, 20000), "hot": np.where(rng.random(20000) < 0.4, 7.0, rng.normal(7, 3, 20000)),
@@ -117,11 +119,36 @@ def test_exact_quantiles_by_bracketing(spark, shape):
     }[shape]
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,), (float("nan"),)], "v double").repartition(8)
     probs = [0, 0.05, 1 / 3, 0.5, 2 / 3, 0.95, 1]
-    got = quantiles.exact_quantiles(df, "v", probs, small_rows=100)
+    got = quantiles.exact_quantiles(df, "v", probs, cells=16)
     assert got == pytest.approx(list(np.quantile(data, probs)), rel=1e-12)
     assert quantiles.exact_quantiles(df, "v", probs) == pytest.approx(got, rel=1e-12)
 
 
+def test_quantiles_settle_every_bit(spark, monkeypatch):
+    """Values of all exponents, neighbours, both zeros and infinities; never more passes than the bits need."""
+    r, edges = random.Random(1), [2.0**k for k in range(-1074, 1024, 7)]
+    data = [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 1.7976931348623157e308, *edges, *(-x for x in edges), *(math.nextafter(x, 0) for x in edges),
+            *(math.nextafter(x, math.inf) for x in edges), *(x for x in (struct.unpack("<d", r.randbytes(8))[0] for _ in range(3000)) if x == x)]
+    df = spark.createDataFrame([(x,) for x in data], "v double").repartition(4)
+    passes, real = [], quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: passes.append(1) or real(*a))
+    probs = [i / 50 for i in range(51)]
+    got = quantiles.exact_quantiles(df, "v", [round(p * (len(data) - 1)) / (len(data) - 1) for p in probs])
+    want = [sorted(data)[round(p * (len(data) - 1))] for p in probs]
+    assert [g == w or abs(g - w) <= 1e-12 * abs(w) for g, w in zip(got, want)] == [True] * 51 and len(passes) <= 7
+    ends = quantiles._select(df.where("abs(v) < double('infinity')"), {"v": quantiles._Range("v", min(x for x in data if x > -math.inf), max(x for x in data if x < math.inf), 0)},
+                             [("v", k) for k in range(0, 3000, 211)], 8)
+    inner = sorted(x for x in data if abs(x) < math.inf)
+    assert all(ends["v", k] == inner[k] for k in range(0, 3000, 211))
+
+
+def test_one_value_a_third_of_all_rows(spark):
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") / 7.0).alias("a"), (F.col("id") % 2).alias("b"))
+    got = quantiles.quantiles_of(df, ["a", "b"], [0.25, 0.5])
+    rows = df.toPandas()
+    assert got == {c: pytest.approx(list(np.quantile(rows[c], [0.25, 0.5]))) for c in ("a", "b")}
+
+
 def test_quantiles_of_nothing(frame):
     assert quantiles.exact_quantiles(frame("v double", [(None,)]), "v", [0.5]) == [None]
 
