@@ -1,20 +1,17 @@
 """HTML: links, image URLs, visible text.
 
-Tags are found by native regular expressions in one left-to-right pass; only the
-decoding of entities needs Python (Spark has no entity table) and runs as one
-Arrow-batched function on text from which all markup is already gone.
+Tags are found by native regular expressions in one left-to-right pass, and character
+references are decoded by `entities`: no row leaves the JVM.
 """
 
 from __future__ import annotations
 
-import html as _html
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
+from .entities import bound, unescaped
 from .listing import DEFAULT_IMAGE_HOST, image_pattern
 from .numbers import _col
-from .text import BLANK, strip
+from .text import strip
 
 # One attribute list, quoted values may hold '>'.
 ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -23,25 +20,20 @@ DEAD = r"<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 DECLARATION = r"<[!?][^>]*>"
 TAG = rf"</?[a-z]{ATTRS}>"
 MARKUP = rf"(?is){COMMENT}|{DEAD}|{DECLARATION}|{TAG}"
-# Blanks that do not end a line, and those that do.
-INLINE_BLANK = r"[\t\x1f \u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029]"
 
 # A listing page ends in its numeric id.
 POST_PAGE = r"/(\d+)\.html?$"
 RAW_POST_LINK = r'href="([^"]+?/\d+\.html)"'
-ANCHOR = rf"(?is)<a\s{ATTRS}>"
 #: Anchors that count in any spelling: result titles, and all inside a result item,
 #: whatever element that is.
-TITLE_CLASS = r"""(?is)\bclass\s*=\s*["']?[^"'>]*(?<![\w-])result-title(?![\w-])"""
-ITEM_CLASS = r"""(?is)\bclass\s*=\s*["']?[^"'>]*(?<![\w-])(?:cl-search-result|result-row)(?![\w-])"""
+# The attributes of a tag before its class.
+BEFORE_CLASS = r"""(?is)^<[a-z][^\s/>]*+(?:[\s/]++(?!class\s*=)[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+[\s/]++"""
+IN_CLASS = r"""class\s*=\s*["']?[^"'>]*(?<![\w-])"""
+TITLE_CLASS = rf"{BEFORE_CLASS}{IN_CLASS}result-title(?![\w-])"
+ITEM_CLASS = rf"{BEFORE_CLASS}{IN_CLASS}(?:cl-search-result|result-row)(?![\w-])"
 # Elements without an end tag.
-VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
-
-
-@F.pandas_udf(T.StringType())
-def unescape_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: _html.unescape(t) if t is not None and "&" in t else t)
+VOID = "^(area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)$"
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -50,40 +42,47 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
-def unescaped(text: Column) -> Column:
-    """Text with its entities decoded; only text that holds any goes to Python."""
-    return F.coalesce(unescape_entities(F.when(text.contains("&"), text)), text)
-
-
-def _ampersands(url: Column) -> Column:
-    return F.regexp_replace(url, "&amp;", "&")
-
-
-def _decoded(urls: Column) -> Column:
-    """An array of URLs with all entities decoded, in one call per page."""
-    return F.when(F.size(urls) > 0, F.split(unescaped(F.array_join(urls, "\n")), "\n")).otherwise(urls)
+def anchors_in_items(tags: Column) -> Column:
+    """Links of anchors inside result items, of all tags (tag, url) of a page in order.
 
-
-def anchors_in_items(live: Column) -> Column:
-    """Anchors inside result items. One walk over the tags: an item of any element lasts
-    until its own end tag, elements of the same name inside it counted."""
-    tags = F.regexp_extract_all(live, F.lit(rf"(?is){TAG}"), F.lit(0))
-
-    def walk(state: Column, tag: Column) -> Column:
-        name = F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1))
-        closing, open_ = tag.startswith("</"), state["item"] != ""
-        lasting = ~closing & ~name.isin(VOID) & ~tag.endswith("/>")
-        same = name == state["item"]
-        depth = F.when(open_ & same & closing, state["depth"] - 1).when(open_ & same & lasting, state["depth"] + 1).otherwise(state["depth"])
-        starts = ~open_ & lasting & tag.rlike(ITEM_CLASS)
-        return F.struct(
-            F.when(starts, name).when(open_ & (depth == 0), F.lit("")).otherwise(state["item"]).alias("item"),
-            F.when(starts, F.lit(1)).otherwise(depth).alias("depth"),
-            F.when(open_ & (name == "a") & ~closing, F.concat(state["found"], F.array(tag))).otherwise(state["found"]).alias("found"))
-
-    start = F.struct(F.lit("").alias("item"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("found"))
-    found = F.aggregate(tags, start, walk, lambda s: s["found"])
-    return F.when(live.rlike(ITEM_CLASS), found).otherwise(F.array().cast("array<string>"))
+    An item of any element lasts until its own end tag, elements of the same name inside it
+    counted. Of the tags only anchors and those of an item's element matter; one walk over them
+    gives the intervals the items cover, and the anchors are cut out of these.
+    """
+    tag_name = lambda t: F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1))
+    opens = lambda t: ~t.startswith("</") & F.lower(t).rlike("result-row|cl-search-result") & t.rlike(ITEM_CLASS)
+    none = F.array().cast("array<string>")
+
+    def read(names: Column) -> Column:
+        told = F.transform(tags, lambda t: F.struct(tag_name(t["tag"]).alias("name"), t["tag"].startswith("</").alias("closing"), t["tag"].alias("tag"), t["url"].alias("url")))
+        return F.filter(told, lambda t: (t["name"] == "a") | F.array_contains(names, t["name"]))
+
+    def walk(state: Column, t: Column) -> Column:
+        open_ = state["item"] != ""
+        lasting = ~t["closing"] & ~t["name"].rlike(VOID) & ~t["tag"].endswith("/>")
+        same = t["name"] == state["item"]
+        depth = F.when(open_ & same & t["closing"], state["depth"] - 1).when(open_ & same & lasting, state["depth"] + 1).otherwise(state["depth"])
+        return bound(F.struct(depth.alias("depth"), (~open_ & lasting & opens(t["tag"])).alias("starts"), (open_ & (depth == 0)).alias("ends")), lambda now: F.struct(
+            F.when(now["starts"], t["name"]).when(now["ends"], F.lit("")).otherwise(state["item"]).alias("item"),
+            F.when(now["starts"], F.lit(1)).otherwise(now["depth"]).alias("depth"),
+            F.when(now["starts"], state["at"]).otherwise(state["since"]).alias("since"), (state["at"] + 1).alias("at"),
+            F.when(now["ends"], F.concat(state["found"], F.array(F.struct(state["since"].alias("since"), state["at"].alias("until"))))).otherwise(state["found"]).alias("found")))
+
+    start = F.struct(F.lit("").alias("item"), F.lit(0).alias("depth"), F.lit(0).alias("since"), F.lit(0).alias("at"),
+                     F.array().cast("array<struct<since:int,until:int>>").alias("found"))
+    # an item without an end tag lasts to the end of the page
+    finish = lambda s: F.when(s["item"] == "", s["found"]).otherwise(F.concat(s["found"], F.array(F.struct(s["since"].alias("since"), s["at"].alias("until")))))
+
+    def inside(kept: Column) -> Column:
+        intervals = F.aggregate(kept, start, walk, finish)
+        cut = F.flatten(F.transform(intervals, lambda v: F.slice(kept, v["since"] + 2, v["until"] - v["since"] - 1)))
+        return F.transform(F.filter(cut, lambda t: (t["name"] == "a") & t["url"].isNotNull()), lambda t: t["url"])
+
+    def of(items: Column) -> Column:
+        names = F.array_distinct(F.transform(items, lambda t: tag_name(t["tag"])))
+        return F.when(F.size(items) > 0, bound(names, lambda n: bound(read(n), inside))).otherwise(none)
+
+    return bound(F.filter(tags, lambda t: opens(t["tag"])), of)
 
 
 def _absolute(url: Column, base: str) -> Column:
@@ -106,17 +105,22 @@ def extract_links(page: Column | str, base: str, live: Column | str | None = Non
     """
     page = _col(page)
     live = live_markup(page) if live is None else _col(live)
-    anchors = F.regexp_extract_all(live, F.lit(ANCHOR), F.lit(0))
-    result_anchors = F.concat(F.filter(anchors, lambda a: a.rlike(TITLE_CLASS)), anchors_in_items(live))
 
-    def hrefs(tags: Column) -> Column:
-        return F.transform(tags, lambda a: attribute(a, "href"))
+    def read(tag: Column) -> Column:
+        url = F.when(tag.rlike(r"(?i)^<a\s"), unescaped(attribute(tag, "href")))
+        return F.struct(tag.alias("tag"), url.alias("url"))
 
-    # A raw link that ends in .html needs its entities decoded to be told from others.
-    plain = F.filter(_decoded(hrefs(anchors)), lambda u: u.endswith(".html"))
-    candidates = F.concat(plain, _decoded(hrefs(result_anchors)), F.regexp_extract_all(page, F.lit(RAW_POST_LINK), F.lit(1)))
-    absolute = F.transform(candidates, lambda u: _absolute(u, base))
-    return F.array_distinct(F.filter(absolute, lambda u: u.rlike(POST_PAGE)))
+    def candidates(tags: Column) -> Column:
+        anchors = F.filter(tags, lambda t: t["url"].isNotNull())
+        titles = F.filter(anchors, lambda t: F.lower(t["tag"]).contains("result-title") & t["tag"].rlike(TITLE_CLASS))
+        urls = lambda x: F.transform(x, lambda t: t["url"])
+        # A raw link that ends in .html needs its references decoded to be told from others.
+        plain = F.filter(urls(anchors), lambda u: u.endswith(".html"))
+        return F.concat(plain, urls(titles), anchors_in_items(tags), F.regexp_extract_all(page, F.lit(RAW_POST_LINK), F.lit(1)))
+
+    found = bound(F.transform(F.regexp_extract_all(live, F.lit(rf"(?is){TAG}"), F.lit(0)), read), candidates)
+    absolute = F.transform(found, lambda u: _absolute(u, base))
+    return F.when(page.isNotNull(), F.array_distinct(F.filter(absolute, lambda u: u.rlike(POST_PAGE))))
 
 
 def post_id_from_url(url: Column | str) -> Column:
@@ -145,14 +149,10 @@ def markup_to_breaks(page: Column | str) -> Column:
 
 
 def tidy_lines(text: Column | str) -> Column:
-    """Lines trimmed, blank ones dropped, equal neighbours collapsed.
-
-    Done on the whole string: a run of blanks holding a line break is one break,
-    then a line is dropped when the next one equals it.
-    """
-    one_break = rf"(?U)(?<!{INLINE_BLANK}){INLINE_BLANK}*+{LINE_BREAK}{BLANK}*+"
-    lines = strip(F.regexp_replace(_col(text), one_break, "\n"))
-    return F.regexp_replace(lines, r"(?md)^(.*+)\n(?=\1$)", "")
+    """Lines trimmed, blank ones dropped, equal neighbours collapsed."""
+    lines = F.transform(F.split(_col(text), LINE_BREAK), strip)
+    kept = lambda x: F.filter(x, lambda line, i: (i == 0) | (line != F.get(x, i - 1)))
+    return F.array_join(bound(F.filter(lines, lambda line: line != ""), kept), "\n")
 
 
 def visible_text(page: Column | str) -> Column:
@@ -166,8 +166,7 @@ def first_image_url(page: Column | str, host: str = DEFAULT_IMAGE_HOST) -> Colum
     page = _col(page)
     live = F.regexp_replace(page, rf"(?is){COMMENT}|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)", " ")
     tags = F.regexp_extract_all(live, F.lit(rf"(?is)<img\b{ATTRS}>"), F.lit(0))
-    sources = F.flatten(F.transform(tags, lambda t: F.array(
-        _ampersands(attribute(t, "src")), _ampersands(attribute(t, "data-src")),
-    )))
+    written = F.flatten(F.transform(tags, lambda t: F.array(attribute(t, "src"), attribute(t, "data-src"))))
+    sources = F.transform(written, unescaped)
     on_host = F.filter(sources, lambda u: u.contains(host))
     return F.coalesce(F.get(on_host, F.lit(0)), F.regexp_extract(page, image_pattern(host), 0))

@@ -22,6 +22,7 @@ def append_results(*frames: DataFrame) -> DataFrame:
 
 def union_links(pages: DataFrame, base: str, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """One row per distinct listing link of each page, numbered in order of discovery."""
+    # An inner explode would compute the links twice: Spark filters empty arrays before it.
     return pages.withColumn("_live", live_markup(html)).select(
-        page_id, F.posexplode(extract_links(html, base, "_live")).alias("position", "url")
-    ).withColumn("post_id", post_id_from_url("url"))
+        page_id, F.posexplode_outer(extract_links(html, base, "_live")).alias("position", "url")
+    ).where(F.col("url").isNotNull()).withColumn("post_id", post_id_from_url("url"))

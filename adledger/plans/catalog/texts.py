@@ -103,7 +103,7 @@ def search_pages(spark, folder):
 
 
 def _extract_links(spark, folder):
-    return search_pages(spark, folder).select("page_id", F.explode(html.extract_links("html", BASE)).alias("url"))
+    return search_pages(spark, folder).select("page_id", F.explode_outer(html.extract_links("html", BASE)).alias("url")).where("url IS NOT NULL")
 
 
 def _union_links(spark, folder):

@@ -24,6 +24,8 @@ RUNTIME_CONF = {
 def get_session(app: str = "adledger", master: str | None = None, **conf: str) -> SparkSession:
     """Build (or fetch) a session with the runtime settings applied."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # Without it Spark records the Python call site of every column expression.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():

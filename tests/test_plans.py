@@ -5,9 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from adledger.functions.html import visible_text
+from adledger.functions.html import first_image_url, visible_text
 from adledger.operators import dedup, explain, features, filters, joins, splits
 from adledger.operators.extraction import parse_listing, with_model_text
+from adledger.operators.sets import union_links
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -63,9 +64,10 @@ def test_one_parse_per_answer(spark):
 
 
 @needs_tables
-def test_python_only_sees_texts_with_entities(spark):
-    text = plan(spark.read.parquet(f"{FOLDER}/pages.parquet").select(visible_text("html")))
-    assert "CASE WHEN Contains" in text or "CASE WHEN contains" in text.replace("Contains", "contains")
+def test_pages_never_leave_the_jvm(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    for df in (pages.select(visible_text("html")), pages.select(first_image_url("html")), union_links(pages, "https://b.org")):
+        assert "Python" not in plan(df) and "Exchange" not in plan(df)
 
 
 def test_many_strata(spark):

@@ -1,11 +1,14 @@
 """Text cleaning and HTML."""
 
+import random
 import re
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
-from adledger.functions import html, text
+from adledger.functions import entities, html, text
 from adledger.operators.features import text_sequence, text_vocab
 from adledger.operators.filters import price_leak_flag
 from adledger.operators.sets import union_links
@@ -157,3 +160,40 @@ def test_links_in_any_item(apply):
     assert apply(lambda c: html.extract_links(c, "https://b.org"), [page, "", None]) == [[
         "https://h.org/x&y/11.html", "https://b.org/d/5.htm", "https://b.org/d/6.htm", "https://b.org/d/8.htm",
         'https://b.org/q?a=1&b=2&c="/10.htm'], [], None]
+
+
+def test_links_with_line_breaks(apply):
+    """A link is one link whatever its href holds, and none is made up from its parts."""
+    page = ('<a href="/d/a\n/2.html">x</a><a href="/d/a&#10;/d/7.html">y</a><div class="result-row"><a href="/k/\n/3.htm">z</a></div>'
+            "<a href='/q/\r\n4.html'>no digits behind a slash</a><a>none</a><a href=''>empty</a>")
+    assert apply(lambda c: html.extract_links(c, "https://b"), [page]) == [[
+        "https://b/d/a\n/2.html", "https://b/d/a\n/d/7.html", "https://b/k/\n/3.htm", "https://b/d/a&#10;/d/7.html"]]
+
+
+def test_items_of_any_shape(apply):
+    page = ('<li class="result-row"><a href="/1.htm">a</a><li class="result-row"><a href="/2.htm">b</a></li><a href="/3.htm">c</a></li><a href="/4.htm">out</a>'
+            '<p title="<li class=result-row>"><a href="/5.htm">out</a></p><img class="result-row"><a href="/6.htm">out</a><div class="result-row"/><a href="/7.htm">out</a>'
+            '<a class="result-row" href="/8.htm"><b>item</b><a href="/9.htm">in</a></a><SECTION CLASS=RESULT-ROW><A HREF=/10.htm>in, never closed')
+    assert apply(lambda c: html.extract_links(c, "https://b"), [page]) == [[f"https://b/{n}.htm" for n in (1, 2, 3, 9, 10)]]
+
+
+def test_entities_equal_the_library(apply):
+    r = random.Random(4)
+    names = list(html5)
+    texts = ["&" + n for n in names] + ["&" + n.rstrip(";") + "zz" for n in names] + [f"a&#{n};b" for n in (*range(300), *range(0xD7FE, 0xE002), *range(0xFDCE, 0xFDF2), 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 10**30)]
+    texts += [f"&#x{r.randrange(0x120000):X}" for _ in range(300)] + ["&", "&&amp;&", "& b", "&notit;", "&#;", "&#x;", "&#X41;z", "&#0000065;", "&" + "a" * 40 + ";", "", "x", "&é;"]
+    texts += ["".join(r.choice(["&", "#", "x", "1", "amp", "lt", ";", "not", "in", " ", "é", "\n", "<"]) for _ in range(r.randrange(12))) for _ in range(500)]
+    assert apply(entities.unescaped, texts) == list(map(unescape, texts))
+    assert apply(entities.unescaped, [None]) == [None]
+
+
+def test_image_urls_are_decoded(apply):
+    image = lambda c: html.first_image_url(c, "img.example.com")
+    rows = ['<img src="https://img.example.com/a&#38;b&amp;c&quot;d&eacute;.jpg">', "<img data-src='https&colon;//img.example.com/x&sol;1.jpg'>"]
+    assert apply(image, rows) == ['https://img.example.com/a&b&c"dé.jpg', "https://img.example.com/x/1.jpg"]
+
+
+def test_many_anchors_in_one_item(apply):
+    page = '<ul class="result-row">' + "".join(f'<a href="/{i}.htm">x</a>' for i in range(20000)) + "</ul>"
+    got = apply(lambda c: html.extract_links(c, "https://b"), [page])[0]
+    assert len(got) == 20000 and got[-1] == "https://b/19999.htm"
