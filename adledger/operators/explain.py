@@ -127,14 +127,9 @@ def partial_dependence(model: PipelineModel, holdout: DataFrame, feature: str,
 def split_categories(model: PipelineModel, feature: str) -> list[str]:
     """Categories of a feature that any tree of the model tells from the others."""
     transform: ColumnTransformModel = model.stages[0]
-    start = len(transform.numeric)
-    for c in transform.categorical:
-        known = transform.vocabulary(c)
-        if c == feature:
-            used = {int(i) for i in re.findall(r"feature (\d+) ", model.stages[-1].toDebugString)}
-            return [known[i - start] for i in sorted(used) if start <= i < start + len(known)]
-        start += len(known)
-    raise ValueError(f"{feature} is no categorical feature of the model")
+    if feature not in transform.categorical:
+        raise ValueError(f"{feature} is no categorical feature of the model")
+    return transform.categories(feature, sorted({int(i) for i in re.findall(r"feature (\d+) ", model.stages[-1].toDebugString)}))
 
 
 def _mean_prediction(model: PipelineModel, df: DataFrame, feature: str, grid: Sequence, kind: str) -> DataFrame:

@@ -6,11 +6,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import split_tokens
+from .dictionary import Dictionary, fit_dictionary, sparse_vector, with_size
 from .quantiles import quantiles_of
 
 # Text vocabulary size, sequence length, ids of padding and unknown.
@@ -93,19 +94,11 @@ def label_decode(df: DataFrame, labels: Sequence[str], column: str, out: str) ->
 
 
 def one_hot(train: DataFrame, df: DataFrame, columns: Sequence[str], suffix: str = "_vec") -> DataFrame:
-    """Training categories as 0/1 vectors; a category not seen in training is all zeros."""
-    return _one_hot_pipeline(columns, suffix).fit(train).transform(df).drop(
-        *[f"{c}_idx" for c in columns])
-
-
-def _one_hot_pipeline(columns: Sequence[str], suffix: str) -> Pipeline:
-    index = [f"{c}_idx" for c in columns]
-    return Pipeline(stages=[
-        StringIndexer(inputCols=list(columns), outputCols=index, handleInvalid="keep",
-                      stringOrderType="alphabetAsc"),
-        # "keep" adds one index for unseen values; dropLast turns it into all zeros.
-        OneHotEncoder(inputCols=index, outputCols=[f"{c}{suffix}" for c in columns], dropLast=True),
-    ])
+    """Training categories as sparse 0/1 vectors; a category not seen in training is all zeros."""
+    known = fit_dictionary(train, columns)
+    hot = lambda c: F.when(F.col(f"{c}__at").isNotNull(), F.array(f"{c}__at")).otherwise(F.array().cast("array<long>"))
+    vectors = [with_size(sparse_vector(known.sizes[c], hot(c), F.transform(hot(c), lambda _: F.lit(1.0))), f"{c}{suffix}", known.sizes[c]) for c in columns]
+    return known.number(df, columns, "__at").select(*df.columns, *vectors)
 
 
 class ColumnTransform(Estimator):
@@ -127,58 +120,74 @@ class ColumnTransform(Estimator):
         filled = model.fill(df)
         if self.scale and numeric:
             model.scale = fit_scale(filled, numeric)
-        vectors = [f"{c}_vec" for c in categorical]
-        stages = [_one_hot_pipeline(categorical, "_vec")] if categorical else []
-        stages.append(VectorAssembler(inputCols=[f"{c}_f" for c in numeric] + vectors,
-                                      outputCol=self.out, handleInvalid="error"))
-        model.pipeline = Pipeline(stages=stages).fit(model.scaled(filled))
+        if categorical:
+            model.dictionary = fit_dictionary(filled, categorical)
         return model
 
 
 class ColumnTransformModel(Model):
-    def __init__(self, numeric, categorical, medians, modes, scale, pipeline, out):
+    """One sparse vector: the numeric columns, then a 0/1 entry per category of each column."""
+
+    def __init__(self, numeric, categorical, medians, modes, scale, dictionary, out):
         super().__init__()
         self.numeric, self.categorical = numeric, categorical
         self.medians, self.modes, self.scale = medians, modes, scale
-        self.pipeline, self.out = pipeline, out
+        self.dictionary, self.out = dictionary, out
+
+    @property
+    def starts(self) -> dict[str, int]:
+        """Index of the first category of each column."""
+        at, starts = len(self.numeric), {}
+        for c in self.categorical:
+            starts[c] = at
+            at += self.dictionary.sizes[c]
+        return starts
+
+    @property
+    def width(self) -> int:
+        return len(self.numeric) + sum(self.dictionary.sizes[c] for c in self.categorical)
+
+    def categories(self, column: str, indices: Sequence[int]) -> list[str]:
+        """Categories of a column that these entries of the vector stand for."""
+        first = self.starts[column]
+        return self.dictionary.values(column, [i - first for i in indices if first <= i < first + self.dictionary.sizes[column]])
 
     def save(self, path: str) -> None:
         """Write the fitted preparation to a new folder."""
-        self.pipeline.write().save(f"{path}/pipeline")
+        if self.dictionary:
+            self.dictionary.save(f"{path}/dictionary")
         own = {k: getattr(self, k) for k in ("numeric", "categorical", "medians", "modes", "scale", "out")}
+        own["sizes"] = self.dictionary.sizes if self.dictionary else None
         SparkSession.active().range(1).select(F.lit(json.dumps(own))).write.text(f"{path}/about")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "ColumnTransformModel":
         own = json.loads(spark.read.text(f"{path}/about").first()[0])
-        return cls(pipeline=PipelineModel.load(f"{path}/pipeline"), **own)
-
-    def vocabulary(self, column: str) -> list[str]:
-        indexer = self.pipeline.stages[0].stages[0]
-        return list(indexer.labelsArray[self.categorical.index(column)])
+        sizes = own.pop("sizes")
+        return cls(dictionary=Dictionary.load(spark, f"{path}/dictionary", sizes) if sizes else None, **own)
 
     def fill(self, df: DataFrame) -> DataFrame:
         df = df.withColumns({c: F.col(c).cast("double") for c in self.numeric})
         return fill_values(df, {c: self.medians[c] for c in self.numeric}
                            | {c: self.modes[c] for c in self.categorical})
 
-    def scaled(self, df: DataFrame) -> DataFrame:
-        cols = {}
-        for c in self.numeric:
-            m, s = self.scale.get(c, (0.0, 1.0))
-            cols[f"{c}_f"] = (F.col(c) - F.lit(m)) / F.lit(s)
-        return df.withColumns(cols) if cols else df
-
     def _transform(self, df: DataFrame) -> DataFrame:
         # Raw columns keep their values; filled copies live only inside.
-        raw = [f for f in [*self.numeric, *self.categorical]]
-        kept = df.withColumns({f"_raw_{c}": F.col(c) for c in raw}) if raw else df
-        out = self.pipeline.transform(self.scaled(self.fill(kept)))
-        extra = [f"{c}_idx" for c in self.categorical] + [f"{c}_vec" for c in self.categorical] \
-            + [f"{c}_f" for c in self.numeric]
-        if raw:
-            out = out.withColumns({c: F.col(f"_raw_{c}") for c in raw})
-        return out.drop(*extra, *[f"_raw_{c}" for c in raw])
+        raw = {f"__raw_{i}": c for i, c in enumerate(df.columns)}
+        kept = self.fill(df.select("*", *[F.col(c).alias(r) for r, c in raw.items()]))
+        if self.categorical:
+            kept = self.dictionary.number(kept, self.categorical, "__at")
+        starts = self.starts
+
+        def scaled(c: str) -> Column:
+            m, s = self.scale.get(c, (0.0, 1.0))
+            return (F.col(c) - F.lit(m)) / F.lit(s)
+
+        numbers = F.array(*map(scaled, self.numeric)) if self.numeric else F.array().cast("array<double>")
+        hot = F.array_compact(F.array(*[F.col(f"{c}__at") + F.lit(starts[c]) for c in self.categorical])) if self.categorical else F.array().cast("array<long>")
+        indices = F.concat(F.array(*[F.lit(i).cast("long") for i in range(len(self.numeric))]).cast("array<long>"), hot)
+        vector = sparse_vector(self.width, indices, F.concat(numbers, F.transform(hot, lambda _: F.lit(1.0))))
+        return kept.select(*[F.col(r).alias(c) for r, c in raw.items() if c != self.out], with_size(vector, self.out, self.width))
 
 
 def column_transform(train: DataFrame, df: DataFrame, numeric: Sequence[str],

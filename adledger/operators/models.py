@@ -8,9 +8,8 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,6 +49,11 @@ def price_pipeline(numeric: Sequence[str] = tuple(TRAIN_NUMERIC_FEATURES),
     return Pipeline(stages=[ColumnTransform(numeric, categorical), gbt_regressor(label, **params)])
 
 
+def boost(gbt: GBTRegressor, rows: DataFrame, point: dict) -> GBTRegressionModel:
+    """One boosting run of the search."""
+    return gbt.fit(rows, point)
+
+
 def grid_search(
     train: DataFrame, order: Sequence[str], numeric: Sequence[str] = tuple(TRAIN_NUMERIC_FEATURES),
     categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES), label: str = "price_num",
@@ -58,7 +62,8 @@ def grid_search(
     """Every grid point on unshuffled folds over the table order, scored by MAE, best one refitted.
 
     The preparation is fitted once per fold and its vectors are stored; grid points fit
-    trees only.
+    trees only. Points that differ in the number of trees share one boosting run: its
+    first trees are the smaller model, and one pass scores every prefix.
     """
     checkpoint_root(train.sparkSession)  # boosting cuts its lineage there
     pipeline = price_pipeline(numeric, categorical, label)
@@ -67,16 +72,27 @@ def grid_search(
     for name, values in grid.items():
         builder = builder.addGrid(gbt.getParam(GBT_PARAMS[name]), values)
     points = builder.build()
+    trees = [p.get(gbt.maxIter, gbt.getMaxIter()) for p in points]
+    runs: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        runs.setdefault(tuple(sorted((p.name, v) for p, v in point.items() if p != gbt.maxIter)), []).append(i)
     folded = contiguous_folds(train, order, folds, "_fold")
     scores = [[] for _ in points]
     for k in range(folds):
         learn, judge = folded.where(F.col("_fold") != k), folded.where(F.col("_fold") == k)
         prepared = ColumnTransform(numeric, categorical).fit(learn)
-        learn, judge = (stored(prepared.transform(part).select("features", label), f"fold-{k}") for part in (learn, judge))
-        evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
+        # a row without a price can neither teach nor judge
+        learn, judge = (stored(prepared.transform(part).where(F.col(label).isNotNull()).select("features", label), f"fold-{k}") for part in (learn, judge))
+
+        def staged(members: list[int]) -> list[float]:
+            longest = max(members, key=trees.__getitem__)
+            errors = boost(gbt, learn, points[longest]).evaluateEachIteration(judge, "absolute")
+            return [errors[trees[i] - 1] for i in members]
+
         with ThreadPool(parallelism) as pool:
-            for i, score in enumerate(pool.map(lambda p: evaluator.evaluate(gbt.fit(learn, p).transform(judge)), points)):
-                scores[i].append(score)
+            for members, found in zip(runs.values(), pool.map(staged, runs.values())):
+                for i, score in zip(members, found):
+                    scores[i].append(score)
     means = [sum(s) / folds for s in scores]
     best = min(range(len(points)), key=means.__getitem__)
     search = CrossValidatorModel(pipeline.fit(train, points[best]), means)
@@ -175,10 +191,9 @@ def structured_classifier(
     if not hidden:
         return _fit(train, target, [transform, _head("_structured", max_iter)], None)
     fitted = transform.fit(train)
-    width = fitted.transform(train).schema["_structured"].metadata["ml_attr"]["num_attrs"]
     classes = len(label_encoder(train, target).labels)
     net = MultilayerPerceptronClassifier(
-        featuresCol="_structured", labelCol="_label", layers=[width, *hidden, classes],
+        featuresCol="_structured", labelCol="_label", layers=[fitted.width, *hidden, classes],
         maxIter=max_iter, seed=seed)
     return _fit(train, target, [fitted, net], None)
 

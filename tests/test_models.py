@@ -119,3 +119,22 @@ def test_saved_models_predict_alike(spark, cars, fitted, tmp_path):
     loaded = models.TierClassifier.load(spark, str(tmp_path / "tier"))
     found = [sorted((r.post_id, r.predicted_tier) for r in m.transform(tiers).select("post_id", "predicted_tier").collect()) for m in (classifier, loaded)]
     assert found[0] == found[1]
+
+
+def test_tree_counts_share_one_run(cars, monkeypatch):
+    """Half as many fits as points and folds; every score is that of a model of its own size."""
+    rows = training_rows(cars)
+    fits, real = [], models.boost
+    monkeypatch.setattr(models, "boost", lambda gbt, df, point: fits.append(point) or real(gbt, df, point))
+    grid = {"n_estimators": [2, 5], "max_depth": [2], "min_samples_leaf": [1, 30], "learning_rate": [0.3]}
+    search = models.grid_search(rows, ["post_id"], ["year_num"], ["make"], grid=grid, folds=2)
+    assert len(fits) == 2 * 2 and all(max(p.values()) >= 5 for p in fits)
+    folded = splits.contiguous_folds(rows, ["post_id"], 2, "k")
+    for point, score in zip(search.getEstimatorParamMaps(), search.avgMetrics):
+        alone = []
+        for k in range(2):
+            own = {grid_name: v for p, v in point.items() for grid_name, name in models.GBT_PARAMS.items() if name == p.name}
+            fitted = models.price_pipeline(["year_num"], ["make"], **own).fit(folded.where(F.col("k") != k))
+            alone.append(fitted.transform(folded.where(F.col("k") == k)).agg(F.avg(F.abs(F.col("prediction") - F.col("price_num")))).first()[0])
+        assert score == pytest.approx(sum(alone) / 2)
+    assert len({round(s, 6) for s in search.avgMetrics}) > 2

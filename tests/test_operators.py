@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adledger.operators import dedup, features, filters, joins, metrics, ordering, quantiles, sets, splits, summaries, trends
+from adledger.operators import dedup, dictionary, features, filters, joins, metrics, ordering, quantiles, sets, splits, summaries, trends
 from adledger.schemas import LISTING_COLUMNS, table_schema
 
 A, B, C = "20251026170002", "20251026T180002Z", "20251027000000"
@@ -223,6 +223,31 @@ def test_encoding(frame):
     assert [list(r.c_vec.toArray()) for r in features.one_hot(train, test, ["c"]).collect()] == [[0.0, 1.0], [0.0, 0.0]]
 
 
+def test_dictionary_of_many_categories(spark):
+    """Numbered alphabetically over many partitions; the list never reaches the driver."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(120000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("a"), (F.col("id") % 7).alias("b"))
+        known = dictionary.fit_dictionary(df, ["a", "b", "c"][:2])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert known.sizes == {"a": 80001, "b": 7}
+    for column in ("a", "b"):
+        rows = [(r["value"], r["ordinal"]) for r in known.of(column).collect()]
+        assert [v for v, _ in sorted(rows, key=lambda r: r[1])] == sorted(v for v, _ in rows) and sorted(o for _, o in rows) == list(range(len(rows)))
+    assert known.values("b", [0, 6]) == ["0", "6"] and known.values("a", []) == []
+    out = features.one_hot(df, df.limit(10).unionByName(spark.createDataFrame([("new", None)], "a string, b long")), ["a", "b"])
+    assert {(r["a_vec"].size, len(r["a_vec"].indices)) for r in out.collect()} == {(80001, 1), (80001, 0)}
+
+
+def test_odd_categories(frame):
+    train = frame("c string, n int", [("é", 1), ('q"\\', 2), ("", 3), (None, None), ("é", 1)])
+    out = {r["c"]: (list(r["c_vec"].toArray()), list(r["n_vec"].toArray())) for r in features.one_hot(train, train, ["c", "n"]).collect()}
+    assert out == {"": ([1, 0, 0], [0, 0, 1]), 'q"\\': ([0, 1, 0], [0, 1, 0]), "é": ([0, 0, 1], [1, 0, 0]), None: ([0, 0, 0], [0, 0, 0])}
+    nothing = frame("c string", [(None,)])
+    assert [r["c_vec"].size for r in features.one_hot(nothing, nothing, ["c"]).collect()] == [0]
+
+
 def test_column_transform_drops_empty_columns(frame):
     df = frame("x double, y double, c string, d string", [(1.0, None, "a", None), (3.0, None, "b", None)])
     model = features.ColumnTransform(["x", "y"], ["c", "d"]).fit(df)
