@@ -13,6 +13,7 @@ import hashlib
 import json
 import mmap
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import once_per_worker
 
 #: Fixed value: how the public byte-level tokenizer cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts are cut into words in pieces of about this many characters, at a place where the pattern cuts anyway.
 PIECE = 1 << 20
-MEMORY = 400_000
+#: Bytes of words met before that an encoder remembers, and what an entry takes beside its characters.
+MEMORY, ENTRY = 32 << 20, 330
 NEVER, LOW = 1 << 62, (1 << 32) - 1
 
 
@@ -242,6 +245,7 @@ class Encoder:
         self.compiled = regex.compile(PATTERN)
         self.marks = regex.compile("(" + "|".join(regex.escape(t) for t in vocabulary.special) + ")") if vocabulary.special else None
         self.memory: dict[str, tuple[int, str, bytes]] = {}
+        self.held = 0
 
     def word(self, word: str) -> tuple[int, str, bytes]:
         """Number of ids of a word, the ids as text, and the bytes they decode to."""
@@ -250,13 +254,18 @@ class Encoder:
         if ids is None:
             ids = self.vocabulary.merge(raw)
         found = self.decoded(ids)
-        if len(self.memory) >= MEMORY:  # the older half goes
-            for old in list(self.memory)[:MEMORY // 2]:
-                del self.memory[old]
         if len(word) <= 64:
             self.memory[word] = found
+            self.held += self.weight(word, found)
+        if self.held > MEMORY:  # the older half goes
+            for old in list(self.memory)[:len(self.memory) // 2]:
+                self.held -= self.weight(old, self.memory.pop(old))
         return found
 
+    @staticmethod
+    def weight(word: str, found: tuple[int, str, bytes]) -> int:
+        return ENTRY + 2 * len(word) + len(found[1]) + len(found[2])
+
     def decoded(self, ids: list[int]) -> tuple[int, str, bytes]:
         return len(ids), ",".join(map(str, ids)), b"".join([self.vocabulary.tokens[i] for i in ids])
 
@@ -305,14 +314,10 @@ def count_words(most: int):
     return run
 
 
-def train_lexicon(df: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = 100_000, sample_texts: int = 20_000) -> bytes | None:
-    """The packed lexicon of the most frequent words of a sample of about ``sample_texts``
-    texts, chosen by hash. It only decides which words are quick; all are encoded exactly."""
-    total = df.count()
-    chosen = df.select(F.col(text).alias("text"))
-    if total > sample_texts:
-        chosen = chosen.filter(F.xxhash64("text") < int(sample_texts / total * 2**64) - 2**63)
-    top = (chosen.mapInArrow(count_words(200_000), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def train_lexicon(df: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = 100_000) -> bytes | None:
+    """The packed lexicon of the most frequent words, counted over all texts. It only decides
+    which words are quick; all are encoded exactly."""
+    top = (df.select(F.col(text).alias("text")).mapInArrow(count_words(200_000), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .filter((F.octet_length("word") <= 64) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(words))
     found = [bytes(r["word"]) for r in top.select("word").collect()]
     return pack_lexicon(found, vocabulary) if found else None
@@ -352,14 +357,12 @@ def _apply(df: DataFrame, tokenizer: str, text: str, lexicon_words: int, fields:
     spec = open(tokenizer, encoding="utf-8").read()
     packed = train_lexicon(df, Vocabulary(spec), text, lexicon_words)
     shared = df.sparkSession.sparkContext.broadcast((spec, packed))
-    ready: list[Encoder] = []  # one per task
+    key = uuid.uuid4().hex
     names = [f.split()[0] for f in fields.split(", ")]
 
     @F.arrow_udf(fields)
     def encoded(texts: pa.Array) -> pa.Array:
-        if not ready:
-            ready.append(Encoder(Vocabulary(shared.value[0]), shared.value[1]))
-        worker = ready[0]
+        worker = once_per_worker(key, lambda: Encoder(Vocabulary(shared.value[0]), shared.value[1]))
         values = (t.as_py() or "" for t in texts)
         if kind == "ids":
             arrays = [pa.array([worker.ids(t) for t in values], pa.list_(pa.int32()))]

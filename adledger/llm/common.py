@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,3 +38,15 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
     raw = column.cast(pa.binary()) if pa.types.is_string(column.type) else column.cast(pa.large_binary())
     for value in raw:
         yield value.as_py() or b""
+
+
+def once_per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once by each Python worker and kept for its later tasks; another
+    key replaces it. Functions travel to the tasks by value, each with globals of its own, so
+    it is kept beside the worker's loaded modules."""
+    held = sys.modules.setdefault("adledger_worker_state", types.ModuleType("adledger_worker_state"))
+    if getattr(held, "key", None) != key:
+        held.key = held.value = None
+        held.value = make()
+        held.key = key
+    return held.value

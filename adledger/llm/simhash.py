@@ -26,6 +26,8 @@ from .components import connected
 
 SEED = 42
 FAN = 8
+#: Pairs of a query and a node that a search holds at once, about.
+PAIRS = 1 << 17
 ALL = np.uint64(2**64 - 1)
 
 
@@ -103,9 +105,10 @@ class GrayIndex:
     def search(self, queries: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(level, query numbers, nodes): every fingerprint below such a node is within the
         radius of its query, and all that are appear once."""
-        rows, nodes = np.arange(len(queries)), np.zeros(len(queries), np.int64)
-        apart = np.zeros(len(queries), np.int64)
-        for depth in range(len(self.levels) - 1, -1, -1):
+        rows = np.arange(len(queries))
+        waiting = [(len(self.levels) - 1, rows, np.zeros(len(queries), np.int64), np.zeros(len(queries), np.int64))]
+        while waiting:
+            depth, rows, nodes, apart = waiting.pop()
             shared, pattern, own = self.levels[depth]
             apart = apart + np.bitwise_count((queries[rows] ^ pattern[nodes]) & own[nodes])
             near = apart <= radius
@@ -114,13 +117,13 @@ class GrayIndex:
             if whole.any():
                 yield depth, rows[whole], nodes[whole]
                 rows, nodes, apart = rows[~whole], nodes[~whole], apart[~whole]
-            if not depth or not len(rows):
-                return
-            below = len(self.levels[depth - 1][1])
-            children = nodes[:, None] * FAN + np.arange(FAN)
-            there = children < below
-            rows, apart = (np.broadcast_to(x[:, None], children.shape)[there] for x in (rows, apart))
-            nodes = children[there]
+            below = len(self.levels[depth - 1][1]) if depth else 0
+            for start in range(0, len(rows) if depth else 0, PAIRS // FAN):  # a wide frontier goes on in parts
+                part = slice(start, start + PAIRS // FAN)
+                children = nodes[part, None] * FAN + np.arange(FAN)
+                there = children < below
+                now, far = (np.broadcast_to(x[part, None], children.shape)[there] for x in (rows, apart))
+                waiting.append((depth - 1, now, children[there], far))
 
 
 def forest(prints: np.ndarray, radius: int) -> np.ndarray:
@@ -131,19 +134,24 @@ def forest(prints: np.ndarray, radius: int) -> np.ndarray:
     index = GrayIndex(prints)
     merged = [np.zeros(len(level[1]), bool) for level in index.levels]
     for start in range(0, len(prints), 512):
-        left, right = [], []
+        left, right, found = [], [], 0
         for depth, rows, nodes in index.search(prints[start:start + 512], radius):
             span = FAN**depth
             left.append(rows + start)
             right.append(nodes * span)
-            if not depth:
-                continue
-            for node in np.unique(nodes[~merged[depth][nodes]]):  # its members all lie around one query
-                members = np.arange(node * span + 1, min((node + 1) * span, len(prints)))
-                left.append(np.full(len(members), node * span))
-                right.append(members)
-                merged[depth][node] = True
-        join(label, np.concatenate(left), np.concatenate(right))
+            if depth:
+                for node in np.unique(nodes[~merged[depth][nodes]]):  # its members all lie around one query
+                    members = np.arange(node * span + 1, min((node + 1) * span, len(prints)))
+                    left.append(np.full(len(members), node * span))
+                    right.append(members)
+                    merged[depth][node] = True
+                    found += len(members)
+            found += len(rows)
+            if found > PAIRS:
+                join(label, np.concatenate(left), np.concatenate(right))
+                left, right, found = [], [], 0
+        if found:
+            join(label, np.concatenate(left), np.concatenate(right))
     return label
 
 
