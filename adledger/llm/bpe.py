@@ -14,7 +14,6 @@ import json
 import mmap
 import tempfile
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import once_per_worker
+from .common import once_per_worker, stored
 
 #: Fixed value: how the public byte-level tokenizer cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -30,6 +29,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PIECE = 1 << 20
 #: Bytes of words met before that an encoder remembers, and what an entry takes beside its characters.
 MEMORY, ENTRY = 32 << 20, 330
+#: Steps of frequency in an octave; a lexicon ends between two of them.
+STEPS = 16
 NEVER, LOW = 1 << 62, (1 << 32) - 1
 
 
@@ -291,36 +292,29 @@ class Encoder:
 
 # --- on Spark -------------------------------------------------------------------------
 
-def count_words(most: int):
-    """Words of a partition with their counts. A partition that meets more than ``most``
-    different ones sends them on and starts anew, so no word's count is lost."""
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-
-    def run(batches):
-        import regex
-
-        compiled, counts = regex.compile(PATTERN), Counter()
-        send = lambda: pa.RecordBatch.from_arrays(
-            [pa.array([w.encode() for w in counts], pa.binary()), pa.array([*counts.values()], pa.int64())], schema=schema)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(cut_words(text or "", compiled))
-                if len(counts) > most:
-                    yield send()
-                    counts.clear()
-        if counts:
-            yield send()
-
-    return run
+def count_words(df: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n) over all texts, counted where they lie before anything is sent. Very long texts
+    are cut blindly, and blanks are ASCII ones here: a count may be off by a cut, which only
+    decides which words are quick."""
+    piece = F.explode(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE >> 4}}}"), F.lit(0))).alias("piece")
+    word = F.explode(F.regexp_extract_all("piece", F.lit(PATTERN), F.lit(0))).alias("word")
+    return df.select(piece).select(word).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train_lexicon(df: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = 100_000) -> bytes | None:
-    """The packed lexicon of the most frequent words, counted over all texts. It only decides
-    which words are quick; all are encoded exactly."""
-    top = (df.select(F.col(text).alias("text")).mapInArrow(count_words(200_000), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .filter((F.octet_length("word") <= 64) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(words))
-    found = [bytes(r["word"]) for r in top.select("word").collect()]
-    return pack_lexicon(found, vocabulary) if found else None
+    """The packed lexicon of the most frequent words, counted over all texts: those above the
+    lowest step of frequency that leaves at most ``words``. Only they reach the driver."""
+    counts = stored(count_words(df, text).filter((F.octet_length("word") <= 64) & (F.col("n") > 1))
+                    .withColumn("step", F.floor(F.log2("n") * STEPS).cast("int")), "word-counts")
+    total, least = 0, None
+    for row in sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += row["words"]
+        if total > words:
+            break
+        least = row["step"]
+    if least is None:
+        return None
+    return pack_lexicon([r["word"].encode() for r in counts.filter(F.col("step") >= least).select("word").collect()], vocabulary)
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", lexicon_words: int = 100_000) -> DataFrame:
