@@ -11,6 +11,7 @@ from ..functions.records import to_json_record
 from ..operators.filters import conform
 from ..operators.joins import skip_existing
 from ..schemas import table_schema
+from ..session import stored
 
 
 def by_run(df: DataFrame, run: str) -> DataFrame:
@@ -40,8 +41,11 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-#: Run ids of a batch written into a partition filter; a batch of more runs joins instead.
-MOST_RUNS = 1_000
+def touched_partitions(existing: DataFrame, runs: DataFrame, part: str) -> DataFrame:
+    """Rows of the partitions named in the small stored table ``runs``, which Spark sends to every
+    executor and prunes the scan by. It does so only below a comparison, hence the one on the length."""
+    wanted = runs.where(F.length(F.col(part).cast("string")) >= 0)
+    return existing.join(wanted, part, "left_semi")
 
 
 def write_if_absent(df: DataFrame, path: str, keys: Sequence[str] = ("run_id", "post_id"),
@@ -51,15 +55,16 @@ def write_if_absent(df: DataFrame, path: str, keys: Sequence[str] = ("run_id", "
     The table is parquet partitioned by the first key. Skipping appends only the
     new rows; overwriting rewrites only the partitions the batch touches and
     keeps their other rows. Returns the rows written (nothing is written on a dry run).
+
+    The batch is computed once, into the shared folder; its distinct runs, stored beside it,
+    prune the table's partitions when the plan runs. Nothing is collected.
     """
     spark, part = df.sparkSession, keys[0]
     existing = read_if_exists(spark, path)
     if existing is not None:
+        df = stored(df, "batch")
         existing = existing.withColumn(part, F.col(part).cast(df.schema[part].dataType))
-    if existing is not None:  # only the partitions the batch touches are read
-        runs = [r[0] for r in df.select(part).distinct().limit(MOST_RUNS + 1).collect()]
-        touched = existing.where(F.col(part).isin(runs)) if len(runs) <= MOST_RUNS else existing.join(
-            df.select(part).distinct(), part, "left_semi")
+        touched = touched_partitions(existing, stored(df.select(part).distinct(), "batch-runs"), part)
     new = df if existing is None or overwrite else skip_existing(df, touched, keys)
     if dry_run:
         return new

@@ -195,3 +195,29 @@ def test_texts_to_table(spark, tmp_path):
     fields = extract_with_model(records, texts.select("path", "text"), lambda b: {"price": 7}, "rules", "v1")
     assert set(RECORD_COLUMNS) <= set(fields.columns)
     assert {(r.price, r.llm_provider, r.error) for r in fields.collect()} == {(7, "rules", None)}
+
+
+@pytest.mark.parametrize("overwrite", [False, True])
+def test_write_if_absent_prunes_and_reads_the_batch_once(spark, tmp_path, overwrite):
+    path, log = str(tmp_path / "t"), str(tmp_path / "log")
+    make = lambda n, text: spark.range(n).select((F.col("id") % 40).cast("string").alias("run_id"), F.col("id").cast("string").alias("post_id"), F.lit(text).alias("v"))
+    write_if_absent(make(400, "old"), path)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def watched(x):
+        seen.add(1)
+        return x
+
+    batch = make(800, "new").where("run_id IN ('3', '7')").withColumn("v", watched("v"))
+    new = write_if_absent(batch, path, overwrite=overwrite)
+    assert seen.value == 40  # each row of the batch computed once
+    rows = {r["post_id"]: (r["run_id"], r["v"]) for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 420 and {k for k, (_, v) in rows.items() if v == "new"} == {str(i) for i in range(800) if i % 40 in (3, 7) and (overwrite or i >= 400)}
+    from adledger.sinks import writers
+
+    old = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    runs = writers.stored(spark.createDataFrame([("3",), ("7",)], "run_id string"), "runs")
+    pruned = writers.touched_partitions(old, runs, "run_id")
+    assert pruned.count() == 40 and "dynamicpruning" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert new.count() in (20, 40)
