@@ -75,10 +75,21 @@ def test_partial_dependence_equals_brute_force(fitted):
     assert got["Ford"] == pytest.approx(want)
 
 
-@pytest.mark.parametrize("block_rows", [16, 512])
-def test_shuffle_is_a_permutation(cars, block_rows):
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 1000, 4099])
+def test_keyed_permutation(spark, n):
+    """Every position is taken once under every key, and keys differ."""
+    df = spark.range(n).select("id", F.explode(F.array(*map(F.lit, range(4)))).alias("k"))
+    got = df.select("id", "k", explain.permuted(F.col("id"), n, F.col("k"), F.lit(9)).alias("to")).collect()
+    moved = [[r["to"] for r in sorted((r for r in got if r["k"] == k), key=lambda r: r["id"])] for k in range(4)]
+    assert all(sorted(m) == list(range(n)) for m in moved)
+    if n > 60:
+        assert len({tuple(m) for m in moved}) == 4
+        assert all(sum(abs(a - b) > n / 4 for a, b in enumerate(m)) > n / 4 for m in moved)  # far moves
+
+
+def test_shuffle_is_a_permutation(cars):
     rows = cars.select("post_id", "make", F.col("mileage").cast("int").alias("mileage"))
-    out = explain.shuffle_columns(rows, ["make", "mileage"], "post_id", [], 2, 1, block_rows).persist()
+    out = explain.shuffle_columns(rows, ["make", "mileage"], "post_id", [], 2, 1).persist()
     assert out.count() == 400 * 5
     same = out.join(rows.withColumnRenamed("mileage", "own").drop("make"), "post_id")
     kept = {(r.feature, r.repeat): (r.n, r.total, r.same) for r in same.groupBy("feature", "repeat").agg(
@@ -90,6 +101,25 @@ def test_shuffle_is_a_permutation(cars, block_rows):
     out.unpersist()
 
 
+def test_permutation_importance_equals_brute_force(spark, fitted):
+    """The rise of the error computed row by row from the permutation itself."""
+    model, rows = fitted
+    rows = rows.where("price_num IS NOT NULL")
+    got = {r.feature: r.importance_mean for r in explain.permutation_importance(model, rows, ["make", "year_num"], repeats=2, seed=5).collect()}
+    table = rows.select("post_id", "make", "year_num", "model", "mileage_num", "price_num").toPandas().sort_values("post_id").reset_index(drop=True)
+    n = len(table)
+    places = spark.range(n).select("id", *[explain.permuted(F.col("id"), n, F.lit(r), F.lit(5)).alias(f"to{r}") for r in (1, 2)]).toPandas().sort_values("id")
+    mae = lambda t: model.transform(spark.createDataFrame(t)).agg(F.avg(F.abs(F.col("prediction") - F.col("price_num")))).first()[0]
+    base = mae(table)
+    for feature in ("make", "year_num"):
+        rises = []
+        for r in (1, 2):
+            shuffled = table.copy()
+            shuffled.loc[places[f"to{r}"].to_numpy(), feature] = table[feature].to_numpy()
+            rises.append(mae(shuffled) - base)
+        assert got[feature] == pytest.approx(sum(rises) / 2)
+
+
 def test_tier_study(spark, cars):
     table = modeling_table(cars.withColumn("price", F.regexp_replace("price", r"\$", "")))
     assert {"vehicle_age", "miles_per_year", "engine_cylinders_num"} <= set(table.columns)
