@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -130,16 +131,17 @@ def _edge_buckets(keyed: DataFrame, test_size: float) -> DataFrame:
     """
     buckets = stored(keyed.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("n")), "hash-buckets")
     sizes = buckets.groupBy("_s").agg(F.sum("n").alias("size"))
-    everything = Window.partitionBy()
-    exact = sizes.withColumn("total", F.sum("size").over(everything)).withColumn(
-        "n_test", F.ceil(F.lit(test_size) * F.col("total")))
-    # Largest remainder, in whole numbers.
-    share = exact.withColumn("_p", F.expr("cast(n_test as decimal(38,0)) * size")).withColumns({
-        "base": F.expr("_p div total").cast("bigint"), "rest": F.expr("_p % total")})
-    left_over = F.first("n_test").over(everything) - F.sum("base").over(everything)
-    order = Window.orderBy(F.desc("rest"), F.asc("_s"))
-    extra = (F.row_number().over(order) <= left_over).cast("bigint")
-    take = share.withColumn("take", F.col("base") + extra).select("_s", "take")
+    total = sizes.agg(F.sum("size")).first()[0]
+    if total is None:
+        return buckets.select("_s", "_b", F.col("n").alias("need")).limit(0)
+    n_test = math.ceil(test_size * total)
+    # Largest remainder, in whole numbers. Strata are put in order over all tasks, by ranges and
+    # the numbers of strata in the ranges before.
+    share = sizes.withColumn("_p", F.col("size").cast("decimal(38,0)") * F.lit(n_test)).withColumns({
+        "base": F.expr(f"_p div {total}").cast("bigint"), "rest": F.expr(f"-(_p % {total})")}).drop("_p")
+    left_over = n_test - (share.agg(F.sum("base")).first()[0])
+    extra = (F.col("_place") < left_over).cast("bigint")
+    take = global_position(share, ["rest", "_s"], "_place").select("_s", (F.col("base") + extra).alias("take"))
     running = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     return (
         buckets.withColumn("upto", F.sum("n").over(running)).join(take, "_s")

@@ -76,6 +76,21 @@ def test_many_strata(spark):
     assert splits.stratified_split(df, "s", "id").filter("split = 'test'").count() == 60
 
 
+def test_a_hundred_thousand_strata(spark):
+    """Largest remainder over very many strata, in exact numbers."""
+    sizes = spark.range(100_000).select("id", (F.col("id") % 3 + 1).alias("n"))
+    df = sizes.select("id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i")).select(
+        F.concat_ws("-", "id", "i").alias("key"), F.col("id").alias("s"))
+    out = splits.stratified_split(df, "s", "key")
+    got = {(r["n"], r["t"]): r["k"] for r in out.groupBy("s").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("t"))
+           .groupBy("n", "t").agg(F.count("*").alias("k")).collect()}
+    # 199,999 rows, 40,000 for the test: strata of three (0.6 of a row) come first, then of two (0.4)
+    total = sum(i % 3 + 1 for i in range(100_000))
+    test = -(-total // 5)
+    threes, twos = sum(i % 3 == 2 for i in range(100_000)), sum(i % 3 == 1 for i in range(100_000))
+    assert got == {k: v for k, v in {(3, 1): min(threes, test), (2, 1): test - threes, (2, 0): twos - (test - threes), (1, 0): 100_000 - threes - twos}.items() if v}
+
+
 def test_sources_landed_twice(frame):
     raw = frame("path string, text string", [(f"p{i}", f"Text {i}") for i in range(20)])
     twice = raw.unionByName(frame("path string, text string", [(f"p{i}", f"Text {i} later") for i in range(0, 20, 3)])).unionByName(raw)
