@@ -31,13 +31,15 @@ SENT_BANDS = 100_000
 
 
 def scaled(vector: Column) -> Column:
-    """floor(1024 x) of every component as doubles, exact for all that fits."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
+    """floor(1024 x) of every component as doubles, exact: from 2^53 on a double is whole anyway."""
+    y = lambda x: x.cast("double") * SCALE
+    return F.transform(vector, lambda x: F.when(F.abs(y(x)) < 2.0**53, F.floor(y(x)).cast("double")).otherwise(y(x)))
 
 
 def usable(vector: Column) -> Column:
-    """Not null, no null component, every component finite and small enough to scale exactly."""
-    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & (F.coalesce(F.abs(x.cast("double")) < 2.0**42, F.lit(False)) & ~F.isnan(x)))
+    """Not null, no null component, every component finite. Only doubles of 2^500 and more, whose
+    squares no double holds, are left out; a float never comes near."""
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & (F.coalesce(F.abs(x.cast("double")) < 2.0**500, F.lit(False)) & ~F.isnan(x)))
 
 
 def pack(number: str):
@@ -74,7 +76,8 @@ def dot(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Exact integer products: in doubles while every partial sum stays below 2^53."""
     if np.abs(queries).max(initial=0) * np.abs(candidates).max(initial=0) * max(1, queries.shape[-1]) < 2.0**53:
         return (queries @ candidates.T).astype(np.int64)
-    wide = queries.astype(np.int64).astype(object) @ candidates.astype(np.int64).astype(object).T
+    whole = lambda x: np.array([int(v) for v in x.ravel()], object).reshape(x.shape)
+    wide = whole(queries) @ whole(candidates).T
     return np.clip(wide, -(2**63), 2**63 - 1).astype(np.int64)
 
 

@@ -56,6 +56,21 @@ def test_large_components_stay_exact(spark):
     assert all(s == 2**63 - 1 for _, _, _, s in got)  # beyond a long: cut to its end
 
 
+def test_components_of_any_size_take_part(spark):
+    """Up to the largest float; scores beyond a long are cut to its ends and tie there."""
+    r = random.Random(9)
+    big = [8e12, 3.4e38, -3.4e38, 2.0**42, 2.0**60 + 2.0**20, -(2.0**52) / 1024, 0.5, 1.0, 0.0]
+    rows = [(i, [r.choice(big), r.choice(big)]) for i in range(60)] + [(100, [1.0, 1.0]), (101, [8e12, 0.0]), (110, [2.0**-10, 0.0]), (111, [8e12, -1.0])]
+    got = run(spark, rows, k=70)
+    long = lambda s: max(-(2**63), min(s, 2**63 - 1))
+    scaled = {i: [math.floor(x * 1024) for x in v] for i, v in rows}
+    want = set()
+    for q in (i for i in scaled if i % 10 == 0):
+        found = sorted((-long(sum(a * b for a, b in zip(scaled[q], v))), i) for i, v in scaled.items() if i != q)
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(found)}
+    assert got == want and any(q == 110 and v == 101 and s == 8192000000000000 for q, _, v, s in got)
+
+
 def test_empty(spark):
     assert run(spark, []) == set()
     assert run(spark, [(1, [1.0])]) == set()
