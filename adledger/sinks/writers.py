@@ -31,10 +31,10 @@ def write_jsonl(df: DataFrame, path: str, sparse: bool = True, mode: str = "appe
     by_run(lines, "run_id").write.mode(mode).partitionBy("run_id").text(path)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
     """Parquet table, or None when nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.options(**options).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
