@@ -9,10 +9,10 @@ from ...functions.times import iso_z, parse_run_id
 from ...operators import extraction
 from ...schemas import LISTING_COLUMNS, MASTER_COLUMNS
 from ...session import scratch_path
-from ...sinks import write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
+from ...sinks import write_files, write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
 from ...sources import (
-    artifact_inventory, list_runs, read_importance, read_jsonl, read_pages, read_run_metrics,
-    read_run_texts, read_table_csv,
+    artifact_inventory, list_runs, pack_files, read_importance, read_jsonl, read_packed_jsonl, read_packed_texts,
+    read_pages, read_run_metrics, read_run_texts, read_table_csv,
 )
 from ..jobs import crawl_index, land_listings, materialize, materialize_listings, materialize_v2
 from .aggregates import predicted_events, with_params
@@ -31,20 +31,49 @@ SELECT '2024010' || CAST(1 + s_suppkey % 5 AS STRING) || CASE WHEN s_suppkey % 5
 T_CTE = f"t AS ({SUPPLIER_TEXTS.format(supplier='supplier')})"
 
 
-def supplier_landing(spark, folder):
+#: Folders of a text: its run lies in the first layout that holds any file of it.
+LAYOUTS = ["run_id={run}/txt/", "run_id={run}/", "{run}/txt/", "{run}/"]
+
+
+def laid_out(texts, shift):
+    """Each run in one of the four layouts, by its day; ``shift`` layouts behind that if there is one."""
+    nth = F.greatest(F.substring("run_id", 8, 1).cast("int") - 2, F.lit(0)) + shift
+    place = F.replace(F.get(F.array(*map(F.lit, LAYOUTS)), nth), F.lit("{run}"), F.col("run_id"))
+    return texts.select(F.concat(place, "post_id", F.lit(".txt")).alias("name"), F.concat("text", F.lit("\n")).alias("text")).where("name IS NOT NULL")
+
+
+#: Listings of a later run.
+LATE_TEXTS = f"""SELECT '20240106T090000Z' AS run_id, CAST(c_custkey AS STRING) AS post_id,
+  'customer ' || c_name || {NL} AS text FROM {{customer}} WHERE c_nationkey = 7"""
+
+
+def supplier_landing(spark, folder, passed_over=False):
+    """One file per supplier, <run folder>/<post id>.txt; with ``passed_over`` also other texts of
+    the same runs, in layouts that come after the one a run is read from."""
     def write(path):
-        texts = derive(spark, folder, SUPPLIER_TEXTS, "supplier").repartition("post_id")
-        texts.write.partitionBy("run_id", "post_id").text(path)
+        texts = derive(spark, folder, SUPPLIER_TEXTS, "supplier")
+        files = laid_out(texts, 0)
+        if passed_over:
+            other = texts.withColumns({"text": F.concat(F.lit("older "), "text"), "post_id": F.concat(F.lit("9"), "post_id")})
+            files = files.unionByName(laid_out(other, 1))
+        write_files(files.repartition("name"), path, "name", "text")
     return landed(spark, folder, "supplier-texts", write)
 
 
-def post_of(path):
-    return F.regexp_extract(path, "/post_id=([^/]+)/", 1)
+def _read_run_texts(spark, folder):
+    texts = read_run_texts(spark, supplier_landing(spark, folder, True))
+    return texts.select("run_id", "post_id", "text")
 
 
-def _read_run_texts(spark, folder):
-    texts = read_run_texts(spark, supplier_landing(spark, folder))
-    return texts.select("run_id", post_of(F.col("path")).alias("post_id"), "text")
+def _read_packed_texts(spark, folder):
+    """Two landings packed one after the other: the second run takes only what is new."""
+    landing = supplier_landing(spark, folder, True)
+    out, checkpoint = scratch_path(spark, "packed"), scratch_path(spark, "packed-state")
+    pack_files(spark, landing, out, checkpoint).awaitTermination()
+    late = derive(spark, folder, LATE_TEXTS, "customer")
+    write_files(late.withColumn("name", F.concat("run_id", F.lit("/"), "post_id", F.lit(".txt"))).repartition("name"), landing, "name", "text")
+    pack_files(spark, landing, out, checkpoint).awaitTermination()
+    return read_packed_texts(spark, out).select("run_id", "post_id", "text")
 
 
 def _list_runs(spark, folder):
@@ -75,6 +104,17 @@ def _read_jsonl(spark, folder):
     return landed_records(spark, folder).select(*RECORD_FIELDS)
 
 
+def _read_packed_jsonl(spark, folder):
+    """One file per customer, some of them malformed, packed and read as records."""
+    rows = derive(spark, folder, SEGMENT_RUNS, "customer")
+    record = F.when(F.col("post_id").cast("long") % 7 == 3, F.lit('{"post_id": ')).otherwise(F.to_json(F.struct("post_id", "price")))
+    landing, out, state = (scratch_path(spark, n) for n in ("record-files", "packed-records", "packed-records-state"))
+    name = F.concat(F.lit("run_id="), "run_id", F.lit("/jsonl/"), "post_id", F.lit(".jsonl"))
+    write_files(rows.select(name.alias("name"), record.alias("text")).repartition("name"), landing, "name", "text")
+    pack_files(spark, landing, out, state, "*.jsonl").awaitTermination()
+    return read_packed_jsonl(spark, out).select("run_id", "post_id", "price")
+
+
 def _union_runs(spark, folder):
     return landed_records(spark, folder).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -220,7 +260,8 @@ FIRST_LINKS = r"""SELECT page_id, url, regexp_extract(url, '/(\d+)\.html?$', 1)
   PARTITION BY post_id ORDER BY page_id, CASE WHEN url IN (SELECT url FROM pages) THEN 0 ELSE 1 END, strpos(url, '/b/') = 0) = 1"""
 
 QUERIES = {
-    "read_run_texts": _read_run_texts, "list_runs": _list_runs, "read_jsonl": _read_jsonl,
+    "read_run_texts": _read_run_texts, "read_packed_texts": _read_packed_texts, "list_runs": _list_runs, "read_jsonl": _read_jsonl,
+    "read_packed_jsonl": _read_packed_jsonl,
     "union_runs": _union_runs, "write_jsonl": _write_jsonl(True), "write_jsonl_dense": _write_jsonl(False),
     "read_table_csv": _read_table_csv, "write_table_csv": _write_table_csv, "read_pages": _read_pages,
     "land_listings": _land_listings, "write_index": _write_index, "write_if_absent": _write_if_absent(False),
@@ -236,8 +277,11 @@ _JSON = """SELECT run_id AS folder, '{"run_id":"' || run_id || '","post_id":"' |
     + SEGMENT_RUNS.format(customer="customer") + ")"
 ORACLES = {
     "read_run_texts": f"WITH {T_CTE} SELECT run_id, post_id, text || chr(10) AS text FROM t",
+    "read_packed_texts": f"""WITH {T_CTE}, late AS ({LATE_TEXTS.format(customer='customer')})
+SELECT run_id, post_id, text || chr(10) AS text FROM t UNION ALL SELECT * FROM late""",
     "list_runs": f"WITH {T_CTE} SELECT DISTINCT run_id FROM t",
     "read_jsonl": f"{_VALID} SELECT {', '.join(RECORD_FIELDS)} FROM v",
+    "read_packed_jsonl": f"SELECT run_id, post_id, price FROM ({SEGMENT_RUNS.format(customer='customer')}) WHERE CAST(post_id AS BIGINT) % 7 <> 3",
     "union_runs": f"{_VALID} SELECT run_id, count(*) AS n FROM v GROUP BY 1",
     "write_jsonl": _JSON % "CASE WHEN price IS NULL THEN '' ELSE ',\"price\":' || price END",
     "write_jsonl_dense": _JSON % "',\"price\":' || coalesce(CAST(price AS VARCHAR), 'null')",

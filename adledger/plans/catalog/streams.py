@@ -9,7 +9,7 @@ from ...session import prepare, scratch_path
 from ...streaming.jobs import compact_latest, current_latest, run_to_end, stream_extract, stream_latest, stream_metrics
 from .aggregates import TREND_SQL, rounded
 from .common import L, landed, listings
-from .landing import T_CTE, artifact_landing, post_of, supplier_landing
+from .landing import T_CTE, artifact_landing, supplier_landing
 from .relations import LATEST_SQL
 
 
@@ -17,7 +17,7 @@ def _stream_extract(spark, folder):
     out, checkpoint = scratch_path(spark, "extract"), scratch_path(spark, "extract-state")
     run_to_end(stream_extract(prepare(spark), supplier_landing(spark, folder), out, checkpoint))
     return spark.read.parquet(out).select(
-        "run_id", post_of(F.col("source_txt")).alias("post_id"), "scraped_at", "price", "year", "make", "mileage", "transmission")
+        "run_id", "post_id", "scraped_at", "price", "year", "make", "mileage", "transmission")
 
 
 def _stream_latest(spark, folder):

@@ -31,6 +31,40 @@ def write_jsonl(df: DataFrame, path: str, sparse: bool = True, mode: str = "appe
     by_run(lines, "run_id").write.mode(mode).partitionBy("run_id").text(path)
 
 
+def write_files(df: DataFrame, path: str, name: str, text: str) -> int:
+    """One file per row, as crawlers land listings: the text, whole, at the relative path in column
+    ``name``. Returns the number of files.
+
+    Each task writes its own rows through pyarrow's file systems (local and mounted folders, HDFS,
+    S3, GCS); a repeated task writes the same files again. A null text is an empty file; a name that
+    is null, absolute or leads out of the folder fails the job.
+    """
+    root = path.rstrip("/")
+
+    def write(batches):
+        import posixpath
+
+        from pyarrow import RecordBatch, array, fs
+
+        place = root if "://" in root else root.replace("file:/", "file:///", 1) if root.startswith("file:/") else posixpath.abspath(root)
+        store, base = fs.FileSystem.from_uri(place)
+        made = set()
+        for batch in batches:
+            for file, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not file or file.startswith("/") or ".." in file.split("/"):
+                    raise ValueError(f"not a file name below the folder: {file!r}")
+                folder = posixpath.dirname(f"{base}/{file}")
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{base}/{file}", compression=None) as out:
+                    out.write((value or "").encode())
+            yield RecordBatch.from_arrays([array([batch.num_rows])], names=["files"])
+
+    written = df.select(F.col(name).cast("string"), F.col(text).cast("string")).mapInArrow(write, "files long")
+    return written.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+
+
 def read_if_exists(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
     """Parquet table, or None when nothing was written there yet."""
     try:

@@ -46,7 +46,11 @@ def read_jsonl(
             return spark.createDataFrame([], table_schema(["folder_run", "file", *fields]))
     files = spark.read.text(path, wholetext=one_per_file, recursiveFileLookup=True,
                             pathGlobFilter=f"*{suffix}")
-    raw = files.select("value", F.col("_metadata.file_path").alias("file"))
+    return typed_records(files.select("value", F.col("_metadata.file_path").alias("file")), subdir, fields)
+
+
+def typed_records(raw: DataFrame, subdir: str | None, fields: Sequence[str]) -> DataFrame:
+    """Records of (value, file) in tagged run folders, typed; see `read_jsonl`."""
     inside = raw.withColumn("folder_run", folder_run_id(F.col("file"), True)).where("folder_run <> ''")
     if subdir:
         inside = inside.where(F.col("file").contains(f"/{subdir}/"))

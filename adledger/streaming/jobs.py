@@ -17,7 +17,7 @@ from ..operators.extraction import parse_listing
 from ..schemas import RUN_METRICS_SCHEMA
 from ..sinks import read_if_exists
 from ..sources.artifacts import ARTIFACTS, METRICS, with_run
-from ..sources.texts import folder_run_id, source_key
+from ..sources.texts import folder_run_id, landed_files, source_key
 
 
 def _start(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -35,9 +35,8 @@ def extract_stream(texts: DataFrame, host: str = DEFAULT_IMAGE_HOST) -> DataFram
 def stream_extract(spark: SparkSession, landing: str, out: str, checkpoint: str,
                    host: str = DEFAULT_IMAGE_HOST) -> StreamingQuery:
     """Parse each new listing text once."""
-    files = spark.readStream.format("text").option("wholetext", "true") \
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(landing)
-    texts = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")).withColumns({
+    files = landed_files(spark.readStream, landing, "*.txt")
+    texts = files.select("path", F.col("content").cast("string").alias("text")).withColumns({
         "run_id": folder_run_id(F.col("path")), "post_id": post_id_from_path("path"),
         "path": source_key(F.col("path"), landing)})
     return _start(extract_stream(texts.where("run_id <> ''"), host), out, checkpoint)

@@ -10,10 +10,10 @@ from adledger.plans.jobs import (
     crawl_index, extract_run, extract_with_model, land_listings, materialize, materialize_listings, trend_report,
 )
 from adledger.schemas import LISTING_COLUMNS, MASTER_COLUMNS, RECORD_COLUMNS
-from adledger.sinks import write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
+from adledger.sinks import write_files, write_if_absent, write_index, write_jsonl, write_run_outputs, write_table_csv
 from adledger.sources import (
-    artifact_inventory, list_runs, read_importance, read_jsonl, read_pages, read_run_metrics, read_run_texts,
-    read_table_csv,
+    artifact_inventory, list_runs, pack_files, read_importance, read_jsonl, read_packed_jsonl, read_packed_texts,
+    read_pages, read_run_metrics, read_run_texts, read_table_csv,
 )
 
 
@@ -221,3 +221,54 @@ def test_write_if_absent_prunes_and_reads_the_batch_once(spark, tmp_path, overwr
     pruned = writers.touched_partitions(old, runs, "run_id")
     assert pruned.count() == 40 and "dynamicpruning" in pruned._jdf.queryExecution().executedPlan().toString()
     assert new.count() in (20, 40)
+
+
+def test_packing_takes_each_file_once(spark, tmp_path):
+    """Packed texts equal the landing zone's, over layouts and after late files; a second run with
+    nothing new writes nothing."""
+    root, out, state = tmp_path / "scrapes", str(tmp_path / "packed"), str(tmp_path / "state")
+    same = lambda: sorted(read_packed_texts(spark, out).collect()) == sorted(read_run_texts(spark, str(root)).collect())
+    assert read_packed_texts(spark, out).count() == 0
+    put(root, f"run_id={A}/2.txt", "a poorer layout")
+    put(root, f"{B}/4.txt", "four\n")
+    put(root, f"{C}/5.txt", "")
+    put(root, "junk/9.txt", "no run")
+    pack_files(spark, str(root), out, state).awaitTermination()
+    assert same() and {r.post_id for r in read_packed_texts(spark, out).collect()} == {"2", "4"}
+    put(root, f"run_id={A}/txt/1.txt", "one\ntwo")  # a better layout arrives late
+    put(root, f"{B}/4 b.txt", "a name with a blank")
+    pack_files(spark, str(root), out, state).awaitTermination()
+    assert same() and {r.post_id for r in read_packed_texts(spark, out).collect()} == {"1", "4", "4 b"}
+    assert [r.post_id for r in read_packed_texts(spark, out, A).collect()] == ["1"]
+    plan = read_packed_texts(spark, out, A)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan
+    batches = sorted(os.listdir(out))
+    pack_files(spark, str(root), out, state).awaitTermination()
+    assert sorted(os.listdir(out)) == batches and same()
+
+
+def test_packed_records(spark, tmp_path):
+    root, out, state = tmp_path / "structured", str(tmp_path / "packed"), str(tmp_path / "state")
+    put(root, f"run_id={A}/jsonl/1.jsonl", json.dumps({"post_id": "1", "price": 5}, indent=1))
+    put(root, f"run_id={A}/jsonl/2.jsonl", "{")
+    put(root, f"run_id={B}/jsonl_llm/3.jsonl", json.dumps({"post_id": "3"}))
+    put(root, f"{C}/jsonl/4.jsonl", json.dumps({"post_id": "4"}))
+    pack_files(spark, str(root), out, state, "*.jsonl").awaitTermination()
+    for subdir, ids in (("jsonl", {"1"}), ("jsonl_llm", {"3"}), (None, {"1", "3"})):
+        got = read_packed_jsonl(spark, out, subdir).drop("file").collect()
+        assert {r.post_id for r in got} == ids and sorted(got, key=str) == sorted(read_jsonl(spark, str(root), subdir).drop("file").collect(), key=str)
+
+
+def test_write_files(spark, frame, tmp_path):
+    """Texts as they are, nulls as empty files, a repeated run the same files; odd names fail."""
+    rows = [("x/1.txt", "one\r\nä"), ("x/2.txt", None), ("2 b.txt", "")]
+    for _ in range(2):
+        assert write_files(frame("name string, text string", rows), str(tmp_path / "f"), "name", "text") == 3
+    read = lambda n: (tmp_path / "f" / n).read_bytes()
+    assert read("x/1.txt") == "one\r\nä".encode() and read("x/2.txt") == read("2 b.txt") == b""
+    assert write_files(frame("name string, text string", []), f"file:{tmp_path}/g", "name", "text") == 0
+    write_files(frame("name string, text string", rows[:1]), f"file:{tmp_path}/g", "name", "text")
+    assert (tmp_path / "g" / "x" / "1.txt").exists()
+    for bad in ("../out.txt", "/abs.txt", None, ""):
+        with pytest.raises(Exception, match="not a file name"):
+            write_files(frame("name string, text string", [(bad, "t")]), str(tmp_path / "h"), "name", "text")
