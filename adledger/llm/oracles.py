@@ -75,3 +75,36 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN counts n ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
 LEFT JOIN repaired r ON c.conv_id IS NOT DISTINCT FROM r.conv_id
 """
+
+#: Bytes are pairs of hexadecimal digits; texts are cut into chunks first, as a place far inside
+#: a long text is slow to reach.
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), chunks AS (
+  SELECT doc_id, c, substr(h, 2000 * c + 1, 2098) AS part
+  FROM (SELECT doc_id, h, unnest(range(CAST(ceil(length(h) / 2000) AS BIGINT))) AS c FROM d)
+), strings AS (
+  SELECT doc_id, 1000 * c + i AS pos, substr(part, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, c, part, unnest(range(greatest(0, least(1000, length(part) // 2 - 49)))) AS i FROM chunks)
+), first AS (
+  SELECT s, min(doc_id) AS home FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)
+), starts AS (
+  SELECT DISTINCT doc_id, pos FROM strings JOIN first USING (s) WHERE home < doc_id
+), breaks AS (
+  SELECT *, CASE WHEN pos <= lag(pos) OVER w + 50 THEN 0 ELSE 1 END AS fresh FROM starts WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), numbered AS (
+  SELECT doc_id, pos, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS nth FROM breaks
+), spans AS (
+  SELECT doc_id, nth, min(pos) AS a, max(pos) + 50 AS b FROM numbered GROUP BY doc_id, nth
+), pieces AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+), removed AS (
+  SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM pieces p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id
+)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN removed r ON r.doc_id = d.doc_id
+"""

@@ -142,4 +142,4 @@ QUERIES: dict[str, Query] = {
     "op12_pii": op12_pii,
     "op13_repair": op13_repair,
 }
-ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL, "op13_repair": oracles.OP13_SQL}
+ORACLES: dict[str, str] = {"op1_norm_topk": OP1_SQL, "op2_warc": OP2_SQL, "op8_suffix_dedup": oracles.OP8_SQL, "op13_repair": oracles.OP13_SQL}

@@ -1,7 +1,9 @@
 import random
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from adledger.llm import shards
@@ -59,3 +61,40 @@ def test_written_shards(docs_of, tmp_path, spark):
     out = shards.shard(sized(docs_of({i: f"text {i}" for i in range(100)})), 4)
     shards.write_shards(out, str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).groupBy("shard").count().count() == 4
+
+
+def spark_hash(*values):
+    """xxhash64 of texts, longs and booleans, as Spark chains it, unsigned."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else struct.pack("<i", v) if isinstance(v, bool) else struct.pack("<q", v)
+        seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_splitters_equal_a_recount(docs_of, seed):
+    """Shards are runs of the key order; every splitter is within the tolerance of its target, or,
+    where no boundary between texts is, the nearest boundary between rows; slots follow."""
+    r = random.Random(seed)
+    n, tolerance = 6, 0.01
+    texts = {i: r.choice(["hot " * 30, None, "", f"text {r.randint(0, 60)}", "w" * r.randint(0, 900)]) for i in range(400)}
+    rows = shards.shard(sized(docs_of(texts)), n, tolerance=tolerance).collect()
+    keys = {x["doc_id"]: (spark_hash(x["text"] or "", x["text"] is None), spark_hash(x["doc_id"])) for x in rows}
+    rows.sort(key=lambda x: keys[x["doc_id"]])
+    assert [x["shard"] for x in rows] == sorted(x["shard"] for x in rows)
+    below, total = [0], sum(x["size"] for x in rows)
+    for x in rows:
+        below.append(below[-1] + x["size"])
+    between = [i for i in range(len(rows) + 1) if i in (0, len(rows)) or keys[rows[i - 1]["doc_id"]][0] != keys[rows[i]["doc_id"]][0]]
+    for k in range(1, n):
+        target, allowed = total * k / n, tolerance * total / n
+        cut = sum(x["shard"] < k for x in rows)
+        off = abs(below[cut] - target)
+        if cut in between:
+            assert off <= allowed or off == min(abs(b - target) for b in below)
+        else:
+            assert min(abs(below[i] - target) for i in between) > allowed
+            assert off <= allowed or off == min(abs(b - target) for b in below)
+    for k in range(n):
+        assert [x["slot"] for x in rows if x["shard"] == k] == list(range(sum(x["shard"] == k for x in rows)))

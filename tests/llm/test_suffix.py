@@ -128,3 +128,25 @@ def test_odd_documents(odd_docs, no_docs):
     assert sorted((r["n_bytes"], len(r["kept"])) for r in rows if r["doc_id"] == 1) == [(80, 80)] * 2 or all(r["n_bytes"] == len(r["kept"]) for r in rows if r["doc_id"] == 1)
     assert [len(r["kept"]) for r in rows if r["doc_id"] == 2] == [0] and sorted(len(r["kept"]) for r in rows if r["doc_id"] is None) == [0, 0]
     assert [r["n_bytes"] for r in rows if r["doc_id"] == 3] == [0] and suffix.remove_repeats(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_sql_equals_brute_force(docs_of, spark, tmp_path, seed):
+    """The registered SQL, which shares no step with the operator, on planted passages and odd texts."""
+    import hashlib
+
+    import duckdb
+
+    from adledger.llm.oracles import OP8_SQL
+
+    docs = {**shared_passages(seed, 60), 200: None, 201: "", 202: "é" * 700, 203: "ü" + "é" * 24 + "e", 204: "z" * 2500, 205: "y" * 49 + "z" * 1200}
+    place = str(tmp_path / "documents")
+    docs_of(docs).write.parquet(place)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{place}/*.parquet'")
+    got = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, n_bytes, n_removed, n_spans, kept_sha256 FROM ({OP8_SQL})").fetchall()}
+    want = {}
+    for i, (spans, kept) in expected(docs).items():
+        size = len((docs[i] or "").encode())
+        want[i] = (size, size - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+    assert got == want and sum(w[2] for w in want.values()) > 20
