@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -19,6 +20,9 @@ ANSWER = T.StructType([T.StructField("answer", T.StringType()), T.StructField("e
 # Bounded retries of a transient failure, seconds.
 ATTEMPTS, FIRST_WAIT, LONGEST_WAIT = 3, 5.0, 30.0
 
+#: Clients of different calls that a worker process holds at once; the oldest goes first.
+CLIENTS = 4
+
 
 class TransientError(Exception):
     """Raise this from an extraction function to be called again."""
@@ -38,19 +42,29 @@ def llm_extract(
 
     ``fn`` maps a text to a JSON object (text or dict) and is shipped to the
     executors, where it runs batch by batch. Rows whose text is NULL are not sent.
-    ``setup``, given instead of ``fn``, is called once per task before its first text and
-    returns the function: the place to load a model or open a client.
+    ``setup``, given instead of ``fn``, is called once per worker process before its first text and
+    returns the function: the place to load a model or open a client. Later tasks of the worker
+    use it again; one that failed to load is tried anew with the next text.
     """
     if (fn is None) == (setup is None):
         raise ValueError("give either fn or setup")
-    ready = [] if fn is None else [fn]
+    call = uuid.uuid4().hex  # names this call's client among those a worker holds
+
+    def client() -> Callable[[str], str | dict]:
+        import sys
+
+        held = sys.__dict__.setdefault("_adledger_client", {})  # the one place all tasks of a worker share
+        if call not in held:
+            made = setup()
+            if len(held) >= CLIENTS:
+                held.pop(next(iter(held)))
+            held[call] = made
+        return held[call]
 
     def ask(body: str) -> tuple[str | None, str | None]:
         for attempt in range(attempts):
             try:
-                if not ready:
-                    ready.append(setup())
-                answer = ready[0](body)
+                answer = (fn or client())(body)
                 parsed = json.loads(answer) if isinstance(answer, str) else answer
                 if not isinstance(parsed, dict):
                     raise ValueError("answer is no JSON object")

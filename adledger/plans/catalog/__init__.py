@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import aggregates, fields, landing, learning, relations, streams, texts
+from . import aggregates, fields, landing, learning, relations, streams, texts, wholejobs
 
-MODULES = [landing, relations, aggregates, fields, texts, learning, streams]
+MODULES = [landing, relations, aggregates, fields, texts, learning, streams, wholejobs]
 Query = Callable[[SparkSession, str], DataFrame]
 
 

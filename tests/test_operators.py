@@ -322,3 +322,36 @@ def test_summaries_and_sets(frame):
     assert tuple(row) == (4, 2, 1)
     days = frame("date_local string", [("a",), ("a",), ("b",), (None,)])
     assert values(summaries.recent_day_counts(days, n=1), "date_local", "count") == [("b", 1)]
+
+
+def test_one_client_per_worker(spark, tmp_path):
+    """A worker loads its client once, however many tasks and queries of the call it serves; one that
+    fails to load is tried again with the next text."""
+    import os
+
+    from adledger.operators.extraction import llm_extract
+
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        with open(f"{marks}/{os.getpid()}-{uuid.uuid4().hex}", "w"):
+            pass
+        return lambda body: {"price": len(body)}
+
+    df = spark.range(400).select("id", F.concat(F.lit("x"), F.col("id").cast("string")).alias("raw_text")).repartition(40)
+    out = llm_extract(df, None, setup=load)
+    for _ in range(2):
+        assert sorted((r.id, r.price) for r in out.select("id", "price").collect()) == [(i, 1 + len(str(i))) for i in range(400)]
+    loads = [f.split("-")[0] for f in os.listdir(marks)]
+    assert 0 < len(loads) == len(set(loads)) < 40
+
+    def broken():
+        raise RuntimeError("no model")
+
+    failed = llm_extract(df, None, setup=broken).select("price", "error").distinct().collect()
+    assert [(r.price, r.error) for r in failed] == [(None, "RuntimeError: no model")]
+    with pytest.raises(ValueError, match="either"):
+        llm_extract(df, None)
