@@ -9,6 +9,7 @@ bounded piece of a batch at a time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import id_hash
 
 GRAM = 3
-PIECE = 300_000
+#: Characters of a block, for up to USUAL languages.
+PIECE, USUAL = 300_000, 4
 MIX = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
 
@@ -34,22 +36,28 @@ class LanguageModel:
     log_prob: np.ndarray
 
 
-def pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, int]]:
+def pieces(texts: list[str | None], piece: int) -> Iterator[tuple[int, np.ndarray, int]]:
     """(text number, code points, number of n-gram starts): long texts in pieces that overlap
     by two characters, so every n-gram of every text appears once."""
     for i, text in enumerate(texts):
         points = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-        for start in range(0, len(points), PIECE):
-            yield i, points[start:start + PIECE + GRAM - 1], min(PIECE, len(points) - start)
+        for start in range(0, len(points), piece):
+            yield i, points[start:start + piece + GRAM - 1], min(piece, len(points) - start)
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Pieces joined up to about PIECE characters: (text numbers, offsets, code points, starts allowed)."""
+def piece_size(languages: int) -> int:
+    """Characters scored at a time: a block gathers one number per character and language, so
+    many languages get shorter blocks and a worker's memory stays the same."""
+    return max(GRAM, PIECE * USUAL // max(USUAL, languages))
+
+
+def blocks(texts: list[str | None], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces joined up to about ``most`` characters: (text numbers, offsets, code points, starts allowed)."""
     held, size = [], 0
-    for piece in pieces(texts):
+    for piece in pieces(texts, most):
         held.append(piece)
         size += len(piece[1])
-        if size >= PIECE:
+        if size >= most:
             yield join(held)
             held, size = [], 0
     if held:
@@ -87,7 +95,7 @@ def count_grams(bins: int, text: str, lang: str):
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(lang).to_pylist()
-            for numbers, offsets, points, allowed in blocks(batch.column(text).to_pylist()):
+            for numbers, offsets, points, allowed in blocks(batch.column(text).to_pylist(), PIECE):
                 spans = np.diff(np.append(offsets, len(points)))
                 for language in {langs[i] for i in numbers}:
                     own = np.repeat(np.array([langs[i] == language for i in numbers]), spans)
@@ -134,7 +142,7 @@ def score_batch(model: LanguageModel | None, texts: list[str | None]) -> tuple[l
     if model is None:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
     total = np.tile(model.log_prior, (len(texts), 1))
-    for numbers, offsets, points, allowed in blocks(texts):
+    for numbers, offsets, points, allowed in blocks(texts, piece_size(len(model.languages))):
         for at, mask in gram_bins(points, allowed, len(model.log_prob)):
             rows = model.log_prob[at]
             rows[~mask] = 0
@@ -161,7 +169,7 @@ def identify(df: DataFrame, model: LanguageModel | None, text: str = "text", pre
         names, scores = score_batch(shared.value and LanguageModel(*shared.value), texts.to_pylist())
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang", "score"])
 
-    found = "__found_language"
+    found = f"__found_{uuid.uuid4().hex}"
     return (df.withColumn(found, predict(F.col(text)))
             .withColumns({pred: F.col(f"{found}.lang"), score: F.col(f"{found}.score")}).drop(found))
 
