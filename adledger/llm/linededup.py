@@ -13,7 +13,7 @@ segments again under the longer key, until no key is large.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -136,10 +136,12 @@ def line_entries(line: str, length: str, k: int, places: bool = True) -> Column:
 
 
 def meeting(keyed: DataFrame) -> DataFrame:
-    """Rows (key, id, role, ...) of keys that hold two lines, one of which can be looked up."""
-    key = Window.partitionBy("key")
-    marks = {"__low": F.min("id").over(key), "__high": F.max("id").over(key), "__role": F.min("role").over(key)}
-    return keyed.withColumns(marks).filter("__low <> __high AND __role = 0").drop(*marks)
+    """Rows (key, id, role, ...) of keys that hold two lines, one of which can be looked up. Keys are
+    judged by grouped minima, summed up before the exchange, so that a key of very many lines is
+    no task's own; a shuffled lookup's large keys are split by adaptive execution."""
+    judged = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("role").alias("role"))
+    met = stored(judged.filter("low <> high AND role = 0").select("key"), "met-segments")
+    return keyed.join(sent(met), "key", "left_semi")
 
 
 def rest_entries(k: int) -> Column:
@@ -227,7 +229,8 @@ def line_links(docs: DataFrame, text: str = "text", order: str = "doc_id", k: in
     repeated = stored(lines.groupBy("h", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
                       .filter("n > 1").drop("n"), "repeated-lines")
     first = lines.filter(F.col("size") >= least).join(sent(repeated), ["h", "h2"], "left").withColumn("place", F.struct(*PLACE)).filter(
-        "first IS NULL OR first = place").withColumn("id", F.col("h"))
+        "first IS NULL OR first = place").select(F.col("h").alias("id"), "h", "h2", "place", "line", "size")
+    first = stored(first, "first-lines")  # read three times
     keyed = first.select("id", F.explode_outer(line_entries("line", "size", k, places=False)).alias("e")).select("e.key", "id", "e.role")
     live = stored(meeting(keyed), "live-segments")
     met = stored(live.select("id").distinct(), "live-lines")
