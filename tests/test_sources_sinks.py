@@ -15,6 +15,7 @@ from adledger.sources import (
     artifact_inventory, list_runs, pack_files, read_importance, read_jsonl, read_packed_jsonl, read_packed_texts,
     read_pages, read_run_metrics, read_run_texts, read_table_csv,
 )
+from adledger.sources.texts import landed_files
 
 
 def put(root, path, content):
@@ -272,3 +273,39 @@ def test_write_files(spark, frame, tmp_path):
     for bad in ("../out.txt", "/abs.txt", None, ""):
         with pytest.raises(Exception, match="not a file name"):
             write_files(frame("name string, text string", [(bad, "t")]), str(tmp_path / "h"), "name", "text")
+
+
+def test_packing_streams_lists_not_files(spark, tmp_path):
+    """The stream knows of one list per batch, however many files landed; names that Spark's readers
+    pass over are, and odd ones are read."""
+    root, out, state = tmp_path / "scrapes", str(tmp_path / "packed"), str(tmp_path / "state")
+    for i in range(40):
+        put(root, f"run_id={A}/txt/{i}.txt", f"text {i}")
+    for name in ("5% off #1.txt", "é ü.txt", "a+b&c.md"):
+        put(root, f"{B}/{name}", name)
+    for name in ("_hidden.txt", ".hidden.txt", "no.csv", "_dir/1.txt"):
+        put(root, f"{B}/{name}", "passed over")
+    pack_files(spark, str(root), out, state, "*.{txt,md}").awaitTermination()
+    taken = [line for log in (tmp_path / "state").glob("**/sources/0/[0-9]*") for line in log.read_text().splitlines()[1:]]
+    assert len(taken) == 1
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.text for r in rows) == sorted([f"text {i}" for i in range(40)] + ["5% off #1.txt", "é ü.txt", "a+b&c.md"])
+    direct = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(root)).select("path").collect()
+    assert {r.file for r in rows} == {r.path for r in direct} - {f"file:{root}/{B}/no.csv"}
+    put(root, f"{B}/late.txt", "x" * 50)
+    put(root, f"{B}/later.txt", "y" * 50)
+    pack_files(spark, f"{root}/", out, state, batch_bytes=60).awaitTermination()
+    assert len(os.listdir(out)) >= 2 and spark.read.parquet(out).count() == 45
+
+
+def test_packing_goes_on_from_a_stream_over_the_zone(spark, tmp_path):
+    root, out, state = tmp_path / "scrapes", str(tmp_path / "packed"), str(tmp_path / "state")
+    put(root, f"{A}/1.txt", "one")
+    old = landed_files(spark.readStream, str(root), "*.txt").select(
+        F.lit(A).alias("run_id"), F.col("path").alias("file"), F.lit("p").alias("path"), F.lit(4).alias("layout"), F.lit("old").alias("text"))
+    old.writeStream.foreachBatch(lambda df, i: df.write.partitionBy("run_id").parquet(f"{out}/batch_id={i}")).option(
+        "checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    put(root, f"{A}/2.txt", "two")
+    for _ in range(2):
+        pack_files(spark, str(root), out, state).awaitTermination()
+    assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["old", "two"]
