@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from adledger.operators import explain, models, splits
+from adledger.operators import explain, features, models, splits
 from adledger.plans.jobs import explain_top, modeling_table, tier_study, train_and_score, training_rows
 
 SMALL_GRID = {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.3], "min_samples_leaf": [1]}
@@ -168,3 +168,27 @@ def test_tree_counts_share_one_run(cars, monkeypatch):
             alone.append(fitted.transform(folded.where(F.col("k") == k)).agg(F.avg(F.abs(F.col("prediction") - F.col("price_num")))).first()[0])
         assert score == pytest.approx(sum(alone) / 2)
     assert len({round(s, 6) for s in search.avgMetrics}) > 2
+
+
+def test_short_vectors_equal_long_ones(cars, monkeypatch):
+    """Short vectors are made by array functions alone, long ones from JSON; unseen and missing
+    categories are zeros, or the mode, in both."""
+    rows = training_rows(cars)
+    prepared = features.ColumnTransform(["year_num", "mileage_num"], ["make", "model"]).fit(rows)
+    odd = rows.withColumn("make", F.when(F.col("post_id").cast("long") % 3 == 0, "unseen").when(F.col("post_id").cast("long") % 3 == 1, F.col("make")))
+    found = []
+    for limit, by_json in ((features.SHORT, False), (0, True)):
+        monkeypatch.setattr(features, "SHORT", limit)
+        out = prepared.transform(odd)
+        assert ("json" in out._jdf.queryExecution().optimizedPlan().toString().lower()) == by_json
+        found.append({r.post_id: r.features.toArray().tolist() for r in out.select("post_id", "features").collect()})
+    assert found[0] == found[1] and len(found[0]) == rows.count()
+    assert {len(v) for v in found[0].values()} == {prepared.width} and {sum(v[2:]) for v in found[0].values()} == {1.0, 2.0}
+
+
+def test_passes_read_parsed_rows(cars):
+    """Days and numbers are read from text once, vectors of the refit are made once."""
+    result = train_and_score(cars, grid={"n_estimators": [2], "max_depth": [2]}, repeats=1)
+    plan = result.predictions._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower() and "price_num" in plan
+    assert result.metrics.first().holdout_rows == result.predictions.count()
