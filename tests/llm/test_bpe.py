@@ -87,3 +87,29 @@ def test_odd_documents(odd_docs, no_docs, library):
     assert out.count() == odd_docs.count() and set(odd_docs.columns) < set(out.columns)
     assert {(r["n_tokens"]) for r in out.filter("text IS NULL OR text = ''").collect()} == {0}
     assert bpe.encode(no_docs, PATH).count() == 0
+
+
+def test_ascii_pattern(vocabulary):
+    """On ASCII texts the quick matcher cuts as the one for all texts does."""
+    encoder, r = bpe.Encoder(vocabulary, None), random.Random(4)
+    letters = [*map(chr, range(128)), *(" '" * 30), "'s", "'ll", "  ", "\n"]
+    for _ in range(3000):
+        text = "".join(r.choices(letters, k=40))
+        assert encoder.ascii.findall(text) == encoder.compiled.findall(text)
+
+
+def test_frequent_words_stay_in_memory(vocabulary, monkeypatch):
+    """Rare words drive no word of the lexicon out of memory; a word that is met again stays; ids are exact throughout."""
+    monkeypatch.setattr(bpe, "MEMORY", 4 * 40 * 300)
+    frequent = [f" word{i}" for i in range(50)]
+    encoder = bpe.Encoder(vocabulary, bpe.pack_lexicon([w.encode() for w in frequent], vocabulary))
+    asked, real = [], encoder.lexicon.ids
+    monkeypatch.setattr(encoder.lexicon, "ids", lambda w: asked.append(w) or real(w))
+    plain = lambda word: [int(i) for i in vocabulary.merge(word.encode())]
+    r = random.Random(6)
+    for _ in range(40):
+        rare = [" " + "".join(r.choices("abcdefgh", k=12)) for _ in range(15)]
+        for w in [*frequent, *rare, " again"]:
+            assert [*encoder.word(w)] == plain(w) if w not in encoder.frequent else [*encoder.frequent[w]] == plain(w)
+    assert all(asked.count(w.encode()) == 1 for w in [*frequent, " again"] if w.isalpha() or w in encoder.frequent or w == " again")
+    assert encoder.held <= bpe.MEMORY // 4 and len(encoder.memory) + len(encoder.older) < 200
